@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass, field
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+@cache
+def parsed_type(ddl: str) -> T.DataType:
+    """Spark type of a DDL text; each text is sent to the parser once."""
+    return T.DataType.fromDDL(ddl)
+
+
 @dataclass(frozen=True)
 class Role:
     kind: str  # primary_key, dimension or join
@@ -64,7 +71,7 @@ class Field:
                 meta["dimension"] = self.dimension_name
             if self.role.kind == "join":
                 meta["references"] = f"{self.role.to_model}.{self.role.to_column}"
-        return T.StructField(self.name, T.DataType.fromDDL(self.dtype), self.nullable, meta)
+        return T.StructField(self.name, parsed_type(self.dtype), self.nullable, meta)
 
 
 @dataclass(frozen=True)
@@ -132,7 +139,7 @@ class Registry:
         rows = [
             (
                 f.name,
-                T.DataType.fromDDL(f.dtype).simpleString(),
+                parsed_type(f.dtype).simpleString(),
                 f.role.kind if f.role else "base",
                 f.dimension_name,
                 bool(f.role and f.role.pii),

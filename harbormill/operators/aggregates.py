@@ -56,16 +56,19 @@ def pivot_mean(df: DataFrame, keys: Sequence[str], metric: str, value: str, metr
     return wide.dropna(how="all", subset=list(metrics))
 
 
-def year_end_last(df: DataFrame, key: str, date: str, value: str) -> DataFrame:
-    """Last non-null value of every year, dated 31 December; a year of nulls stays as null."""
-    seen = F.when(F.col(value).isNotNull(), F.struct(date, value))
-    year = F.year(date)
-    return (
-        df.where(F.col(key).isNotNull() & F.col(date).isNotNull())
-        .groupBy(key, year.alias("_year"))
-        .agg(F.max(seen)[value].alias(value))
-        .select(key, F.make_date("_year", F.lit(12), F.lit(31)).cast("timestamp_ntz").alias(date), value)
-    )
+def year_end_last(df: DataFrame, key: str, date: str, value: str, one_per_date: bool = False) -> DataFrame:
+    """Last non-null value of every year, dated 31 December; a year of nulls stays as null.
+
+    Of several values on one date the greatest counts. ``one_per_date`` states
+    that there is never more than one and saves a grouping.
+    """
+    rows = df.where(F.col(key).isNotNull() & F.col(date).isNotNull()).select(key, date, value)
+    if not one_per_date:
+        rows = rows.groupBy(key, date).agg(F.max(value).alias(value))
+    # plain value and ordering types keep this in a hash aggregate
+    last = F.max_by(value, F.when(F.col(value).isNotNull(), F.col(date)))
+    yearly = rows.groupBy(key, F.year(date).alias("_year")).agg(last.alias(value))
+    return yearly.select(key, F.make_date("_year", F.lit(12), F.lit(31)).cast("timestamp_ntz").alias(date), value)
 
 
 def yearly_sum(df: DataFrame, key: str, date: str, value: str, scale: int = 4) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from harbormill.functions.temporal import epoch_seconds
-from harbormill.operators.joins import same_keys
+from harbormill.operators.joins import renamed_keys, same_keys
 
 DAY = 86_400
 
@@ -67,19 +67,19 @@ def asof_join(
         .orderBy(F.col(on), F.col("_own").isNotNull())
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    per_slice = both.groupBy(*by, "_slice").agg(
-        F.max_by("_hit", F.when(F.col("_hit").isNotNull(), F.col(on))).alias("_last")
+    within = both.withColumn("_found", F.last("_hit", ignorenulls=True).over(in_slice))
+    # the last answer inside a slice is what the slice hands on; same partitioning, no new shuffle
+    per_slice = within.groupBy(*by, "_slice").agg(
+        F.max_by("_found", F.when(F.col("_found").isNotNull(), F.struct(on, F.col("_own").isNotNull()))).alias("_last")
     )
+    earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = per_slice.select(*by, "_slice", F.last("_last", ignorenulls=True).over(earlier).alias("_carry")).where(
         F.col("_carry").isNotNull()
     )
-    answered = both.withColumn("_found", F.last("_hit", ignorenulls=True).over(in_slice)).where(
-        F.col("_own").isNotNull()
-    )
-    answered = answered.join(carried, same_keys(answered, carried, [*by, "_slice"]), "left").select(
-        *[answered[c] for c in [*by, on, "_own"]],
-        F.coalesce("_found", "_carry").alias("_found"),
+    answered = within.where(F.col("_own").isNotNull())
+    slice_keys = [*by, "_slice"]
+    answered = answered.join(renamed_keys(carried, slice_keys), same_keys(slice_keys), "left").select(
+        *by, on, "_own", F.coalesce("_found", "_carry").alias("_found")
     )
 
     if left_unique:
@@ -89,8 +89,7 @@ def asof_join(
             *[F.col("_own")[c].alias(c) for c in extra],
             *[F.col("_found")[c].alias(c) for c in payload],
         )
-    answered = answered.where(F.col("_found").isNotNull())
-    return left.join(answered, same_keys(left, answered, [*by, on]), "left").select(
-        *[left[c] for c in left.columns],
-        *[answered["_found"][c].alias(c) for c in payload],
+    answered = renamed_keys(answered.where(F.col("_found").isNotNull()).drop("_own"), [*by, on])
+    return left.join(answered, same_keys([*by, on]), "left").select(
+        *left.columns, *[F.col("_found")[c].alias(c) for c in payload]
     )

@@ -19,18 +19,51 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from harbormill.functions.temporal import epoch_micros
+from harbormill.operators.joins import renamed_keys, same_keys
 
 
-def _best_two(values: DataFrame, order: Column, time: str, prefix: str, shift: int) -> DataFrame:
-    """Two leading values of each (key, slice), addressed to the slice that asks for them."""
-    w = Window.partitionBy("_key", "_slice").orderBy(order, "_value")
-    # the row_number filter is applied before the shuffle as well (window group limit)
-    top = values.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= 2)
-    return top.groupBy("_key", "_slice").agg(
-        F.max(F.when(F.col("_rank") == 1, F.col("_value"))).alias(f"{prefix}_value"),
-        F.max(F.when(F.col("_rank") == 1, F.col(time))).alias(f"{prefix}_time"),
-        F.max(F.when(F.col("_rank") == 2, F.col(time))).alias(f"{prefix}_other_time"),
-    ).withColumn("_slice", F.col("_slice") + shift)
+def _neighbour_summary(values: DataFrame) -> DataFrame:
+    """One row per (key, slice): what its rows need to know of their surroundings.
+
+    ``values`` has one row per (key, slice, value). Every slice ranks its values
+    from the latest and from the earliest, keeps two of each, and sends the
+    former to the next slice and the latter to the previous one. A runner-up
+    also tells the slice itself that it holds more than one value.
+    """
+    directed = values.select(
+        "_key",
+        "_slice",
+        "_value",
+        F.inline(
+            F.array(
+                F.struct(F.lit(1).alias("_way"), (-F.col("_latest")).alias("_order"), F.col("_latest").alias("_time")),
+                F.struct(F.lit(-1).alias("_way"), F.col("_first").alias("_order"), F.col("_first").alias("_time")),
+            )
+        ),
+    )
+    w = Window.partitionBy("_key", "_slice", "_way").orderBy("_order", "_value")
+    # Spark applies this limit before the shuffle too, so tasks send two rows per group
+    leading = directed.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= 2)
+
+    to_neighbour = F.struct((F.col("_slice") + F.col("_way")).alias("_slice"), F.col("_way"))
+    to_itself = F.struct(F.col("_slice"), F.lit(0).alias("_way"))
+    receivers = F.when(
+        (F.col("_way") == 1) & (F.col("_rank") == 2), F.array(to_neighbour, to_itself)
+    ).otherwise(F.array(to_neighbour))
+    sent = leading.select("_key", "_value", "_time", "_rank", F.inline(receivers))
+
+    def received(way: int, rank: int, column: str) -> Column:
+        return F.max(F.when((F.col("_way") == way) & (F.col("_rank") == rank), F.col(column)))
+
+    return sent.groupBy("_key", "_slice").agg(
+        received(1, 1, "_value").alias("before_value"),
+        received(1, 1, "_time").alias("before_time"),
+        received(1, 2, "_time").alias("before_other_time"),
+        received(-1, 1, "_value").alias("after_value"),
+        received(-1, 1, "_time").alias("after_time"),
+        received(-1, 2, "_time").alias("after_other_time"),
+        (F.max(F.when(F.col("_way") == 0, 1)).isNotNull()).alias("mixed"),
+    )
 
 
 def conflicts_within(df: DataFrame, key: str, time: str, value: str, seconds: int = 3600) -> DataFrame:
@@ -52,27 +85,6 @@ def conflicts_within(df: DataFrame, key: str, time: str, value: str, seconds: in
     values = rows.groupBy("_key", "_slice", "_value").agg(
         F.min("_micros").alias("_first"), F.max("_micros").alias("_latest")
     )
-    before = _best_two(values, F.col("_latest").desc(), "_latest", "before", 1)
-    after = _best_two(values, F.col("_first").asc(), "_first", "after", -1)
-    mixed = (
-        values.groupBy("_key", "_slice")
-        .agg((F.min("_value") != F.max("_value")).alias("mixed"))
-        .where("mixed")
-    )
-    summary = (
-        before.unionByName(after, allowMissingColumns=True)
-        .unionByName(mixed, allowMissingColumns=True)
-        .groupBy("_key", "_slice")
-        .agg(
-            F.max("before_value").alias("before_value"),
-            F.max("before_time").alias("before_time"),
-            F.max("before_other_time").alias("before_other_time"),
-            F.max("after_value").alias("after_value"),
-            F.max("after_time").alias("after_time"),
-            F.max("after_other_time").alias("after_other_time"),
-            F.coalesce(F.max("mixed"), F.lit(False)).alias("mixed"),
-        )
-    )
     latest_other = F.when(F.col("before_value") == F.col("_value"), F.col("before_other_time")).otherwise(
         F.col("before_time")
     )
@@ -84,5 +96,6 @@ def conflicts_within(df: DataFrame, key: str, time: str, value: str, seconds: in
         | (latest_other >= F.col("_micros") - reach)
         | (earliest_other <= F.col("_micros") + reach)
     )
-    on = rows["_key"].eqNullSafe(summary["_key"]) & (rows["_slice"] == summary["_slice"])
-    return rows.join(summary, on).where(in_conflict).select(*[rows[c] for c in df.columns])
+    place = ["_key", "_slice"]
+    summary = renamed_keys(_neighbour_summary(values), place)
+    return rows.join(summary, same_keys(place)).where(in_conflict).select(*df.columns)

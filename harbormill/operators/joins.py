@@ -18,9 +18,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Equality on all keys where null equals null."""
-    return reduce(and_, [left[k].eqNullSafe(right[k]) for k in keys])
+OTHER = "_other_"
+
+
+def renamed_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Key columns under a prefix, so that a side derived from the other stays distinguishable."""
+    return df.withColumnsRenamed({k: OTHER + k for k in keys})
+
+
+def same_keys(keys: Sequence[str]) -> Column:
+    """Equality with the renamed keys of the other side, where null equals null."""
+    return reduce(and_, [F.col(k).eqNullSafe(F.col(OTHER + k)) for k in keys])
 
 
 def enrich_with_totals(
