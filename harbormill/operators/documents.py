@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from harbormill.functions.ids import uuid5
 from harbormill.functions.text import join_nonblank, last_segment
@@ -55,13 +56,13 @@ def _tree_text(raw: str | None) -> str:
     return "\n".join(t for t in _leaf_texts(tree) if t)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def rich_text(raw: pd.Series) -> pd.Series:
     """Rich-text JSON tree to plain text, one line per text leaf; null gives ''."""
     return raw.map(_tree_text, na_action=None)
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def rich_texts(raw: pd.Series) -> pd.Series:
     """The same for an array of trees."""
     return raw.map(lambda items: [] if items is None else [_tree_text(r) for r in items], na_action=None)
@@ -125,7 +126,7 @@ def split_recursive(
 def recursive_chunks(size: int = CHUNK_CHARS, overlap: int = CHUNK_OVERLAP):
     """Column function: text to its array of chunks, batch by batch."""
 
-    @F.pandas_udf("array<string>")
+    @F.pandas_udf(T.ArrayType(T.StringType()))
     def chunk(text: pd.Series) -> pd.Series:
         return text.map(lambda t: split_recursive(t, size, overlap) if t and t.strip() else [])
 

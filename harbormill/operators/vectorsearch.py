@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -9,17 +10,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from harbormill.functions.vectors import cosine, has_width
+from harbormill.functions.vectors import cosine, dot, has_width
 from harbormill.operators.ranking import MAX_HITS
 
 DEFAULT_HITS = 5  # fixed value: results when the caller names no number
 
 
-def query_vector(values: Sequence[float] | Column) -> Column:
-    """Literal vector, or a column such as ``df.scalar()`` of a one-row query."""
-    if isinstance(values, Column):
-        return values
-    return F.array(*[F.lit(float(v)) for v in values])
+def _similarity(embedding: Column, query: Sequence[float] | Column) -> Column:
+    if isinstance(query, Column):
+        return cosine(embedding, query)
+    # a known query is scaled to length 1 once, which leaves two sums per row
+    length = math.sqrt(math.fsum(float(v) ** 2 for v in query))
+    if length == 0:
+        return F.lit(None).cast("double")
+    unit = F.array(*[F.lit(float(v) / length) for v in query])
+    norm = F.sqrt(dot(embedding, embedding))
+    return F.when(F.size(embedding) == len(query), F.try_divide(dot(embedding, unit), norm))
 
 
 def top_k(
@@ -32,14 +38,18 @@ def top_k(
 ) -> DataFrame:
     """Most similar rows first, score rounded to 4 places; an empty query finds nothing.
 
+    ``query`` is a list of numbers, or a column such as ``one_row.scalar()``.
     Each task keeps its own best k rows, so only k rows per task travel.
     """
     wanted = k or DEFAULT_HITS
     limit = wanted if max_hits is None else min(wanted, max_hits)
     if query is None or (not isinstance(query, Column) and len(query) == 0):
         return vectors.drop(embedding).withColumn("score", F.lit(None).cast("double")).limit(0)
-    score = cosine(F.col(embedding), query_vector(query))
-    scored = vectors.withColumn("_score", score).drop(embedding).where(F.col("_score").isNotNull())
+    if isinstance(query, Column):
+        vectors = vectors.withColumn("_query", query)
+        query = F.col("_query")
+    scored = vectors.withColumn("_score", _similarity(F.col(embedding), query)).drop(embedding, "_query")
+    scored = scored.where(F.col("_score").isNotNull())
     best = scored.orderBy(F.col("_score").desc(), *ties).limit(limit)
     return best.withColumn("score", F.round("_score", 4)).drop("_score")
 
