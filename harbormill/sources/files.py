@@ -66,12 +66,18 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType | str)
     reader = spark.read.option("multiLine", True)
     spelled = {c.lower(): c for c in reader.option("primitivesAsString", True).json(path).columns}
     as_landed = T.StructType([T.StructField(spelled.get(f.name.lower(), f.name), f.dataType) for f in wanted.fields])
-    return spark.read.schema(as_landed).option("multiLine", True).json(path).toDF(*[f.name.lower() for f in wanted.fields])
+    read = spark.read.schema(as_landed).option("multiLine", True).json(path)
+    return read.select(*[F.col(f.name).alias(f.name.lower()) for f in as_landed.fields])
 
 
-def read_nested_json(spark: SparkSession, path: str, schema: T.StructType | str, array: str) -> DataFrame:
-    """JSON documents with an array of objects, one row per object."""
-    return spark.read.schema(schema).option("multiLine", True).json(path).select(F.inline(array))
+def read_nested_json(
+    spark: SparkSession, path: str, schema: T.StructType | str, array: str, per_line: bool = False
+) -> DataFrame:
+    """JSON documents with an array of objects, one row per object.
+
+    A file is one document; with ``per_line`` every line is one, and files can be split.
+    """
+    return spark.read.schema(schema).option("multiLine", not per_line).json(path).select(F.inline(array))
 
 
 def read_by_extension(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:

@@ -84,16 +84,20 @@ def account_coverage(spark, d):
     "coverage_sql_functions",
     "D01 D02 D03",
     f"""SELECT account_id, coalesce({half_even('actual_value_usd', 'potential_value_usd', 4)}, 0.0) AS realization,
-        CAST(0.5 AS DOUBLE) AS rate, CASE WHEN upper(account_value_tier) = 'HIGH' AND potential_value_usd > 0
-        AND 4 * actual_value_usd < potential_value_usd THEN 'Under-served high-value'
-        WHEN upper(account_value_tier) = 'LOW' THEN 'Over-served low-value' ELSE 'Adequate' END AS flag
-        FROM {ACCOUNT.sql}""",
+        {half_even('prescribing_decile', '16', 4)} AS rate, CASE WHEN upper(account_value_tier) = 'HIGH'
+            AND potential_value_usd > 0 AND 4 * actual_value_usd < potential_value_usd AND prescribing_decile <= 2
+            THEN 'Under-served high-value'
+        WHEN upper(account_value_tier) = 'HIGH' AND prescribing_decile >= 3 THEN 'Well-served high-value'
+        WHEN upper(account_value_tier) = 'LOW' AND prescribing_decile >= 1 THEN 'Over-served low-value'
+        ELSE 'Adequate' END AS flag FROM {ACCOUNT.sql}""",
 )
 def coverage_sql_functions(spark, d):
+    """The rules called from SQL; the decile stands in for every count."""
     register_sql_functions(spark)
+    n = "prescribing_decile"
     return ACCOUNT.df(spark, d).select(
         "account_id",
         F.expr("realization_ratio(actual_value_usd, potential_value_usd)").alias("realization"),
-        F.expr("positive_rate(1L, 2L)").alias("rate"),
-        F.expr("coverage_flag(account_value_tier, potential_value_usd, actual_value_usd, 2L, 1L, 1L, 1L)").alias("flag"),
+        F.expr(f"positive_rate({n}, 16L)").alias("rate"),
+        F.expr(f"coverage_flag(account_value_tier, potential_value_usd, actual_value_usd, {n}, {n}, {n}, {n})").alias("flag"),
     )
