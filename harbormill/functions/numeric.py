@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from harbormill.functions.text import strip
+
 
 def money(c: Column, precision: int = 18, scale: int = 2) -> Column:
     """Exact decimal, so that sums do not depend on the order of the rows."""
@@ -43,12 +45,12 @@ def finite(c: Column) -> Column:
 
 
 def divide(num: Column, den: Column) -> Column:
-    """IEEE division on doubles: x/0 is signed infinity, 0/0 is null."""
+    """IEEE division on doubles: x/0 is signed infinity, 0/0 and null operands give null."""
     num, den = num.cast("double"), den.cast("double")
     return (
         F.when(den != 0, F.try_divide(num, den))
-        .when(num > 0, F.lit(float("inf")))
-        .when(num < 0, F.lit(float("-inf")))
+        .when((den == 0) & (num > 0), F.lit(float("inf")))
+        .when((den == 0) & (num < 0), F.lit(float("-inf")))
     )
 
 
@@ -64,7 +66,7 @@ def flag_from_text(c: Column) -> Column:
 
 def price_or_null(c: Column) -> Column:
     """Price text to decimal; blank or unreadable text is null."""
-    return F.nullif(F.trim(c), F.lit("")).try_cast("decimal(8,2)")
+    return F.nullif(strip(c), F.lit("")).try_cast("decimal(8,2)")
 
 
 def whole_number(c: Column) -> Column:

@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 # Fixed value: the characters that start a new word in title casing besides blanks.
 WORD_BREAKS = "[^\\p{L}\\p{N}]"
 
+# Fixed value: the characters that count as blanks at the ends of a text.
+BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u2028\u2029\u3000"
+
+
+def strip(c: Column) -> Column:
+    """Remove blanks of any kind from both ends, not only spaces."""
+    return F.btrim(c, F.lit(BLANKS))
+
 
 def first_match(c: Column, pattern: str, group: int = 0) -> Column:
     """First match of ``pattern`` or null (an empty text when only that group is empty)."""
@@ -21,7 +29,7 @@ def matches_whole(c: Column, pattern: str) -> Column:
 
 def unquote(c: Column, quotes: str = "'") -> Column:
     """Drop quote characters and then blanks from both ends."""
-    return F.trim(F.btrim(c, F.lit(quotes)))
+    return strip(F.btrim(c, F.lit(quotes)))
 
 
 def strip_prefix(c: Column, prefix: str) -> Column:
@@ -35,7 +43,7 @@ def strip_trailing_chars(c: Column, chars: str) -> Column:
 
 def market_key(c: Column) -> Column:
     """Canonical category label: no quotes, no 'es_' prefix, lower case."""
-    return F.lower(F.trim(strip_prefix(F.btrim(F.trim(c), F.lit("'\"")), "es_")))
+    return F.lower(strip(strip_prefix(F.btrim(strip(c), F.lit("'\"")), "es_")))
 
 
 def title_case(c: Column) -> Column:

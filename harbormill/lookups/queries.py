@@ -95,7 +95,7 @@ def market_fraud_stats(density: DataFrame, market: str) -> DataFrame:
     )
 
 
-def search_issues(vectors: DataFrame, query: Sequence[float] | Column | None, k: int | None = None) -> DataFrame:
+def search_issues(vectors: DataFrame, query: Sequence[float] | DataFrame | None, k: int | None = None) -> DataFrame:
     """Most similar chunks with the issue's key, status and update time from the metadata."""
     hits = top_k(vectors, query, k, ties=["langchain_id"])
     meta = F.col("langchain_metadata")

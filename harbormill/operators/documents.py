@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from harbormill.functions.ids import uuid5
-from harbormill.functions.text import join_nonblank, last_segment
+from harbormill.functions.text import join_nonblank, last_segment, strip
 
 # Chunk width and overlap in characters, chunk width in tokens,
 # and the separators tried from coarse to fine.
@@ -173,7 +173,7 @@ def document_table(landed: DataFrame, processed_at: Column) -> DataFrame:
         (F.regexp_count(contents, F.lit("\f")) + 1).cast("bigint").alias("pages"),
         # the rule under the header row marks one markdown table
         F.regexp_count(contents, F.lit(r"(?m)^\|(?:\s*:?-+:?\s*\|)+\s*$")).cast("bigint").alias("tables"),
-        F.size(F.filter(lines, lambda line: F.trim(line) != "")).cast("bigint").alias("doc_elements"),
+        F.size(F.filter(lines, lambda line: strip(line) != "")).cast("bigint").alias("doc_elements"),
         F.sha2(contents, 256).alias("document_hash"),
         F.length(contents).cast("bigint").alias("size"),
         "contents",

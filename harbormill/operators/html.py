@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harbormill.functions.numeric import price_or_null
-from harbormill.functions.text import first_match, last_segment
+from harbormill.functions.text import first_match, last_segment, strip
 
 TAG = r"<[^>]*>"
 # Where the parts of a product card are found.
@@ -30,7 +30,7 @@ def inner_text(c: Column) -> Column:
     out = F.regexp_replace(c, TAG, "")
     for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         out = F.replace(out, F.lit(entity), F.lit(char))
-    return F.trim(out)
+    return strip(out)
 
 
 def listing_cards(pages: DataFrame, html: str = "html") -> DataFrame:

@@ -10,27 +10,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from harbormill.functions.vectors import cosine, dot, has_width
+from harbormill.functions.vectors import dot, has_width
 from harbormill.operators.ranking import MAX_HITS
 
 DEFAULT_HITS = 5  # fixed value: results when the caller names no number
 
 
-def _similarity(embedding: Column, query: Sequence[float] | Column) -> Column:
-    if isinstance(query, Column):
-        return cosine(embedding, query)
-    # a known query is scaled to length 1 once, which leaves two sums per row
-    length = math.sqrt(math.fsum(float(v) ** 2 for v in query))
-    if length == 0:
-        return F.lit(None).cast("double")
-    unit = F.array(*[F.lit(float(v) / length) for v in query])
+def _unit(values: Sequence[float]) -> list[float] | None:
+    length = math.sqrt(math.fsum(float(v) ** 2 for v in values))
+    return [float(v) / length for v in values] if length else None
+
+
+def _unit_column(query: DataFrame) -> Column:
+    """The vector of a one-row query at length 1, as a subquery that runs once."""
+    vector = F.col(query.columns[0])
+    length = F.sqrt(dot(vector, vector))
+    return query.select(F.transform(vector, lambda x: F.try_divide(x.cast("double"), length)).alias("unit")).scalar()
+
+
+def _similarity(embedding: Column, unit: Column) -> Column:
+    """Cosine with a query of length 1, which leaves two sums per row."""
     norm = F.sqrt(dot(embedding, embedding))
-    return F.when(F.size(embedding) == len(query), F.try_divide(dot(embedding, unit), norm))
+    return F.when(F.size(embedding) == F.size(unit), F.try_divide(dot(embedding, unit), norm))
 
 
 def top_k(
     vectors: DataFrame,
-    query: Sequence[float] | Column | None,
+    query: Sequence[float] | DataFrame | None,
     k: int | None = None,
     embedding: str = "embedding",
     ties: Sequence[str] = (),
@@ -38,25 +44,27 @@ def top_k(
 ) -> DataFrame:
     """Most similar rows first, score rounded to 4 places; an empty query finds nothing.
 
-    ``query`` is a list of numbers, or a column such as ``one_row.scalar()``.
+    ``query`` is a list of numbers, or a DataFrame of one row and one vector.
     Each task keeps its own best k rows, so only k rows per task travel.
     """
     wanted = k or DEFAULT_HITS
     limit = wanted if max_hits is None else min(wanted, max_hits)
-    if query is None or (not isinstance(query, Column) and len(query) == 0):
-        return vectors.drop(embedding).withColumn("score", F.lit(None).cast("double")).limit(0)
-    if isinstance(query, Column):
-        vectors = vectors.withColumn("_query", query)
-        query = F.col("_query")
-    scored = vectors.withColumn("_score", _similarity(F.col(embedding), query)).drop(embedding, "_query")
-    scored = scored.where(F.col("_score").isNotNull())
-    best = scored.orderBy(F.col("_score").desc(), *ties).limit(limit)
+    if isinstance(query, DataFrame):
+        unit = _unit_column(query)
+    else:
+        numbers = _unit(query) if query is not None and len(query) else None
+        if numbers is None:
+            return vectors.drop(embedding).withColumn("score", F.lit(None).cast("double")).limit(0)
+        unit = F.array(*[F.lit(v) for v in numbers])
+    scored = vectors.withColumn("_query", unit)
+    scored = scored.withColumn("_score", _similarity(F.col(embedding), F.col("_query"))).drop(embedding, "_query")
+    best = scored.where(F.col("_score").isNotNull()).orderBy(F.col("_score").desc(), *ties).limit(limit)
     return best.withColumn("score", F.round("_score", 4)).drop("_score")
 
 
 def top_k_in_namespace(
     vectors: DataFrame,
-    query: Sequence[float] | Column,
+    query: Sequence[float] | DataFrame,
     namespace: str,
     k: int = 10,
     fetch_k: int = 20,

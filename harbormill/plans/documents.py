@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from harbormill.functions.nested import pluck
 from harbormill.functions.temporal import day_first_date
-from harbormill.functions.text import path_join
+from harbormill.functions.text import path_join, strip
 from harbormill.models import catalog
 from harbormill.operators.columns import conform
 from harbormill.operators.documents import (
@@ -103,7 +103,7 @@ def issue_chunks(issues: DataFrame, chunks: Column | None = None) -> DataFrame:
         F.struct(F.col("id").alias("issue_id"), "key", "project", "status", "created", "updated"),
         {"ignoreNullFields": "false"},
     )
-    with_text = issue_text(issues).where(F.trim("blob") != "").withColumn("langchain_metadata", meta)
+    with_text = issue_text(issues).where(strip(F.col("blob")) != "").withColumn("langchain_metadata", meta)
     split = chunks if chunks is not None else recursive_chunks()(F.col("blob"))
     reference = F.coalesce("key", "id", F.lit("unknown"))
     return explode_chunks(with_text, split).select(

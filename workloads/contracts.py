@@ -114,14 +114,12 @@ def quality_documents(spark, d):
     ),
 )
 def quality_freshness(spark, d):
-    rows = table(spark, d, "orders")
-    return checks.all_checks(
-        [
-            checks.check_rows(rows, "orders", [checks.stale_row("o_orderdate", AS_OF)]),
-            checks.check_latest(rows, "o_orderdate", "orders", AS_OF),
-            checks.check_recent_rows(rows, "o_orderdate", "orders", AS_OF),
-        ]
-    )
+    rules = [
+        checks.stale_row("o_orderdate", AS_OF),
+        checks.newest_within("o_orderdate", AS_OF),
+        checks.recent_rows("o_orderdate", AS_OF),
+    ]
+    return checks.check_rows(table(spark, d, "orders"), "orders", rules)
 
 
 @workload(

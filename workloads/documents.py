@@ -132,8 +132,8 @@ def _vectors(spark, d):
 
 
 def _query(spark, d):
-    """The query vector as a subquery of the same plan."""
-    return table(spark, d, "embeddings").where("vec_id = 0").select("embedding").scalar()
+    """The query vector stays a plan; it becomes a subquery of the search."""
+    return table(spark, d, "embeddings").where("vec_id = 0").select("embedding")
 
 
 SCORE = (

@@ -24,8 +24,8 @@ def _change(column: str, key: str, order: str) -> str:
     current = f"last_value({column} IGNORE NULLS) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     before = f"last_value({column} IGNORE NULLS) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     return (
-        f"(CASE WHEN {before} <> 0 THEN {current} / {before} WHEN {current} > 0 THEN 'inf'::DOUBLE "
-        f"WHEN {current} < 0 THEN '-inf'::DOUBLE END - 1)"
+        f"(CASE WHEN {before} <> 0 THEN {current} / {before} WHEN {before} = 0 AND {current} > 0 THEN 'inf'::DOUBLE "
+        f"WHEN {before} = 0 AND {current} < 0 THEN '-inf'::DOUBLE END - 1)"
     )
 
 
