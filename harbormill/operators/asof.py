@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from harbormill.functions.temporal import epoch_seconds
-from harbormill.operators.joins import renamed_keys, same_keys
 
 DAY = 86_400
 
@@ -32,16 +31,16 @@ def asof_join(
 ) -> DataFrame:
     """All left rows with the right columns of the latest match (null without one).
 
-    Of several right rows with one (key, time) the greatest wins. ``left_unique``
-    and ``right_unique`` state that (key, time) does not repeat on that side and
-    save the folding.
+    Of several right rows with one (key, time) the greatest wins. Null keys and
+    times match nothing. ``left_unique`` and ``right_unique`` state that (key,
+    time) does not repeat on that side and save the folding.
     """
     by = list(by)
     payload = [c for c in right.columns if c not in (*by, on)]
     extra = [c for c in left.columns if c not in (*by, on)]
     time_slice = F.floor(epoch_seconds(F.col(on)) / slice_seconds)
 
-    matches = right.where(F.col(on).isNotNull()).select(*by, on, F.struct(*payload).alias("_hit"))
+    matches = right.dropna(subset=[*by, on]).select(*by, on, F.struct(*payload).alias("_hit"))
     if not right_unique:
         matches = matches.groupBy(*by, on).agg(F.max("_hit").alias("_hit"))
 
@@ -76,10 +75,11 @@ def asof_join(
     carried = per_slice.select(*by, "_slice", F.last("_last", ignorenulls=True).over(earlier).alias("_carry")).where(
         F.col("_carry").isNotNull()
     )
-    answered = within.where(F.col("_own").isNotNull())
-    slice_keys = [*by, "_slice"]
-    answered = answered.join(renamed_keys(carried, slice_keys), same_keys(slice_keys), "left").select(
-        *by, on, "_own", F.coalesce("_found", "_carry").alias("_found")
+    # the windows have left both sides partitioned by (key, slice) or by key
+    answered = (
+        within.where(F.col("_own").isNotNull())
+        .join(carried, [*by, "_slice"], "left")
+        .select(*by, on, "_own", F.coalesce("_found", "_carry").alias("_found"))
     )
 
     if left_unique:
@@ -89,7 +89,7 @@ def asof_join(
             *[F.col("_own")[c].alias(c) for c in extra],
             *[F.col("_found")[c].alias(c) for c in payload],
         )
-    answered = renamed_keys(answered.where(F.col("_found").isNotNull()).drop("_own"), [*by, on])
-    return left.join(answered, same_keys([*by, on]), "left").select(
+    found = answered.where(F.col("_found").isNotNull()).drop("_own")
+    return left.join(found, [*by, on], "left").select(
         *left.columns, *[F.col("_found")[c].alias(c) for c in payload]
     )

@@ -14,6 +14,8 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # call sites of every column expression cost more than a third of the planning time
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

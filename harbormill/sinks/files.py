@@ -23,11 +23,16 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
-def write_documents_json(df: DataFrame, document: str, chunks: Column, path: str) -> None:
-    """One JSON array per source document, in a folder named after it.
+def write_documents_json(df: DataFrame, document: str, chunks: Column, path: str, folders: bool = False) -> None:
+    """One JSON array per source document.
 
     ``chunks`` is the document's own array of structs, so documents are written
-    where they are, without gathering their chunks from elsewhere.
+    where they are, without gathering their chunks from elsewhere. By default a
+    line holds a document and its array; ``folders`` puts every array into a
+    folder named after its document, which suits thousands of documents, not billions.
     """
-    body = df.select(F.col(document), F.to_json(chunks).alias("value"))
-    body.write.mode("overwrite").partitionBy(document).text(path)
+    if folders:
+        body = df.select(F.col(document), F.to_json(chunks).alias("value"))
+        body.write.mode("overwrite").partitionBy(document).text(path)
+    else:
+        df.select(F.col(document), chunks.alias("chunks")).write.mode("overwrite").json(path)

@@ -113,14 +113,25 @@ def test_asof_against_brute_force(spark, slice_seconds, unique):
     assert rows(got.select("k", "t", "name", "value")) == naive_asof(left, right)
 
 
-def test_asof_matches_null_keys_and_keeps_unmatched(spark):
+def test_asof_null_keys_match_nothing_and_unmatched_rows_stay(spark):
     left = spark.createDataFrame([(None, seconds(10), 1), ("a", seconds(1), 2)], "k string, t timestamp_ntz, name long")
     right = spark.createDataFrame([(None, seconds(10), 5), ("a", seconds(2), 6)], "k string, t timestamp_ntz, value long")
     got = asof_join(left, right, ["k"], "t").select("name", "value")
-    assert rows(got) == [(1, 5), (2, None)]
+    assert rows(got) == [(1, None), (2, None)]
 
 
 def test_a_null_payload_is_still_the_latest_row(spark):
     left = spark.createDataFrame([("a", seconds(9), 1)], "k string, t timestamp_ntz, name long")
     right = spark.createDataFrame([("a", seconds(1), 5), ("a", seconds(2), None)], "k string, t timestamp_ntz, value long")
     assert asof_join(left, right, ["k"], "t").collect()[0]["value"] is None
+
+
+def test_plans_have_no_quadratic_join(spark):
+    from tools.plans import QUADRATIC, shape
+
+    left = spark.range(10).selectExpr("string(id % 2) AS k", "timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, int(id)) AS t", "id")
+    right = left.selectExpr("k", "t", "id AS value")
+    counts = shape(asof_join(left, right, ["k"], "t"))
+    assert not set(QUADRATIC) & set(counts)
+    counts = shape(conflicts_within(left.withColumn("v", left["id"]), "k", "t", "v"))
+    assert not set(QUADRATIC) & set(counts) and counts["Exchange"] <= 5

@@ -249,17 +249,31 @@ def history_append(spark, d):
     return files.read_parquet(spark, path)
 
 
+DOCUMENTS_JSON_SQL = """SELECT doc_id, len(regexp_extract_all(text, '(?s).{{1,512}}')) AS chunks, left(text, 512) AS first_chunk
+        FROM {}"""
+
+
+def _chunk_structs():
+    return F.transform(stride_chunks(F.col("text")), lambda c: F.struct(c.alias("page_content")))
+
+
+@workload("documents_json", "K09 T05", DOCUMENTS_JSON_SQL.format("documents"))
+def documents_json(spark, d):
+    path = shared_dir(spark, "documents")
+    out.write_documents_json(table(spark, d, "documents"), "doc_id", _chunk_structs(), path)
+    read = files.read_ndjson(spark, path, "doc_id bigint, chunks array<struct<page_content:string>>")
+    return read.select("doc_id", F.size("chunks").alias("chunks"), F.get("chunks", F.lit(0))["page_content"].alias("first_chunk"))
+
+
 @workload(
-    "documents_json",
-    "K09 T05",
-    """SELECT doc_id, n AS chunks, left(text, 512) AS first_chunk FROM (SELECT doc_id % 1000000 AS doc_id, text,
-        len(regexp_extract_all(text, '(?s).{1,512}')) AS n FROM documents WHERE source = 'src3')""",
+    "documents_json_folders",
+    "K09",
+    DOCUMENTS_JSON_SQL.format("(SELECT item_id AS doc_id, text FROM benchmark)"),
 )
-def documents_json(spark, d):
+def documents_json_folders(spark, d):
     path = shared_dir(spark, "documents")
-    rows = table(spark, d, "documents").where("source = 'src3'")
-    chunk = F.transform(stride_chunks(F.col("text")), lambda c: F.struct(c.alias("page_content")))
-    out.write_documents_json(rows, "doc_id", chunk, path)
+    rows = table(spark, d, "benchmark").withColumnRenamed("item_id", "doc_id")
+    out.write_documents_json(rows, "doc_id", _chunk_structs(), path, folders=True)
     read = spark.read.text(path).withColumn("items", F.from_json("value", "array<struct<page_content:string>>"))
     return read.select("doc_id", F.size("items").alias("chunks"), F.get("items", F.lit(0))["page_content"].alias("first_chunk"))
 
