@@ -21,6 +21,7 @@ from harbormill.models import Model
 from harbormill.models.glossary import allowed_values
 from harbormill.operators.joins import children_of, orphan_count
 from harbormill.operators.sets import missing_columns
+from harbormill.sources.files import file_listing
 
 PASS, WARNING, FAILED = "PASS", "WARNING", "FAILED"
 RESULT_DDL = "check string, model string, status string, total bigint, bad bigint, bad_pct double"
@@ -243,12 +244,16 @@ def check_nonempty(df: DataFrame, model: str, severity: str = FAILED) -> DataFra
 
 
 def check_readable(spark: SparkSession, path: str, model: str, file_format: str = "parquet") -> DataFrame:
-    """Input has rows; an unreadable input fails as well."""
+    """Input has rows; an unreadable input fails as well. ``total`` is the row count.
+
+    Counting a columnar file reads its footers only; other formats stop at the first row.
+    """
     try:
-        empty = spark.read.format(file_format).load(path).isEmpty()
+        rows = spark.read.format(file_format).load(path)
+        found = rows.count() if file_format in ("parquet", "orc") else rows.limit(1).count()
     except Exception:  # noqa: BLE001 - whatever stops the read is the finding
         return fixed_result(spark, "readable", model, True, 0, 0)
-    return fixed_result(spark, "readable", model, empty, 0 if empty else 1, 0)
+    return fixed_result(spark, "readable", model, found == 0, found, 0)
 
 
 def check_json_nonempty(spark: SparkSession, path: str, model: str) -> DataFrame:
@@ -327,13 +332,26 @@ def _same_type(actual: T.DataType | None, wanted: T.DataType) -> bool:
 def check_files_fresh(
     files: DataFrame, model: str, as_of: dt.datetime, age: dt.timedelta = FILE_AGE, severity: str = FAILED
 ) -> DataFrame:
-    """Files (column modificationTime) not touched within the limit; no file at all is bad too."""
-    found = files.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.coalesce(F.sum((F.col("modificationTime") < F.lit(as_of - age)).cast("int")), F.lit(0)).alias("stale"),
-    )
-    bad = F.when(F.col("total") == 0, F.lit(1)).otherwise(F.col("stale"))
-    return found.select(F.inline(F.array(_result("file_fresh", model, _status(bad, severity), F.col("total"), bad))))
+    """The newest file (column modificationTime) was written within the limit; no file at all fails."""
+    stale = F.coalesce(F.max("modificationTime") < F.lit(as_of - age), F.lit(True)).cast("int")
+    result = check_rows(files, model, [TableRule("file_fresh", stale, severity)])
+    return result.withColumn("status", F.when(F.col("total") == 0, FAILED).otherwise(F.col("status")))
+
+
+def check_path_fresh(
+    spark: SparkSession,
+    path: str,
+    model: str,
+    as_of: dt.datetime,
+    age: dt.timedelta = FILE_AGE,
+    severity: str = FAILED,
+) -> DataFrame:
+    """The same for a path; one that cannot be listed fails whatever the severity."""
+    try:
+        files = file_listing(spark, path)
+    except Exception:  # noqa: BLE001 - whatever stops the listing is the finding
+        return fixed_result(spark, "file_fresh", model, True, 0, 0)
+    return check_files_fresh(files, model, as_of, age, severity)
 
 
 def check_latest(

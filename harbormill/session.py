@@ -16,9 +16,19 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # call sites of every column expression cost more than a third of the planning time
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # whole documents travel to the text functions: keep an Arrow batch to some tens of megabytes
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Bring a session that was made elsewhere to the settings above."""
+    for key, value in REQUIRED_CONF.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+    return spark
+
+
 def local_session(app: str, cores: int = 8, memory: str = "8g") -> SparkSession:
     """Session for tests and benchmarks on one machine."""
     builder = (

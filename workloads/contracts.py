@@ -28,7 +28,7 @@ ACCOUNT_RULES_SQL = " UNION ALL ".join(
         check_sql("null:email_opt_in", "account", TOTAL, _bad("email_opt_in IS NULL"), "WARNING", ACCOUNT.sql),
         check_sql("length:npi", "account", TOTAL, _bad("npi IS NULL OR length(CAST(npi AS VARCHAR)) <> 10"), "WARNING", ACCOUNT.sql),
         check_sql(
-            "casing:first_name,last_name", "account", TOTAL, _bad("first_name <> upper(first_name[1]) || lower(first_name[2:])"),
+            "casing:first_name,last_name,status", "account", TOTAL, _bad("first_name <> upper(first_name[1]) || lower(first_name[2:])"),
             "WARNING", ACCOUNT.sql,
         ),
         check_sql("pattern:territory_id", "account", TOTAL, _bad("NOT regexp_full_match(territory_id, 'T-[0-9]')"), "WARNING", ACCOUNT.sql),
@@ -41,7 +41,7 @@ def account_checks(rows):
     rules = [
         checks.is_null("email_opt_in"),
         checks.wrong_length("npi"),
-        checks.wrong_casing(["first_name", "last_name"]),
+        checks.wrong_casing(["first_name", "last_name", "status"]),
         checks.breaks_pattern("territory_id", "T-[0-9]"),
     ]
     return checks.check_rows(rows, "account", rules, nonempty=True)
@@ -247,17 +247,16 @@ def quality_schema(spark, d):
     "quality_files",
     "Q20 Q21 Q03 Q05",
     """SELECT 'file_fresh' AS check, 'orders' AS model, 'FAILED' AS status, 1 AS total, 1 AS bad, 100.0::DOUBLE AS bad_pct FROM (SELECT 1 FROM orders LIMIT 1)
-        UNION ALL SELECT 'file_fresh', 'part', 'WARNING', 1, 1, 100.0 UNION ALL SELECT 'readable', 'orders', 'PASS', 1, 0, 0.0
-        UNION ALL SELECT 'readable', 'nothing', 'FAILED', 0, 0, 0.0""",
+        UNION ALL SELECT 'file_fresh', 'part', 'WARNING', 1, 1, 100.0 UNION ALL SELECT 'file_fresh', 'nothing', 'FAILED', 0, 0, 0.0
+        UNION ALL SELECT 'readable', 'orders', 'PASS', count(*), 0, 0.0 FROM orders UNION ALL SELECT 'readable', 'nothing', 'FAILED', 0, 0, 0.0""",
 )
 def quality_files(spark, d):
-    from harbormill.sources.files import file_listing
-
     far = dt.datetime(2100, 1, 1)
     return checks.all_checks(
         [
-            checks.check_files_fresh(file_listing(spark, f"{d}/orders.parquet"), "orders", far),
-            checks.check_files_fresh(file_listing(spark, f"{d}/part.parquet"), "part", far, severity=checks.WARNING),
+            checks.check_path_fresh(spark, f"{d}/orders.parquet", "orders", far),
+            checks.check_path_fresh(spark, f"{d}/part.parquet", "part", far, severity=checks.WARNING),
+            checks.check_path_fresh(spark, f"{d}/nothing.parquet", "nothing", far, severity=checks.WARNING),
             checks.check_readable(spark, f"{d}/orders.parquet", "orders"),
             checks.check_readable(spark, f"{d}/nothing.parquet", "nothing"),
         ]

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from harbormill.session import prepare
+
 # The supplied tables. Declared schemas spare a pass over file footers.
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -74,7 +76,7 @@ def workload(name: str, covers: str, sql: str | None = None):
             raise ValueError(f"workload {name!r} is registered twice")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return comparable(fn(spark, sf_dir))
+            return comparable(fn(prepare(spark), sf_dir))
 
         WORKLOADS[name] = Workload(name, tuple(covers.split()), run, sql)
         return fn
