@@ -56,7 +56,7 @@ def divide(num: Column, den: Column) -> Column:
 
 def number_or_zero(c: Column, dtype: str = "bigint") -> Column:
     """Text to number; anything unreadable counts as zero."""
-    return F.coalesce(c.try_cast("double"), F.lit(0.0)).cast(dtype)
+    return F.coalesce(c.try_cast("double").try_cast(dtype), F.lit(0).cast(dtype))
 
 
 def flag_from_text(c: Column) -> Column:

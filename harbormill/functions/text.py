@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the characters that start a new word in title casing besides blanks.
-WORD_BREAKS = "[^\\p{L}\\p{N}]"
+# Fixed value: the characters after which title casing starts a new word; an apostrophe is none.
+WORD_BREAKS = r"""[\s!?@"^#$&~_,.:;+\-*%/|\\\[\](){}<>]"""
 
 # Fixed value: the characters that count as blanks at the ends of a text.
 BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u2028\u2029\u3000"
@@ -47,7 +47,7 @@ def market_key(c: Column) -> Column:
 
 
 def title_case(c: Column) -> Column:
-    """Upper-case the first letter of every word, where any non-alphanumeric ends a word."""
+    """Upper-case the first letter of every word, where blanks and most punctuation end a word."""
     # initcap only breaks at blanks: put a blank after each break, then take it out again
     marked = F.regexp_replace(c, f"({WORD_BREAKS})", "$1 \u0001")
     spaced = F.regexp_replace(marked, "\u0001", "")

@@ -49,9 +49,9 @@ def price_history(panel: DataFrame, date: str, tickers: Sequence[str], separator
     return conform(stack_prices(panel, date, tickers, PRICE_MEASURES, separator), catalog.HISTORY)
 
 
-def growth(history: DataFrame, statements: DataFrame) -> DataFrame:
+def growth(history: DataFrame, statements: DataFrame, one_price_per_day: bool = False) -> DataFrame:
     """Year-end close with its return and the latest statement known at year end."""
-    yearly = year_end_last(history, "symbol", "date", "close")
+    yearly = year_end_last(history, "symbol", "date", "close", one_price_per_day)
     yearly = pct_change(yearly, ["symbol"], "date", {"annual_return": "close"})
     reported = pivot_mean(statements, ["symbol", "date"], "metric", "value", GROWTH_METRICS)
     reported = pct_change(

@@ -135,3 +135,32 @@ def test_plans_have_no_quadratic_join(spark):
     assert not set(QUADRATIC) & set(counts)
     counts = shape(conflicts_within(left.withColumn("v", left["id"]), "k", "t", "v"))
     assert not set(QUADRATIC) & set(counts) and counts["Exchange"] <= 5
+
+
+def test_a_hot_slice_is_split_over_tasks(spark):
+    """A third of all rows in one key and one hour still leaves the join balanced."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        data = spark.range(0, 600_000, 1, 16).selectExpr(
+            "id",
+            "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('u', id % 5000) END AS k",
+            "timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, 0, "
+            "CAST(CASE WHEN id % 3 = 0 THEN id % 3600 ELSE (id * 7919) % 2592000 END AS INT)) AS t",
+            "CASE WHEN hash(id) % 50 = 0 THEN 'FR' ELSE 'AU' END AS v",
+        )
+        found = conflicts_within(data, "k", "t", "v").groupBy("k").agg({"id": "max", "*": "count"})
+        hot = {r["k"]: r["count(1)"] for r in found.collect()}["hot"]
+        assert hot == 200_000
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -35,7 +35,8 @@ def test_uuid5_equals_python(spark, name):
     [
         ("carlos", "Carlos"),
         ("MARY ann", "Mary Ann"),
-        ("o'neil-smith", "O'Neil-Smith"),
+        ("o'NEIL-smith", "O'neil-Smith"),
+        ("a_b|c\\d[e]{f}<g>", "A_B|C\\D[E]{F}<G>"),
         ("st. john/paul", "St. John/Paul"),
         ("a--b", "A--B"),
         ("", ""),
@@ -72,6 +73,12 @@ def test_rounding_modes(spark):
     assert one(spark, numeric.percent(F.lit(0), F.lit(0))) == 0.0
 
 
+def test_numbers_that_do_not_fit_count_as_zero(spark):
+    for raw in ("NaN", "1e30", "x", None):
+        assert one(spark, numeric.number_or_zero(F.lit(raw).cast("string"))) == 0
+    assert one(spark, numeric.number_or_zero(F.lit("7.0"))) == 7
+
+
 @pytest.mark.parametrize(("raw", "expected"), [("0.25", 0), ("0.5", 1), ("12", 12), ("", None), ("x", None)])
 def test_whole_number(spark, raw, expected):
     assert one(spark, numeric.whole_number(F.lit(raw))) == expected
