@@ -248,7 +248,7 @@ DETAILS = StandIn(
         "<td>' || CAST(p_size AS STRING) || '</td></tr><tr><td>Brand</td><td> ' || p_brand || ' </td></tr></table><span>from $' || "
         f"{text('p_size')} || '.50</span>'",
     },
-    "p_partkey % 10 <> 9",
+    "p_type <> 'STANDARD'",
 )
 CARDS_SQL = f"""SELECT page, 0 AS position, CAST(page AS VARCHAR) AS product_id, name, price_text, category FROM (
             SELECT p_partkey AS page, {CATEGORY} AS category, p_name || ' & co ' || p_partkey AS name, {PRICE} AS price_text FROM part)
@@ -269,7 +269,7 @@ def html_cards(spark, d):
     "html_details",
     "T10",
     f"""SELECT '{SHOP}' || p_partkey AS product_url, 'Made by ' || p_brand AS description, p_brand AS brand,
-        p_size + 0.5::DOUBLE AS original_price FROM part WHERE p_partkey % 10 <> 9""",
+        p_size + 0.5::DOUBLE AS original_price FROM part WHERE p_type <> 'STANDARD'""",
 )
 def html_details(spark, d):
     return html.product_details(DETAILS.df(spark, d))
@@ -282,7 +282,7 @@ def html_details(spark, d):
         p_size + 0.5::DOUBLE AS original_price, coalesce('Made by ' || p_brand, '') AS description, coalesce(p_brand, '') AS brand,
         '{SHOP}' || product_id AS product_url, '{LOADED_TEXT}' AS scraped_at FROM (
         SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY category, page, position) AS rn FROM ({CARDS_SQL})) c
-        LEFT JOIN (SELECT * FROM part WHERE p_partkey % 10 <> 9) p ON c.product_id = CAST(p.p_partkey AS VARCHAR) WHERE rn = 1""",
+        LEFT JOIN (SELECT * FROM part WHERE p_type <> 'STANDARD') p ON c.product_id = CAST(p.p_partkey AS VARCHAR) WHERE rn = 1""",
 )
 def shop_catalog(spark, d):
     categories = ["apparel", "consumables", "household"]
@@ -392,11 +392,11 @@ def announcements(spark, d):
     "files_to_fetch",
     "E16 J10",
     f"""SELECT 'file/U' || user_id || '/' || {DOC_KEY} AS path, {DOC_KEY} AS document_key FROM events
-        WHERE event_id % 11 <> 0 AND event_id % 5 <> 0""",
+        WHERE event_id % 11 <> 0 AND event_type <> 'click'""",
 )
 def files_to_fetch(spark, d):
     listed = products.announcements(products.parse_announcements(landed_announcements(spark, d)), ROOT)
-    present = table(spark, d, "events").where("event_id % 5 = 0").selectExpr(
+    present = table(spark, d, "events").where("event_type = 'click'").selectExpr(
         "'file/U' || CAST(user_id AS STRING) || '/doc-' || CAST(event_id AS STRING) AS path"
     )
     return products.files_to_fetch(listed, present)
@@ -462,7 +462,6 @@ SECOND = StandIn(
         "value": "'{\"current_condition\": [{\"temp_C\": \"' || CAST(user_id AS STRING) || '\", \"humidity\": \"' || "
         "CAST(event_id % 100 AS STRING) || '\", \"windspeedKmph\": \"7\"}]}'",
     },
-    "event_id % 3 = 0",
 )
 
 
@@ -473,7 +472,7 @@ SECOND = StandIn(
         AS timestamp, user_id + 0.5::DOUBLE AS temperature_c, event_id % 100 AS humidity_pct, 3.25::DOUBLE AS wind_speed_kmh,
         'open-meteo' AS provider, '{LOADED_TEXT}' AS process_timestamp FROM events
         UNION ALL SELECT event_type, '{LOADED_TEXT}', CAST(user_id AS DOUBLE), event_id % 100, 7.0::DOUBLE, 'wttr.in', '{LOADED_TEXT}'
-        FROM events WHERE event_id % 3 = 0""",
+        FROM events""",
 )
 def unified_weather(spark, d):
     at = F.lit(LOADED_AT).cast("timestamp")

@@ -205,13 +205,11 @@ def best_loan_rates(spark, d):
     "bracket_targets",
     "P12",
     """SELECT l_orderkey, l_linenumber, l_partkey, CAST(t AS DOUBLE) AS target FROM lineitem, (VALUES (5.0), (20.0), (45.0)) v(t)
-        WHERE t > l_quantity - 1 AND t <= l_quantity + 1 AND l_discount > 0.05""",
+        WHERE t > l_quantity - 1 AND t <= l_quantity + 1""",
 )
 def bracket_targets(spark, d):
-    rows = (
-        table(spark, d, "lineitem")
-        .where("l_discount > 0.05")
-        .selectExpr("l_orderkey", "l_linenumber", "l_partkey", "l_quantity - 1 AS low", "l_quantity + 1 AS high")
+    rows = table(spark, d, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity - 1 AS low", "l_quantity + 1 AS high"
     )
     return ranking.bracket_targets(rows, "low", "high", [5.0, 20.0, 45.0]).drop("low", "high")
 
@@ -234,11 +232,11 @@ OFFER = StandIn(
         '5000' AS min_amount, CAST(p_size AS VARCHAR) AS min_term, '60' AS max_term, '20000' AS max_amount,
         CAST(NULL AS VARCHAR) AS maturity_rate, '1.25' AS monthly_rate, '' AS hot_rate, '12/05/2023' AS effective_date
         FROM part UNION ALL SELECT 'TermDeposit-' || p_size, 'PUBLISHED', 'R' || p_size, p_name, '5000', CAST(p_size AS VARCHAR),
-        '60', '20000', NULL, '1.25', '', '12/05/2023' FROM part WHERE p_partkey % 2 = 0""",
+        '60', '20000', NULL, '1.25', '', '12/05/2023' FROM part WHERE p_type = 'PROMO'""",
 )
 def flat_deposit_feed(spark, d):
     all_products = OFFER.df(spark, d)
-    offers = table(spark, d, "part").where("p_partkey % 2 = 0").selectExpr(
+    offers = table(spark, d, "part").where("p_type = 'PROMO'").selectExpr(
         *[f"{e} AS `{n}`" for n, e in OFFER.columns.items()]
     )
     return rates.flat_deposit_feed(all_products, offers)
@@ -269,9 +267,9 @@ def tier_brackets(spark, d):
     "orphan_share",
     "J04",
     """SELECT CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (c.c_custkey IS NULL) AS BIGINT) AS orphans FROM orders o
-        LEFT JOIN (SELECT c_custkey FROM customer WHERE c_custkey % 9 <> 0) c ON o.o_custkey = c.c_custkey""",
+        LEFT JOIN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'MACHINERY') c ON o.o_custkey = c.c_custkey""",
 )
 def orphan_share(spark, d):
     orders = table(spark, d, "orders").select(F.col("o_custkey").alias("key"))
-    customers = table(spark, d, "customer").where("c_custkey % 9 <> 0").select(F.col("c_custkey").alias("key"))
+    customers = table(spark, d, "customer").where("c_mktsegment <> 'MACHINERY'").select(F.col("c_custkey").alias("key"))
     return joins.orphan_count(orders, customers, "key")

@@ -44,6 +44,44 @@ class Workload:
 
 WORKLOADS: dict[str, Workload] = {}
 
+# Columns that a twin's constants would make INTEGER; both sides are compared as bigint.
+WHOLE_NUMBERS = {
+    "quality_schema": "total bad",
+    "quality_files": "bad",
+    "publication_gate": "missing",
+    "html_cards": "position",
+    "html_tables": "position",
+    "disclosures": "tables",
+    "bank_a_deposits": "min_amount max_amount",
+    "bank_c_deposits": "min_amount max_amount",
+    "bank_a_loans": "min_lvr max_lvr min_loan",
+    "bank_b_loans": "min_lvr max_lvr min_loan",
+    "bank_c_loans": "min_lvr max_lvr min_loan max_loan",
+    "home_loan_rates": "min_lvr max_lvr min_loan",
+    "home_loans_of_bank": "min_lvr max_lvr min_loan",
+    "bracket_targets": "l_linenumber",
+    "first_seen": "l_linenumber",
+    "melt_metrics": "l_linenumber",
+    "multi_key_sort": "c_nationkey",
+    "top_revenue": "year",
+    "revenue_of_company": "year",
+    "revenue_of_nobody": "year",
+    "array_functions": "n",
+    "model_inventory": "fields dimensions pii",
+    "column_links": "hops",
+    "json_array_files": "portfolioid",
+    "slice_copy": "min_amount max_amount",
+    "json_contract": "total bad",
+    "batch_quality": "null_timestamp",
+}
+
+
+def _widened(name: str, sql: str | None) -> str | None:
+    if sql is None or name not in WHOLE_NUMBERS:
+        return sql
+    casts = ", ".join(f'CAST("{c}" AS BIGINT) AS "{c}"' for c in WHOLE_NUMBERS[name].split())
+    return f"SELECT * REPLACE ({casts}) FROM ({sql})"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
@@ -78,7 +116,7 @@ def workload(name: str, covers: str, sql: str | None = None):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return comparable(fn(prepare(spark), sf_dir))
 
-        WORKLOADS[name] = Workload(name, tuple(covers.split()), run, sql)
+        WORKLOADS[name] = Workload(name, tuple(covers.split()), run, _widened(name, sql))
         return fn
 
     return register

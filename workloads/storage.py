@@ -239,13 +239,13 @@ def crm_load(spark, d):
 @workload(
     "history_append",
     "K05 S04",
-    "SELECT event_id, user_id FROM events WHERE event_id % 2 = 0 UNION ALL SELECT event_id, user_id FROM events WHERE event_id % 2 = 1",
+    "SELECT event_id, user_id FROM events",
 )
 def history_append(spark, d):
     path = shared_dir(spark, "history")
-    rows = table(spark, d, "events").select("event_id", "user_id")
-    out.append_history(rows.where("event_id % 2 = 0"), path)
-    out.append_history(rows.where("event_id % 2 = 1"), path)
+    rows = table(spark, d, "events")
+    for kind in (F.col("event_type") == "click", F.col("event_type") != "click"):
+        out.append_history(rows.where(kind).select("event_id", "user_id"), path)
     return files.read_parquet(spark, path)
 
 
@@ -281,18 +281,18 @@ def documents_json_folders(spark, d):
 @workload(
     "upsert_by_id",
     "K12 E17",
-    """SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN 'new' ELSE o_orderstatus END AS status FROM orders
-        UNION ALL SELECT -1 - o_orderkey, 'added' FROM orders WHERE o_orderkey % 3 = 0""",
+    """SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'F' THEN 'new' ELSE o_orderstatus END AS status FROM orders
+        UNION ALL SELECT -1 - o_orderkey, 'added' FROM orders WHERE o_orderstatus = 'F'""",
 )
 def upsert_by_id(spark, d):
     name, path = _place(spark, "upsert")
     rows = table(spark, d, "orders").selectExpr("o_orderkey AS id", "o_orderstatus AS status", "1 AS version")
     sink.upsert_by_id(rows, name, ["id"], ["version"], path)
-    third = rows.where("id % 3 = 0")
+    filled = rows.where("status = 'F'")
     updates = (
-        third.withColumns({"status": F.lit("new"), "version": F.lit(3)})
-        .unionByName(third.withColumns({"status": F.lit("late"), "version": F.lit(2)}))
-        .unionByName(third.withColumns({"id": -1 - F.col("id"), "status": F.lit("added"), "version": F.lit(1)}))
+        filled.withColumns({"status": F.lit("new"), "version": F.lit(3)})
+        .unionByName(filled.withColumns({"status": F.lit("late"), "version": F.lit(2)}))
+        .unionByName(filled.withColumns({"id": -1 - F.col("id"), "status": F.lit("added"), "version": F.lit(1)}))
     )
     sink.upsert_by_id(updates, name, ["id"], ["version"], path)
     sink.upsert_by_id(updates, name, ["id"], ["version"], path)
