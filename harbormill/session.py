@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -14,12 +15,14 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # call sites of every column expression cost more than a third of the planning time
-    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # whole documents travel to the text functions: keep an Arrow batch to some tens of megabytes
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
+# Only a session's builder can set this one: without the call site of every column
+# expression, planning takes less than half the time.
+BUILD_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Bring a session that was made elsewhere to the settings above."""
@@ -38,13 +41,18 @@ def local_session(app: str, cores: int = 8, memory: str = "8g") -> SparkSession:
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cores))
     )
-    for key, value in REQUIRED_CONF.items():
+    for key, value in (REQUIRED_CONF | BUILD_CONF).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="harbormill-")
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder that every executor can reach.
 
@@ -55,6 +63,5 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name shared storage on a cluster")
-        base = tempfile.mkdtemp(prefix="harbormill-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_dir()
     return f"{base.rstrip('/')}/harbormill/{purpose}-{uuid.uuid4().hex}"

@@ -47,3 +47,20 @@ def test_entry_is_lazy_and_stable(spark, sf_dir):
     df = entry.entry(spark)
     assert df.columns[0] == "account_id"
     assert df.count() == 150
+
+
+def test_functions_for_python_workers_travel_with_the_job():
+    """A worker without this package can still run them."""
+    import pickle
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from harbormill.operators.documents import split_recursive
+
+    payload = cloudpickle.dumps(split_recursive)
+    code = "import pickle, sys; print(pickle.loads(sys.stdin.buffer.read())('a b c', 3, 0))"
+    done = subprocess.run([sys.executable, "-c", code], input=payload, capture_output=True, cwd="/", check=True, timeout=120)
+    assert done.stdout.decode().strip() == "['a b', 'c']"
+    assert pickle.loads(payload)("a b c", 3, 0) == ["a b", "c"]
