@@ -208,12 +208,12 @@ def trip_metrics(spark, d):
 
 
 @workload(
-    "pipeline_summary",
+    "run_summary",
     "E22",
     """SELECT event_type AS pipeline, CASE WHEN bool_and(value < 120) THEN 'success' ELSE 'failed' END AS status,
         count(*) AS rows_processed FROM events GROUP BY 1""",
 )
-def pipeline_summary(spark, d):
+def run_summary(spark, d):
     return trips.pipeline_summary(table(spark, d, "events").selectExpr("event_type AS pipeline", "value < 120 AS ok"))
 
 
