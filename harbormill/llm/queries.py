@@ -6,9 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harbormill.llm import chat, pieces, secrets
+from harbormill.llm import chat, packing, pieces, secrets, simhash
 from harbormill.session import prepare
 
+WORD_TOKENIZER = "word_bpe_49k.json"
 PIECE_MODEL = "piece_bpe_32k.model"
 
 
@@ -72,6 +73,23 @@ FROM judged GROUP BY conv_id
 """
 
 
+# --- packing ------------------------------------------------------------------
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    packed = packing.pack_documents(docs, public_tokenizers.path(WORD_TOKENIZER))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+# --- SimHash ------------------------------------------------------------------
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.simhash_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 # --- secret scans -------------------------------------------------------------
 
 
@@ -109,7 +127,9 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_packing": op2_packing,
     "op4_chat_format": op4_chat_format,
+    "op6_simhash": op6_simhash,
     "op9_secret_scan": op9_secret_scan,
     "op10_pieces": op10_pieces,
 }
