@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harbormill.llm import chat, packing, pieces, secrets, simhash
+from harbormill.llm import chat, embedding_dedup, packing, pieces, secrets, simhash
 from harbormill.session import prepare
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -73,6 +73,30 @@ FROM judged GROUP BY conv_id
 """
 
 
+# --- embeddings ---------------------------------------------------------------
+
+
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
+OP1_SQL = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS src, b.vec_id AS dst FROM vectors a JOIN vectors b
+    ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95
+), reach(src, dst) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT r.src, l.dst FROM reach r JOIN links l ON r.dst = l.src
+), classes AS (SELECT src, min(dst) AS component_id FROM reach GROUP BY src
+), counts AS (SELECT src, count(*) AS n FROM links GROUP BY src)
+SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e LEFT JOIN counts ON counts.src = e.vec_id JOIN classes ON classes.src = e.vec_id
+"""
+
 # --- packing ------------------------------------------------------------------
 
 
@@ -127,6 +151,7 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op2_packing": op2_packing,
     "op4_chat_format": op4_chat_format,
     "op6_simhash": op6_simhash,
@@ -134,4 +159,4 @@ QUERIES = {
     "op10_pieces": op10_pieces,
 }
 
-SQL = {"op4_chat_format": OP4_SQL}
+SQL = {"op1_embedding_dedup": OP1_SQL, "op4_chat_format": OP4_SQL}
