@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,7 +27,9 @@ MEMO_UNITS = 500_000
 
 @dataclass(frozen=True)
 class PieceTable:
-    ids: dict  # piece -> (id, score); a prefix that is no piece -> None
+    ids: dict  # piece -> (id, score)
+    trie: dict  # character -> subtree; under "" the piece that ends here
+    pairs: frozenset  # neighbouring characters that some piece holds
     bytes_of: list  # id -> bytes
     byte_ids: list  # byte -> id
     longest: int
@@ -40,7 +43,6 @@ def load_pieces(path: str) -> PieceTable:
     ids: dict = {}
     bytes_of: list = []
     byte_ids = [0] * 256
-    scores = []
     for i in range(model.get_piece_size()):
         piece = model.id_to_piece(i)
         if model.is_byte(i):
@@ -51,61 +53,75 @@ def load_pieces(path: str) -> PieceTable:
             bytes_of.append(b"")
         else:
             ids[piece] = (i, model.get_score(i))
-            scores.append(model.get_score(i))
             bytes_of.append(piece.replace(SPACE, " ").encode())
-    longest = max(map(len, ids))
-    for piece in list(ids):
-        for k in range(1, len(piece)):
-            ids.setdefault(piece[:k], None)
-    return PieceTable(ids, bytes_of, byte_ids, longest, min(scores) - UNKNOWN_PENALTY)
+    trie: dict = {}
+    for piece, entry in ids.items():
+        node = trie
+        for c in piece:
+            node = node.setdefault(c, {})
+        node[""] = entry
+    pairs = frozenset(p[k : k + 2] for p in ids for k in range(len(p) - 1))
+    worst = min(score for _, score in ids.values())
+    return PieceTable(ids, trie, pairs, bytes_of, byte_ids, max(map(len, ids)), worst - UNKNOWN_PENALTY)
 
 
 def viterbi(text: str, table: PieceTable) -> list[int]:
     """Best segmentation of ``text``, in memory bounded by the longest piece.
 
-    ``best[e]`` holds (score, start, ids of the last piece) for boundary e. Only
-    the last ``longest`` boundaries can still be extended. Once these survivors'
-    back-pointers all pass one boundary, what lies before it is decided: its ids are
-    committed and the entries dropped.
+    The lists hold, per boundary since ``base``, the best score, where its last
+    piece starts, and that piece's ids. Only the last ``longest`` boundaries can still
+    be extended. Once these survivors' back-pointers all pass one boundary, what lies
+    before it is decided: its ids are committed and its entries dropped.
     """
-    ids, longest, unknown = table.ids, table.longest, table.unknown
-    n, out = len(text), []
-    base, best = 0, {0: (0.0, 0, ())}
-    at = 0
+    trie, longest, unknown, byte_ids = table.trie, table.longest, table.unknown, table.byte_ids
+    n, out, base, at = len(text), [], 0, 0
+    width = 4 * longest
+    none = -math.inf
+    score, start, last = [0.0] + [none] * width, [0] * (width + 1), [()] * (width + 1)
     while at < n:
-        score = best[at][0]
+        here = at - base
+        own = score[here]
+        node = trie
         single = False
-        for end in range(at + 1, min(n, at + longest) + 1):
-            piece = text[at:end]
-            if piece not in ids:
+        for end in range(at, min(n, at + longest)):
+            node = node.get(text[end])
+            if node is None:
                 break
-            entry = ids[piece]
+            entry = node.get("")
             if entry is not None:
-                single |= end == at + 1
-                total = score + entry[1]
-                if end not in best or total > best[end][0]:
-                    best[end] = (total, at, (entry[0],))
-        if not single and (at + 1 not in best or score + unknown > best[at + 1][0]):
-            best[at + 1] = (score + unknown, at, tuple(table.byte_ids[b] for b in text[at].encode("utf-8", "replace")))
+                to = end + 1 - base
+                single = single or end == at
+                if own + entry[1] > score[to]:
+                    score[to], start[to], last[to] = own + entry[1], at, (entry[0],)
+        if not single and own + unknown > score[here + 1]:
+            score[here + 1], start[here + 1] = own + unknown, at
+            last[here + 1] = tuple([byte_ids[b] for b in text[at].encode("utf-8", "replace")])
         at += 1
-        if at - base >= 2 * longest or at == n:
-            # survivors: the boundaries that later pieces may start from, or the end
-            live = {at} if at == n else {e for e in best if e >= at}
+        if at == n or at - base >= 2 * longest:
+            # survivors: boundaries that a later piece may start from, or the end
+            live = {at} if at == n else {e for e in range(at, min(n, at + longest) + 1) if score[e - base] > none}
             while len(live) > 1:
-                last = max(live)
-                live.remove(last)
-                live.add(best[last][1])
+                top = max(live)
+                live.remove(top)
+                live.add(start[top - base])
             (meet,) = live
-            if meet > base:
-                path, e = [], meet
-                while e > base:
-                    path.append(best[e][2])
-                    e = best[e][1]
-                for step in reversed(path):
-                    out.extend(step)
-                top = best[meet][0]
-                best = {e: (s - top, b, p) for e, (s, b, p) in best.items() if e >= meet}
+            path, e = [], meet
+            while e > base:
+                path.append(last[e - base])
+                e = start[e - base]
+            for step in reversed(path):
+                out.extend(step)
+            gone = meet - base
+            if gone:
+                top = score[gone]
+                score = [s - top for s in score[gone:]] + [none] * gone
+                start = start[gone:] + [0] * gone
+                last = last[gone:] + [()] * gone
                 base = meet
+            if at - base + longest >= len(score):  # the paths have not met yet
+                score += [none] * width
+                start += [0] * width
+                last += [()] * width
     return out
 
 
@@ -114,8 +130,9 @@ class Encoder:
 
     A unit is a run of spaces with the characters up to the next space. No piece
     has a space after another character, so every path passes the boundary
-    between units and each unit can be committed by itself; a bounded memo keeps
-    the ids of units that were seen.
+    between units and each unit can be committed by itself. Inside a new unit the
+    same holds between two characters that are neighbours in no piece. A bounded memo
+    keeps the ids of units that were seen.
     """
 
     def __init__(self, table: PieceTable, memo: dict | None = None, bound: int = MEMO_UNITS):
@@ -124,21 +141,36 @@ class Encoder:
         self.table, self.memo, self.bound = table, {} if memo is None else memo, bound
 
     def _new(self, unit: str) -> bytes:
+        text, pairs = SPACE + unit, self.table.pairs
+        cuts = [k for k in range(1, len(text)) if text[k - 1 : k + 1] not in pairs]
+        if not cuts:
+            return self._part(text, unit)
+        ends = [*cuts, len(text)]
+        parts = [text[a:b] for a, b in zip([0, *cuts], ends, strict=True)]
+        # the first part has the space in front and shares the memo with units; the rest are kept under their own mark
+        coded = [self._part(parts[0], parts[0][1:])] + [self._part(p, SPACE + p) for p in parts[1:]]
+        return self._remember(unit, b"".join(coded))
+
+    def _part(self, text: str, key: str) -> bytes:
+        found = self.memo.get(key)
+        return found if found is not None else self._remember(key, array("i", viterbi(text, self.table)).tobytes())
+
+    def _remember(self, key: str, ids: bytes) -> bytes:
         if len(self.memo) >= self.bound:
             self.memo.clear()
-        out = np.array(viterbi(SPACE + unit, self.table), dtype=np.int32).tobytes()
-        if len(unit) <= 64:
-            self.memo[unit] = out
-        return out
+        if len(key) <= 64:
+            self.memo[key] = ids
+        return ids
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian 32-bit integers; the empty text has none."""
         if not text:
             return b""
         text = text.replace(SPACE, " ")
-        units = text.split(" ")
         if "  " in text or text[0] == " " or text[-1] == " ":  # runs of spaces stay with what follows them
             units = [u[1:] for u in re.findall(f"{SPACE}+[^{SPACE}]*", SPACE + text.replace(" ", SPACE))]
+        else:
+            units = text.split(" ")
         get, new = self.memo.get, self._new
         return b"".join([get(u) or new(u) for u in units])
 

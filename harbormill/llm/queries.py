@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harbormill.llm import chat, embedding_dedup, packing, pieces, secrets, simhash
+from harbormill.llm import chat, embedding_dedup, multi_index, packing, pieces, secrets, simhash
 from harbormill.session import prepare
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -97,6 +97,11 @@ SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, e.vec_id = com
 FROM embeddings e LEFT JOIN counts ON counts.src = e.vec_id JOIN classes ON classes.src = e.vec_id
 """
 
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return multi_index.nearest_vectors(rows, rows.where(F.col("vec_id") % 20 == 0))
+
+
 # --- packing ------------------------------------------------------------------
 
 
@@ -152,6 +157,7 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
+    "op3_nearest": op3_nearest,
     "op2_packing": op2_packing,
     "op4_chat_format": op4_chat_format,
     "op6_simhash": op6_simhash,
