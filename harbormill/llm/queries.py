@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harbormill.llm import chat, embedding_dedup, multi_index, packing, pieces, secrets, simhash
+from harbormill.llm import chat, embedding_dedup, language, multi_index, packing, pieces, secrets, simhash
 from harbormill.session import prepare
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -119,6 +119,16 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+# --- language -----------------------------------------------------------------
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.learn(docs.select("doc_id", "lang", "text"))
+    out = language.with_language(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 # --- secret scans -------------------------------------------------------------
 
 
@@ -161,6 +171,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op4_chat_format": op4_chat_format,
     "op6_simhash": op6_simhash,
+    "op7_language": op7_language,
     "op9_secret_scan": op9_secret_scan,
     "op10_pieces": op10_pieces,
 }
