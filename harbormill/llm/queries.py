@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harbormill.llm import chat, embedding_dedup, language, multi_index, packing, pieces, secrets, simhash
+from harbormill.llm import chat, embedding_dedup, language, lines, multi_index, packing, pieces, secrets, simhash
 from harbormill.session import prepare
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -111,6 +111,23 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+# --- line dedup ---------------------------------------------------------------
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    gone = lines.repeated_lines(docs)
+    d, g = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.size(F.split("text", "\n", -1)).alias("n")).alias("d"), gone.alias("g")
+    same = F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d.text_key") == F.col("g.text_key"))
+    removed = F.coalesce("g.removed", F.array().cast("array<int>"))
+    return d.join(g, same, "left").select(
+        "d.doc_id",
+        F.greatest(F.coalesce("n", F.lit(0)), F.lit(0)).cast("long").alias("n_lines"),
+        F.size(removed).cast("long").alias("n_removed"),
+        F.array_join(removed.cast("array<string>"), ",").alias("removed"),
+    )
+
+
 # --- SimHash ------------------------------------------------------------------
 
 
@@ -170,6 +187,7 @@ QUERIES = {
     "op3_nearest": op3_nearest,
     "op2_packing": op2_packing,
     "op4_chat_format": op4_chat_format,
+    "op5_line_dedup": op5_line_dedup,
     "op6_simhash": op6_simhash,
     "op7_language": op7_language,
     "op9_secret_scan": op9_secret_scan,
