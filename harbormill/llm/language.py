@@ -135,13 +135,15 @@ def learn(docs: DataFrame, train_rows: int = TRAIN_ROWS, landmarks: int = LANDMA
     return fit([r["text"] for r in rows], [r["lang"] for r in rows], landmarks)
 
 
-def with_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """``docs`` with lang_pred and score (0 to 1) of every whole text.
+def with_language(docs: DataFrame, model: LanguageModel, prefix: str = "") -> DataFrame:
+    """``docs`` with lang_pred and score (0 to 1) of every whole text; both names can have a ``prefix``.
 
     Only the text is looked at. A null text or one without a letter is ``und`` with score 0, as is every text if
     the model knows no language. Rows and other columns stay as they are; columns of the new names are replaced.
     """
-    new = T.StructType([T.StructField("lang_pred", T.StringType(), False), T.StructField("score", T.DoubleType(), False)])
+    new = T.StructType(
+        [T.StructField(f"{prefix}lang_pred", T.StringType(), False), T.StructField(f"{prefix}score", T.DoubleType(), False)]
+    )
     kept = docs.drop(*new.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

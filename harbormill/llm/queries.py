@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harbormill.llm import chat, embedding_dedup, language, lines, multi_index, packing, pieces, secrets, simhash
+from harbormill.llm import chat, embedding_dedup, language, lines, lm, multi_index, packing, pieces, secrets, simhash
 from harbormill.session import prepare
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -146,6 +146,13 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+# --- LM scoring ---------------------------------------------------------------
+
+
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.backoff_scores(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER))
+
+
 # --- secret scans -------------------------------------------------------------
 
 
@@ -190,6 +197,7 @@ QUERIES = {
     "op5_line_dedup": op5_line_dedup,
     "op6_simhash": op6_simhash,
     "op7_language": op7_language,
+    "op8_lm_score": op8_lm_score,
     "op9_secret_scan": op9_secret_scan,
     "op10_pieces": op10_pieces,
 }

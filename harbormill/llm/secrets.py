@@ -139,3 +139,12 @@ def redacted(text: Column, spans: Column, mask: str = "[secret]") -> Column:
         take,
         lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))),
     )
+
+
+def redact_secrets(docs: DataFrame, scope: int = SCOPE, mask: str = "[secret]") -> DataFrame:
+    """``docs`` with every span that the scan lists replaced in the text; rows and other columns stay as they are."""
+    found = scan_secrets(docs, scope).where(F.size("spans") > 0).dropDuplicates(["doc_id", "text_key"])
+    d, f = docs.withColumn("_key", F.xxhash64("text")).alias("d"), found.alias("f")
+    same = F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d._key") == F.col("f.text_key"))
+    text = F.when(F.col("f.spans").isNull(), F.col("d.text")).otherwise(redacted(F.col("d.text"), F.col("f.spans"), mask))
+    return d.join(f, same, "left").select(*[text.alias("text") if c == "text" else F.col(f"d.`{c}`") for c in docs.columns])
