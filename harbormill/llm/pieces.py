@@ -147,18 +147,18 @@ class Encoder:
             return self._part(text, unit)
         ends = [*cuts, len(text)]
         parts = [text[a:b] for a, b in zip([0, *cuts], ends, strict=True)]
-        # the first part has the space in front and shares the memo with units; the rest are kept under their own mark
-        coded = [self._part(parts[0], parts[0][1:])] + [self._part(p, SPACE + p) for p in parts[1:]]
+        # the first part has the space in front, so it is a unit itself; the rest are kept under keys that no unit has
+        coded = [self._part(parts[0], parts[0][1:])] + [self._part(p, ("", p)) for p in parts[1:]]
         return self._remember(unit, b"".join(coded))
 
-    def _part(self, text: str, key: str) -> bytes:
+    def _part(self, text: str, key) -> bytes:
         found = self.memo.get(key)
         return found if found is not None else self._remember(key, array("i", viterbi(text, self.table)).tobytes())
 
-    def _remember(self, key: str, ids: bytes) -> bytes:
+    def _remember(self, key, ids: bytes) -> bytes:
         if len(self.memo) >= self.bound:
             self.memo.clear()
-        if len(key) <= 64:
+        if len(ids) <= 256:
             self.memo[key] = ids
         return ids
 
