@@ -118,7 +118,7 @@ def viterbi(text: str, table: PieceTable) -> list[int]:
                 start = start[gone:] + [0] * gone
                 last = last[gone:] + [()] * gone
                 base = meet
-            if at - base + longest >= len(score):  # the paths have not met yet
+            if at - base + longest + 2 > len(score):  # the paths have not met yet
                 score += [none] * width
                 start += [0] * width
                 last += [()] * width
