@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from harbormill.sources.files import CSV_DIALECT
+
 
 def append_history(new: DataFrame, path: str) -> None:
     """Add rows to a dataset, or start it; nothing already there is rewritten."""
@@ -20,7 +22,8 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """Null becomes an empty field and the empty text a pair of quotes."""
+    df.write.mode("overwrite").options(**CSV_DIALECT).csv(path)
 
 
 def write_documents_json(df: DataFrame, document: str, chunks: Column, path: str, folders: bool = False) -> None:

@@ -4,15 +4,42 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 NULL_TOKEN = "NULL"  # fixed value: written for null besides the empty text
 
 
-def _as_text(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+# One way of quoting for all CSV readers and the writer: quotes inside a field are doubled and
+# white space belongs to the field.
+CSV_DIALECT = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+
+def _named_texts(
+    spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool, missing: str = "error", mode: str = "PERMISSIVE"
+) -> DataFrame:
+    """The named columns of CSV files as text, wherever they stand in the header.
+
+    The header of one file is read first; files whose header differs from it are an
+    error rather than read by position. ``missing`` says what a column that is not
+    there becomes: an error or nulls.
+    """
+    reader = spark.read.options(**CSV_DIALECT).option("multiLine", multi_line).option("mode", mode).option("nullValue", "")
+    header = reader.csv(path).columns
+    known = {c.lower(): c for c in header}
+    lost = [c for c in columns if c.lower() not in known]
+    if lost and missing == "error":
+        raise ValueError(f"{path}: no columns {lost} among {header}")
+    all_text = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    raw = reader.schema(all_text).option("enforceSchema", False).csv(path)
+    return raw.select(*[F.col(f"`{known[c.lower()]}`").alias(c) if c.lower() in known else F.lit(None).cast("string").alias(c) for c in columns])
 
 
 def read_csv_strict(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
@@ -20,30 +47,26 @@ def read_csv_strict(spark: SparkSession, path: str, schema: T.StructType, multi_
 
     ``multi_line`` allows line breaks inside quotes but makes files unsplittable.
     """
-    raw = (
-        spark.read.schema(_as_text(schema))
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("nullValue", "")
-        .option("mode", "FAILFAST")
-        .option("enforceSchema", False)
-        .option("multiLine", multi_line)
-        .csv(path)
-    )
+    raw = _named_texts(spark, path, schema.names, multi_line, mode="FAILFAST")
     return raw.select(
-        *[F.nullif(F.col(f.name), F.lit(NULL_TOKEN)).cast(f.dataType).alias(f.name) for f in schema.fields]
+        *[F.nullif(F.col(f"`{f.name}`"), F.lit(NULL_TOKEN)).cast(f.dataType).alias(f.name) for f in schema.fields]
     )
 
 
-def read_csv_loose(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """CSV with a header, every column a string; coercion is left to the caller."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
+def read_csv_loose(
+    spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool = False, missing: str = "error"
+) -> DataFrame:
+    """CSV with a header, the named columns as strings; coercion is left to the caller."""
+    return _named_texts(spark, path, columns, multi_line, missing)
 
 
-def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+def read_csv_typed(
+    spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False, missing: str = "error"
+) -> DataFrame:
+    """CSV with a header, columns by name; a value that does not fit its type is null."""
+    wanted = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    raw = _named_texts(spark, path, wanted.names, multi_line, missing)
+    return raw.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in wanted.fields])
 
 
 def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -57,17 +80,22 @@ def read_ndjson(spark: SparkSession, path: str, schema: T.StructType | str) -> D
 
 
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Files holding one JSON array of objects; keys match in any case, columns come out lower case.
+    """Files holding one JSON array of objects; keys match in any case, record by record.
 
-    A JSON reader with a schema compares key names exactly, so the spelling used
-    in the files is looked up first. Elements are then streamed one at a time.
+    Columns come out lower case. Of several spellings of a key in one record the first in the
+    order of the keys counts; a value that does not fit its type is null. A file is parsed once, by
+    one task, and must fit a variant (128 MB); larger arrays belong in files with an object per line.
     """
     wanted = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
-    reader = spark.read.option("multiLine", True)
-    spelled = {c.lower(): c for c in reader.option("primitivesAsString", True).json(path).columns}
-    as_landed = T.StructType([T.StructField(spelled.get(f.name.lower(), f.name), f.dataType) for f in wanted.fields])
-    read = spark.read.schema(as_landed).option("multiLine", True).json(path)
-    return read.select(*[F.col(f.name).alias(f.name.lower()) for f in as_landed.fields])
+    whole = spark.read.option("multiLine", True).option("singleVariantColumn", "v").json(path)
+    each = whole.select(F.explode(F.expr("cast(v as array<map<string, variant>>)")).alias("m"))
+
+    def value(name: str) -> Column:
+        return F.get(F.filter(F.map_entries("m"), lambda e: F.lower(e["key"]) == name), F.lit(0))["value"]
+
+    names = [f.name.lower() for f in wanted.fields]
+    types = [f.dataType.simpleString() for f in wanted.fields]
+    return each.select(*[F.try_variant_get(value(n), "$", t).alias(n) for n, t in zip(names, types, strict=True)])
 
 
 def read_nested_json(
@@ -86,8 +114,7 @@ def read_by_extension(spark: SparkSession, path: str, schema: T.StructType | str
     if lowered.endswith(".parquet"):
         return spark.read.parquet(path)
     if lowered.endswith(".csv"):
-        reader = spark.read.option("header", True)
-        return (reader.schema(schema) if schema is not None else reader).csv(path)
+        return read_csv_typed(spark, path, schema) if schema is not None else spark.read.options(**CSV_DIALECT).csv(path)
     raise ValueError(f"neither a parquet nor a csv file: {path}")
 
 
