@@ -27,17 +27,17 @@ def bank_symbols(growth: DataFrame, year: int | None = None) -> DataFrame:
     return growth.select("symbol", "date").distinct()
 
 
-def growth_of(growth: DataFrame, symbol: str | None) -> DataFrame:
-    """Newest first; without a symbol nothing is returned."""
+def growth_of(growth: DataFrame, symbol: str | None, limit: int | None = None) -> DataFrame:
+    """Newest first, all or the first ``limit``; without a symbol nothing is returned."""
     if symbol is None:
         return growth.limit(0)
-    return newest_first(growth.where(_contains_any_case("symbol", symbol)), "date", ["symbol"])
+    return newest_first(growth.where(_contains_any_case("symbol", symbol)), "date", ["symbol"], limit)
 
 
-def dividend_sustainability_of(table: DataFrame, bank: str | None) -> DataFrame:
+def dividend_sustainability_of(table: DataFrame, bank: str | None, limit: int | None = None) -> DataFrame:
     if bank is None:
         return table.limit(0)
-    return newest_first(table.where(_contains_any_case("bank", bank)), "year", ["bank"])
+    return newest_first(table.where(_contains_any_case("bank", bank)), "year", ["bank"], limit)
 
 
 def _revenue(cash_flows: DataFrame, year: int) -> DataFrame:
@@ -95,8 +95,15 @@ def market_fraud_stats(density: DataFrame, market: str) -> DataFrame:
     )
 
 
-def search_issues(vectors: DataFrame, query: Sequence[float] | DataFrame | None, k: int | None = None) -> DataFrame:
-    """Most similar chunks with the issue's key, status and update time from the metadata."""
+def search_issues(
+    vectors: DataFrame, query: Sequence[float] | DataFrame | None, k: int, most: int | None = None
+) -> DataFrame:
+    """The ``k`` most similar chunks with the issue's key, status and update time from the metadata.
+
+    A caller that must not hand out more than ``most`` hits says so, and asking for more is an error.
+    """
+    if most is not None and k > most:
+        raise ValueError(f"{k} hits asked for, at most {most} are allowed")
     hits = top_k(vectors, query, k, ties=["langchain_id"])
     meta = F.col("langchain_metadata")
     return hits.select(

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from harbormill.session import checkpointed
+
 
 @cache
 def parsed_type(ddl: str) -> T.DataType:
@@ -161,19 +163,21 @@ class Registry:
         return spark.createDataFrame(rows, "model string, column string, predicate string, target string")
 
 
-def upstream(edges: DataFrame, model: str, column: str, depth: int = 3) -> DataFrame:
-    """Everything a column points at, directly or through at most ``depth`` edges."""
+def upstream(edges: DataFrame, model: str, column: str) -> DataFrame:
+    """Everything a column points at, directly or through any number of edges, with the least number.
+
+    Each round follows the edges of the columns reached by the round before; what was reached earlier is
+    left out, so cycles end. Rounds run until no new column appears.
+    """
     source = F.concat_ws(".", "model", "column")
     steps = edges.select(source.alias("source"), "predicate", "target").distinct()
-    reached = steps.where(F.col("source") == f"{model}.{column}").withColumn("hops", F.lit(1))
-    found = reached
-    for hop in range(2, depth + 1):
-        reached = (
-            reached.select(F.col("target").alias("via"))
-            .distinct()
-            .join(steps, F.col("via") == F.col("source"))
-            .select("source", "predicate", "target")
-            .withColumn("hops", F.lit(hop))
-        )
-        found = found.unionByName(reached)
-    return found.groupBy("source", "predicate", "target").agg(F.min("hops").alias("hops"))
+    fresh = edges.sparkSession.range(1).select(F.lit(f"{model}.{column}").alias("at"))
+    seen, found, hop = fresh, None, 0
+    while found is None or not fresh.isEmpty():
+        hop += 1
+        taken = steps.join(fresh, F.col("source") == F.col("at")).select("source", "predicate", "target", F.lit(hop).alias("hops"))
+        taken = checkpointed(taken)
+        found = taken if found is None else found.unionByName(taken)
+        fresh = checkpointed(taken.select(F.col("target").alias("at")).distinct().join(seen, "at", "left_anti"))
+        seen = seen.unionByName(fresh)
+    return found

@@ -24,12 +24,16 @@ def cost_per(total: Column, count: Column, scale: int = 2) -> Column:
     return ratio(total, count, scale)
 
 
-def exact_sum(c: Column, scale: int = 4) -> Column:
-    """Sum that does not depend on row order, as double."""
-    return F.sum(c.cast(f"decimal(28,{scale})")).cast("double")
+# Decimals that a sum of doubles keeps. A double of up to nine whole digits has no more.
+SUM_SCALE = 8
 
 
-def exact_mean(c: Column, scale: int = 4) -> Column:
+def exact_sum(c: Column, scale: int = SUM_SCALE) -> Column:
+    """Sum that does not depend on row order, as double; ``scale`` decimals of each value count."""
+    return F.sum(c.cast(f"decimal(38,{scale})")).cast("double")
+
+
+def exact_mean(c: Column, scale: int = SUM_SCALE) -> Column:
     """Mean that does not depend on row order, as double; null for an empty group."""
     return F.try_divide(exact_sum(c, scale), F.count(c).cast("double"))
 
@@ -71,7 +75,7 @@ def year_end_last(df: DataFrame, key: str, date: str, value: str, one_per_date:
     return yearly.select(key, F.make_date("_year", F.lit(12), F.lit(31)).cast("timestamp_ntz").alias(date), value)
 
 
-def yearly_sum(df: DataFrame, key: str, date: str, value: str, scale: int = 4) -> DataFrame:
+def yearly_sum(df: DataFrame, key: str, date: str, value: str, scale: int = SUM_SCALE) -> DataFrame:
     """Sum per key and calendar year; nulls count as 0 and null keys are dropped."""
     return (
         df.where(F.col(key).isNotNull() & F.col(date).isNotNull())

@@ -7,12 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_HITS = 25  # fixed value: most results a similarity search returns
-REPORT_ROWS = 1000  # fixed value: row limit of the lookups
 
-
-def newest_first(df: DataFrame, column: str, ties: Sequence[str] = (), limit: int = REPORT_ROWS) -> DataFrame:
-    return df.orderBy(F.col(column).desc(), *ties).limit(limit)
+def newest_first(df: DataFrame, column: str, ties: Sequence[str] = (), limit: int | None = None) -> DataFrame:
+    """All rows, or the first ``limit``."""
+    ordered = df.orderBy(F.col(column).desc(), *ties)
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def ranked(df: DataFrame, column: str, ties: Sequence[str] = ()) -> DataFrame:

@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from harbormill.functions.vectors import dot, has_width
-from harbormill.operators.ranking import MAX_HITS
-
-DEFAULT_HITS = 5  # fixed value: results when the caller names no number
 
 
 def _unit(values: Sequence[float]) -> list[float] | None:
@@ -37,18 +34,15 @@ def _similarity(embedding: Column, unit: Column) -> Column:
 def top_k(
     vectors: DataFrame,
     query: Sequence[float] | DataFrame | None,
-    k: int | None = None,
+    k: int,
     embedding: str = "embedding",
     ties: Sequence[str] = (),
-    max_hits: int | None = MAX_HITS,
 ) -> DataFrame:
-    """Most similar rows first, score rounded to 4 places; an empty query finds nothing.
+    """The ``k`` most similar rows, best first, score rounded to 4 places; an empty query finds nothing.
 
     ``query`` is a list of numbers, or a DataFrame of one row and one vector.
     Each task keeps its own best k rows, so only k rows per task travel.
     """
-    wanted = k or DEFAULT_HITS
-    limit = wanted if max_hits is None else min(wanted, max_hits)
     if isinstance(query, DataFrame):
         unit = _unit_column(query)
     else:
@@ -58,7 +52,7 @@ def top_k(
         unit = F.array(*[F.lit(v) for v in numbers])
     scored = vectors.withColumn("_query", unit)
     scored = scored.withColumn("_score", _similarity(F.col(embedding), F.col("_query"))).drop(embedding, "_query")
-    best = scored.where(F.col("_score").isNotNull()).orderBy(F.col("_score").desc(), *ties).limit(limit)
+    best = scored.where(F.col("_score").isNotNull()).orderBy(F.col("_score").desc(), *ties).limit(k)
     return best.withColumn("score", F.round("_score", 4)).drop("_score")
 
 
@@ -67,14 +61,13 @@ def top_k_in_namespace(
     query: Sequence[float] | DataFrame,
     namespace: str,
     k: int = 10,
-    fetch_k: int = 20,
     column: str = "namespace",
     embedding: str = "embedding",
     ties: Sequence[str] = (),
 ) -> DataFrame:
-    """The best ``k`` of the ``fetch_k`` nearest rows inside one namespace."""
+    """The ``k`` nearest rows inside one namespace; the search is exact, so no more than these are fetched."""
     inside = vectors.where(F.col(column) == namespace)
-    return top_k(inside, query, min(k, fetch_k), embedding, ties, max_hits=None)
+    return top_k(inside, query, k, embedding, ties)
 
 
 def attach_embeddings(

@@ -109,8 +109,8 @@ def dividend_sustainability(dividends: DataFrame, cash_flows: DataFrame) -> Data
     return conform(sustainability_trends(dividends, cash_flows), catalog.DIVIDEND_SUSTAINABILITY, safe=True)
 
 
-def bank_a_dividends(records: DataFrame, whole_cents: bool = True) -> DataFrame:
-    """Columns pay_date and dividend; ``whole_cents`` keeps only the digits before the point."""
+def bank_a_dividends(records: DataFrame, whole_cents: bool = False) -> DataFrame:
+    """Columns pay_date and dividend in cents; ``whole_cents`` keeps only the digits before the point, as the feed's rule does."""
     amount = first_match(F.col("dividend"), "[0-9]+" if whole_cents else r"[0-9]+(?:\.[0-9]+)?")
     return tagged(records, bank="ANZ").select(
         "bank",

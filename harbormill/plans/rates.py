@@ -92,8 +92,8 @@ def _slug_months(title: Column, strict: bool) -> Column:
     ).when(matches_whole(title, ".+[0-9]_years?.*"), first_match(title, f"({digits})_year(s?)", 1).cast("int") * 12)
 
 
-def bank_b_term_deposits(slugs: DataFrame, strict: bool = False) -> DataFrame:
-    """``strict`` reads all digits of the term; the feed's own rule reads only the last one."""
+def bank_b_term_deposits(slugs: DataFrame, strict: bool = True) -> DataFrame:
+    """All digits of the term count; with ``strict=False`` only the last one, as the feed's own rule has it."""
     title = F.col("title")
     large = title.endswith(MILLION_TIER)
     value = F.col("value").try_cast("decimal(4,2)")

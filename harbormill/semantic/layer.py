@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from harbormill.models import Field, Model, Registry
+from harbormill.operators.aggregates import SUM_SCALE
 from harbormill.operators.joins import one_row_per_key
 
 ALL_ROWS = "*"
@@ -176,7 +177,7 @@ def _partials(base: Model, metrics: Sequence[Metric]) -> list[Column]:
         if m.agg in ("count", "avg"):
             out.append(F.count(c).alias(f"_n_{m.name}"))
         if m.agg in ("sum", "avg"):
-            exact = c if _is_whole(base, m.of) else c.cast("decimal(28,4)")
+            exact = c if _is_whole(base, m.of) else c.cast(f"decimal(38,{SUM_SCALE})")
             out.append(F.sum(exact).alias(f"_s_{m.name}"))
     return out
 

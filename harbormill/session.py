@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of this package relies on; the cluster decides the rest
 # (memory, executors, number of shuffle partitions).
@@ -48,6 +48,14 @@ def local_session(app: str, cores: int = 8, memory: str = "8g") -> SparkSession:
     return spark
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the session's checkpoint folder, its lineage cut."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(shared_dir(df.sparkSession, "checkpoints"))
+    return df.checkpoint(eager=True)
+
+
 @cache
 def _local_dir() -> str:
     return tempfile.mkdtemp(prefix="harbormill-")

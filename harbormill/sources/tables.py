@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
-HEAD_ROWS = 100  # rows of a head sample
-
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
@@ -36,10 +34,12 @@ def inline_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType
     return spark.createDataFrame(list(rows), schema, verifySchema=True)
 
 
-def sample_model(df: DataFrame, method: str, rows: int = HEAD_ROWS, fraction: float = 0.01, seed: int = 7) -> DataFrame:
-    """Preview by a model's sampling hint: the first rows or a random share."""
-    if method == "head":
+def sample_model(
+    df: DataFrame, method: str, rows: int | None = None, fraction: float | None = None, seed: int = 7
+) -> DataFrame:
+    """Preview by a model's sampling hint: the first ``rows`` or a random ``fraction``, which the caller names."""
+    if method == "head" and rows is not None:
         return df.limit(rows)
-    if method == "random":
+    if method == "random" and fraction is not None:
         return df.sample(withReplacement=False, fraction=fraction, seed=seed)
-    raise ValueError(f"unknown sampling {method!r}")
+    raise ValueError(f"unknown sampling {method!r}, or its size is missing")

@@ -85,6 +85,12 @@ def test_unknown_names_are_rejected(layer):
 
 def test_upstream_follows_links(spark):
     edges = catalog.REGISTRY.links(spark)
+    chain = spark.createDataFrame(
+        [(f"m{i}", "c", "Derived", f"m{i + 1}.c") for i in range(6)] + [("m6", "c", "SameAs", "m0.c")],
+        "model string, column string, predicate string, target string",
+    )
+    reached = {(r["target"], r["hops"]) for r in upstream(chain, "m0", "c").collect()}
+    assert reached == {(f"m{i}.c", i) for i in range(1, 7)} | {("m0.c", 7)}
     found = {(r["target"], r["hops"]) for r in upstream(edges, "dividend_sustainability", "bank").collect()}
     assert found == {("dividends.bank", 1)}
     assert ("activity.response", 1) in {

@@ -383,8 +383,8 @@ def test_cosine_search(spark):
     got = [(r["id"], r["score"]) for r in vectorsearch.top_k(df, [2.0, 0.0], 3).collect()]
     assert got == [(1, 1.0), (2, 0.7071), (4, -1.0)]
     assert vectorsearch.top_k(df, [], 3).count() == 0
-    assert vectorsearch.top_k(df, None).columns == ["id", "score"]
+    assert vectorsearch.top_k(df, None, 1).columns == ["id", "score"]
     many = spark.range(100).select("id", F.array(F.lit(1.0), F.col("id").cast("double")).alias("embedding"))
-    assert vectorsearch.top_k(many, [0.0, 1.0], 1000).count() == 25
-    assert vectorsearch.top_k(many, [0.0, 1.0]).count() == 5
+    assert vectorsearch.top_k(many, [0.0, 1.0], 1000).count() == 100
+    assert vectorsearch.top_k(many, [0.0, 1.0], 40).count() == 40
     assert one(spark, vectors.cosine(F.array(F.lit(3.0)), F.array(F.lit(3.0)))) == 1.0

@@ -266,9 +266,9 @@ def test_slug_terms_strict_and_as_the_feed_reads_them(spark):
         ],
         "title string, value string",
     )
-    loose = {(r["min_term"], r["min_amount"]): r for r in rates.bank_b_term_deposits(slugs).collect()}
+    loose = {(r["min_term"], r["min_amount"]): r for r in rates.bank_b_term_deposits(slugs, strict=False).collect()}
     assert set(loose) == {(2, 5000), (3, 5000), (12, 1000001)} and loose[2, 5000]["max_term"] == 3
-    strict = {(r["min_term"], r["min_amount"]): r for r in rates.bank_b_term_deposits(slugs, strict=True).collect()}
+    strict = {(r["min_term"], r["min_amount"]): r for r in rates.bank_b_term_deposits(slugs).collect()}
     assert set(strict) == {(3, 5000), (12, 5000), (12, 1000001)} and strict[3, 5000]["max_term"] == 12
     assert strict[12, 5000]["name"] == "term-deposit-12months-5000"
 

@@ -146,22 +146,21 @@ SCORE = (
     "cosine_topk",
     "T07 R11 O05 F29",
     f"""SELECT 'chunk ' || vec_id AS content, 'K-' || vec_id AS issue_key, 's' || label AS status, '2024-01-01' AS updated,
-        round(s, 4) AS score FROM (SELECT *, {SCORE} AS s FROM embeddings) ORDER BY s DESC, CAST(vec_id AS VARCHAR) LIMIT 25""",
+        round(s, 4) AS score FROM (SELECT *, {SCORE} AS s FROM embeddings) ORDER BY s DESC, CAST(vec_id AS VARCHAR) LIMIT 100""",
 )
 def cosine_topk(spark, d):
-    vector = table(spark, d, "embeddings").where("vec_id = 0").select("embedding").first()[0]
-    return lookups.search_issues(_vectors(spark, d), vector, 100)
+    return lookups.search_issues(_vectors(spark, d), _query(spark, d), 100)
 
 
 @workload(
     "namespace_retrieval",
     "T08 O05",
     f"""SELECT vec_id, round(s, 4) AS score FROM (SELECT *, {SCORE} AS s FROM embeddings WHERE label = 3)
-        ORDER BY s DESC, vec_id LIMIT 10""",
+        ORDER BY s DESC, vec_id LIMIT 40""",
 )
 def namespace_retrieval(spark, d):
     hits = vectorsearch.top_k_in_namespace(
-        _vectors(spark, d), _query(spark, d), "n3", 10, 20, ties=["vec_id"]
+        _vectors(spark, d), _query(spark, d), "n3", 40, ties=["vec_id"]
     )
     return hits.select("vec_id", "score")
 

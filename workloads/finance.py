@@ -35,7 +35,7 @@ def _finite(c: str) -> str:
 
 def _exact_mean(condition: str) -> str:
     value = f"CASE WHEN {condition} THEN value END"
-    return f"(CAST(sum(CAST({value} AS DECIMAL(28,4))) AS DOUBLE) / nullif(count({value}), 0))"
+    return f"(CAST(sum(CAST({value} AS DECIMAL(38,8))) AS DOUBLE) / nullif(count({value}), 0))"
 
 
 RETURNS_SQL = f"SELECT *, {_change('close', 'symbol', 'date')} AS annual_return FROM ({YEARLY_SQL})"
@@ -109,10 +109,10 @@ def asof_hot_key(spark, d):
 
 
 SUSTAIN_SQL = f"""WITH paid AS (SELECT bank, year(payment_date) AS year,
-            coalesce(CAST(sum(CAST(dividend_per_share AS DECIMAL(28,4))) AS DOUBLE), 0.0) AS dividend_per_share
+            coalesce(CAST(sum(CAST(dividend_per_share AS DECIMAL(38,8))) AS DOUBLE), 0.0) AS dividend_per_share
             FROM {DIVIDENDS.sql} GROUP BY 1, 2),
         cash AS (SELECT symbol, year(date) AS year,
-            coalesce(CAST(sum(CAST(value AS DECIMAL(28,4))) AS DOUBLE), 0.0) AS operating_cash_flow_thousands
+            coalesce(CAST(sum(CAST(value AS DECIMAL(38,8))) AS DOUBLE), 0.0) AS operating_cash_flow_thousands
             FROM {CASH_FLOWS.sql} WHERE metric = 'operating_cash_flow' GROUP BY 1, 2),
         both_sides AS (SELECT paid.*, operating_cash_flow_thousands FROM paid JOIN (SELECT *, CASE symbol
             WHEN 'ANZ.AX' THEN 'ANZ' WHEN 'MQG.AX' THEN 'Macquarie' WHEN 'WBC.AX' THEN 'Westpac' ELSE symbol END AS bank
@@ -276,7 +276,7 @@ def fx_left_join(spark, d):
     "dividends",
     "E07 N08 F01 F02 F12 F13 F21 F22 J03 U01",
     f"""SELECT 'ANZ' AS bank, CAST(strptime(regexp_extract(pay_date, '\\d{{1,2}}/\\d{{2}}/\\d{{4}}'), '%d/%m/%Y') AS DATE)::VARCHAR
-        AS payment_date, CAST(regexp_extract(dividend, '[0-9]+') AS DOUBLE)/100 AS dividend_per_share FROM {BANK_A.sql}
+        AS payment_date, CAST(round(CAST(regexp_extract(dividend, '[0-9]+(\\.[0-9]+)?') AS DECIMAL(14,4)) * 0.01::DECIMAL(3,2), 2) AS DOUBLE) AS dividend_per_share FROM {BANK_A.sql}
         UNION ALL SELECT 'Macquarie', CAST(strptime(payment_date, '%d/%m/%Y') AS DATE)::VARCHAR,
         CAST(dividend_per_share AS DOUBLE)/100 FROM {BANK_B.sql}
         UNION ALL SELECT 'Westpac', CAST(r.day AS VARCHAR), CAST(round(r.rate * f.interbank_rate, 2) AS DOUBLE) FROM (

@@ -49,8 +49,8 @@ B_DEPOSITS_SQL = f"""SELECT 'term-deposit-' || min_term || 'months-' || min_amou
             max(CASE WHEN title LIKE '%\\_maturity\\_%' ESCAPE '\\' THEN v END) AS maturity_rate FROM (
             SELECT title, {DEC42.format('value')} AS v, CASE WHEN ends_with(title, '_1m') THEN 1000001 ELSE 5000 END AS min_amount,
             CASE WHEN ends_with(title, '_1m') THEN NULL ELSE 1000000 END AS max_amount,
-            CASE WHEN regexp_full_match(title, '.+[0-9]_months?.*') THEN CAST(regexp_extract(title, '([0-9])_month', 1) AS INT)
-                WHEN regexp_full_match(title, '.+[0-9]_years?.*') THEN CAST(regexp_extract(title, '([0-9])_year', 1) AS INT) * 12
+            CASE WHEN regexp_full_match(title, '.+[0-9]_months?.*') THEN CAST(regexp_extract(title, '([0-9]+)_month', 1) AS INT)
+                WHEN regexp_full_match(title, '.+[0-9]_years?.*') THEN CAST(regexp_extract(title, '([0-9]+)_year', 1) AS INT) * 12
             END AS min_term FROM {SLUG_DEPOSITS.sql} WHERE title LIKE 'term_deposit_macquarie_bank_monthly_%'
             OR title LIKE 'term_deposit_macquarie_bank_annually_%' OR title LIKE 'term_deposit_macquarie_bank_maturity_%')
         GROUP BY 1, 2, 3)"""

@@ -135,8 +135,8 @@ def global_totals(spark, d):
 @workload(
     "grouped_measures",
     "A01 A02 A06",
-    """SELECT l_returnflag, l_linestatus, count(*) AS n, CAST(sum(CAST(l_extendedprice AS DECIMAL(28,4))) AS DOUBLE) AS price,
-        CAST(sum(CAST(l_quantity AS DECIMAL(28,4))) AS DOUBLE) / count(l_quantity) AS quantity,
+    """SELECT l_returnflag, l_linestatus, count(*) AS n, CAST(sum(CAST(l_extendedprice AS DECIMAL(38,8))) AS DOUBLE) AS price,
+        CAST(sum(CAST(l_quantity AS DECIMAL(38,8))) AS DOUBLE) / count(l_quantity) AS quantity,
         count(*) FILTER (l_linestatus IN ('F')) AS filled, count(DISTINCT l_suppkey) AS suppliers FROM lineitem GROUP BY 1, 2""",
 )
 def grouped_measures(spark, d):
@@ -166,7 +166,7 @@ def rates_and_costs(spark, d):
 
 
 @workload("yearly_sum", "A11 F14",
-    """SELECT symbol, year(date) AS year, coalesce(CAST(sum(CAST(value AS DECIMAL(28,4))) AS DOUBLE), 0.0) AS value FROM (
+    """SELECT symbol, year(date) AS year, coalesce(CAST(sum(CAST(value AS DECIMAL(38,8))) AS DOUBLE), 0.0) AS value FROM (
         SELECT 'S' || l_suppkey AS symbol, l_shipdate AS date, CASE WHEN l_suppkey % 5 > 0 THEN l_extendedprice END AS value FROM lineitem) GROUP BY 1, 2""",
 )
 def yearly_sum(spark, d):
@@ -199,7 +199,7 @@ def melt_metrics(spark, d):
 @workload(
     "trip_metrics",
     "E22 A01",
-    """SELECT pickup_zip, count(*) AS trip_count, CAST(sum(CAST(fare AS DECIMAL(28,4))) AS DOUBLE) / count(fare) AS avg_fare
+    """SELECT pickup_zip, count(*) AS trip_count, CAST(sum(CAST(fare AS DECIMAL(38,8))) AS DOUBLE) / count(fare) AS avg_fare
         FROM (SELECT 'Z' || user_id AS pickup_zip, value AS fare FROM events) GROUP BY 1""",
 )
 def trip_metrics(spark, d):
@@ -296,7 +296,7 @@ def multi_key_sort(spark, d):
 @workload(
     "newest_orders",
     "O03",
-    f"SELECT o_orderkey, {stamp('o_orderdate')} AS o_orderdate FROM orders ORDER BY o_orderdate DESC, o_orderkey LIMIT 1000",
+    f"SELECT o_orderkey, {stamp('o_orderdate')} AS o_orderdate FROM orders ORDER BY o_orderdate DESC, o_orderkey",
 )
 def newest_orders(spark, d):
     return ranking.newest_first(table(spark, d, "orders").select("o_orderkey", "o_orderdate"), "o_orderdate", ["o_orderkey"])
@@ -355,7 +355,7 @@ def bank_symbols(spark, d):
 )
 def samples(spark, d):
     rows = table(spark, d, "lineitem")
-    head = sample_model(rows, "head").agg(F.count(F.lit(1)).alias("head_rows"))
+    head = sample_model(rows, "head", 100).agg(F.count(F.lit(1)).alias("head_rows"))
     drawn = sample_model(rows, "random", fraction=0.2).agg(F.count(F.lit(1)).alias("n"))
     share = drawn.select("n").scalar() / rows.agg(F.count(F.lit(1))).scalar()
     return head.withColumn("share_is_plausible", share.between(0.15, 0.25))

@@ -37,39 +37,46 @@ def _place(spark, purpose: str) -> tuple[str, str]:
 ACCOUNT_SQL = f"SELECT * FROM {ACCOUNT.sql}"
 
 
-@workload("csv_strict", "S01 E21", ACCOUNT_SQL)
+# A text with everything that CSV quotes.
+HARD = ', "x" \\ a\\"b\n  second line '
+HARD_SQL = "', \"x\" \\ a\\\"b' || chr(10) || '  second line '"
+
+
+@workload("csv_strict", "S01 E21", f"SELECT * REPLACE (city || {HARD_SQL} AS city) FROM {ACCOUNT.sql}")
 def csv_strict(spark, d):
     path = shared_dir(spark, "csv")
-    # null tokens, quotes and separators inside the texts
+    # null tokens, quotes, separators, backslashes and line breaks inside the texts, columns in another order
     written = ACCOUNT.df(spark, d).withColumns(
-        {"npi": F.coalesce(F.col("npi").cast("string"), F.lit("NULL")), "city": F.concat(F.col("city"), F.lit(', "x"'))}
+        {"npi": F.coalesce(F.col("npi").cast("string"), F.lit("NULL")), "city": F.concat(F.col("city"), F.lit(HARD))}
     )
-    out.write_csv(written, path)
-    read = files.read_csv_strict(spark, path, catalog.ACCOUNT.schema)
-    return read.withColumn("city", F.regexp_replace("city", ', "x"$', ""))
+    out.write_csv(written.select(*sorted(written.columns)), path)
+    return files.read_csv_strict(spark, path, catalog.ACCOUNT.schema, multi_line=True)
 
 
 @workload(
     "csv_loose",
     "S02 K08 S09 P02",
-    f"SELECT step, category, amount, CASE WHEN fraud = 'x' THEN NULL ELSE CAST(fraud AS BIGINT) END AS fraud FROM {PAYMENTS.sql}",
+    f"SELECT step, category || {HARD_SQL} AS category, amount, CASE WHEN fraud = 'x' THEN NULL ELSE CAST(fraud AS BIGINT) END AS fraud FROM {PAYMENTS.sql}",
 )
 def csv_loose(spark, d):
     path = shared_dir(spark, "csv")
-    out.write_csv(PAYMENTS.df(spark, d).select("step", "category", "amount", "fraud"), path)
-    read = files.read_csv_loose(spark, path, ["step", "category", "amount", "fraud"])
+    rows = PAYMENTS.df(spark, d).select("fraud", "amount", F.concat("category", F.lit(HARD)).alias("category"), "step")
+    out.write_csv(rows, path)
+    read = files.read_csv_loose(spark, path, ["step", "category", "amount", "fraud"], multi_line=True)
     return read.withColumn("fraud", F.col("fraud").try_cast("bigint"))
 
 
 @workload(
     "csv_typed",
     "S03 K08",
-    "SELECT doc_id AS id, source AS filename, lang AS document_type, CAST(NULL AS VARCHAR) AS url FROM documents",
+    "SELECT doc_id AS id, source AS filename, lang AS document_type, CAST(NULL AS VARCHAR) AS url, nullif(text, '') AS body FROM documents",
 )
 def csv_typed(spark, d):
     path = shared_dir(spark, "csv")
-    out.write_csv(table(spark, d, "documents").selectExpr("doc_id AS id", "source AS filename", "lang AS document_type", "'' AS url"), path)
-    return files.read_csv_typed(spark, path, "id bigint, filename string, document_type string, url string")
+    rows = table(spark, d, "documents").selectExpr("text AS body", "source AS filename", "lang AS document_type", "'' AS url", "doc_id AS id")
+    out.write_csv(rows, path)
+    wanted = "id bigint, filename string, document_type string, url string, body string"
+    return files.read_csv_typed(spark, path, wanted, multi_line=True)
 
 
 @workload("parquet_columns", "S04 K06", "SELECT l_orderkey, l_tax FROM lineitem")
@@ -110,18 +117,18 @@ def json_array(spark, d):
 @workload(
     "json_array_files",
     "S06 U03",
-    "SELECT n_nationkey AS portfolioid, n_name AS title FROM nation",
+    "SELECT p_partkey AS portfolioid, p_name || ' \"q\" \\' AS title, CAST(p_size AS BIGINT) AS size FROM part",
 )
 def json_array_files(spark, d):
     path = shared_dir(spark, "json-array")
-    # nation is small: a file per region holds its nations as one array
-    landed = (
-        table(spark, d, "nation")
-        .groupBy("n_regionkey")
-        .agg(F.to_json(F.collect_list(F.struct(F.col("n_nationkey").alias("PortfolioId"), F.col("n_name").alias("TITLE")))).alias("value"))
-    )
-    landed.write.partitionBy("n_regionkey").text(path)
-    return files.read_json_array(spark, path, "portfolioid bigint, title string")
+    # a file per size holds its parts as one array, whose objects spell the keys in three ways
+    named = table(spark, d, "part").withColumn("title", F.concat("p_name", F.lit(' "q" \\')))
+    spelled = [("PortfolioId", "Title", "size"), ("PORTFOLIOID", "title", "SIZE"), ("portfolioid", "TITLE", "Size")]
+    objects = [F.to_json(F.struct(F.col("p_partkey").alias(k), F.col("title").alias(t), F.col("p_size").alias(z))) for k, t, z in spelled]
+    one = F.element_at(F.array(*objects), (F.col("p_partkey") % 3 + 1).cast("int"))
+    landed = named.groupBy("p_size").agg(F.concat(F.lit("["), F.array_join(F.collect_list(one), ",\n"), F.lit("]")).alias("value"))
+    landed.write.partitionBy("p_size").text(path)
+    return files.read_json_array(spark, path, "PortfolioId bigint, title string, size bigint")
 
 
 @workload(
@@ -137,11 +144,11 @@ def nested_json(spark, d):
     return files.read_nested_json(spark, path, ddl, "historicalPoints", per_line=True)
 
 
-@workload("by_extension", "S09 S04", "SELECT s_suppkey, s_name FROM supplier")
+@workload("by_extension", "S09 S04", "SELECT s_suppkey, s_name, s_name || ', \"y\" \\' AS named FROM supplier")
 def by_extension(spark, d):
     path = shared_dir(spark, "ext") + ".csv"
-    out.write_csv(table(spark, d, "supplier").select("s_suppkey"), path)
-    left = files.read_by_extension(spark, path, "s_suppkey bigint")
+    out.write_csv(table(spark, d, "supplier").select(F.concat("s_name", F.lit(', "y" \\')).alias("named"), "s_suppkey"), path)
+    left = files.read_by_extension(spark, path, "s_suppkey bigint, named string")
     right = files.read_by_extension(spark, f"{d}/supplier.parquet").select("s_suppkey", "s_name")
     return left.join(right, "s_suppkey")
 
