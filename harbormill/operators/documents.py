@@ -68,6 +68,18 @@ def rich_texts(raw: pd.Series) -> pd.Series:
     return raw.map(lambda items: [] if items is None else [_tree_text(r) for r in items], na_action=None)
 
 
+@F.pandas_udf(T.StringType())
+def rich_blob(parts: pd.DataFrame) -> pd.Series:
+    """Text of (summary, description, comments) in one pass: empty parts dropped, parted by a blank line."""
+    summaries, descriptions, comments = (parts.iloc[:, i] for i in range(3))
+
+    def blob(summary, description, bodies) -> str:
+        texts = [_tree_text(t) for t in (summary, description, *([] if bodies is None else bodies))]
+        return "\n\n".join(t for t in texts if t)
+
+    return pd.Series([blob(*row) for row in zip(summaries, descriptions, comments, strict=True)], dtype=object)
+
+
 def text_blob(summary: Column, description: Column, comments: Column) -> Column:
     """Summary, description and every comment (an array), blank parts dropped."""
     parts = F.concat(F.array(summary, description), F.coalesce(comments, F.array().cast("array<string>")))

@@ -7,45 +7,86 @@ not a general HTML parser.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harbormill.functions.numeric import price_or_null
 from harbormill.functions.text import first_match, last_segment, strip
+from harbormill.operators.windows import latest_by
 
 TAG = r"<[^>]*>"
+
+
+def _with_classes(tag: str, *classes: str) -> str:
+    """An opening tag whose class list holds all the classes, in any order, among any others and any attributes."""
+    held = "".join(rf"(?=[^\"'>]*(?<![\w-]){c}(?![\w-]))" for c in classes)
+    return rf"""<{tag}\b(?=[^>]*\sclass\s*=\s*["']?{held})[^>]*>"""
+
+
 # Where the parts of a product card are found.
-CARD = r'(?s)<div class="row product">.*?(?=<div class="row product">|$)'
-CARD_LINK = r'(?s)<h3[^>]*>\s*<a[^>]*href="([^"]*)"'
-CARD_NAME = r'(?s)<h3[^>]*>\s*<a[^>]*>(.*?)</a>'
-CARD_PRICE = r'(?s)<div class="price">(.*?)</div>'
-HEADING_THEN_PARAGRAPH = r"(?is)<h[234][^>]*>[^<]*description[^<]*</h[234]>.*?<p[^>]*>(.*?)</p>"
-BRAND_ROW = r"(?is)<tr[^>]*>\s*<t[dh][^>]*>\s*brand\s*</t[dh]>\s*<t[dh][^>]*>(.*?)</t[dh]>"
+CARD_START = _with_classes("div", "row", "product")
+CARD = rf"(?is){CARD_START}.*?(?={CARD_START}|$)"
+CARD_ANCHOR = r"(?is)<h3\b[^>]*>(?:(?!</h3\b).)*?(<a\b[^>]*>.*?</a\s*>)"
+CARD_PRICE = rf"(?is){_with_classes('div', 'price')}(.*?)</div>"
+HEADING_THEN_PARAGRAPH = (
+    r"(?is)<h([234])\b[^>]*>(?:(?!</h\1\b).)*?description(?:(?!</h\1\b).)*</h\1\s*>.*?<p\b[^>]*>(.*?)</p\s*>"
+)
+BRAND_ROW = r"(?is)<t[dh]\b[^>]*>(?:\s|<(?!/t[dh])[^>]*>)*brand(?:\s|:|<(?!/t[dh])[^>]*>)*</t[dh]\s*>\s*<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"
 FROM_PRICE = r"from\s+\$(\d+(?:\.\d{2})?)"
+ANCHOR = r"(?is)<a\b[^>]*>.*?</a\s*>"
+
+NAMED = {f"&{name};": chr(code) for name, code in name2codepoint.items()} | {"&apos;": "'", "&nbsp;": " "}
+
+
+def decoded(c: Column) -> Column:
+    """Named and numeric entities replaced by their characters; what is no entity stays."""
+
+    def character(entity: Column) -> Column:
+        hexadecimal = F.regexp_extract(entity, "^&#[xX]([0-9A-Fa-f]{1,6});$", 1)
+        decimal = F.regexp_extract(entity, "^&#([0-9]{1,7});$", 1)
+        digits = F.when(hexadecimal != "", hexadecimal).otherwise(F.conv(decimal, 10, 16))
+        named = F.try_element_at(F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair]), entity)
+        numeric = F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32")
+        return F.coalesce(named, F.when((hexadecimal != "") | (decimal != ""), numeric), entity)
+
+    # from left to right and once: the text between entities, each followed by its character
+    entity = r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,30});"
+    between, found = F.split(c, entity), F.transform(F.regexp_extract_all(c, F.lit(entity), 0), character)
+    pieces = F.zip_with(between, found, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+    return F.when(c.contains("&"), F.array_join(pieces, "")).otherwise(c)
 
 
 def inner_text(c: Column) -> Column:
-    """Text without tags, common entities decoded, blanks trimmed."""
-    out = F.regexp_replace(c, TAG, "")
-    for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return strip(out)
+    """Text without tags, entities decoded, blanks trimmed."""
+    return strip(decoded(F.regexp_replace(c, TAG, "")))
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """An attribute of an opening tag, quoted either way or not at all; null if it is not there."""
+    pattern = rf"""(?is)^<[^>]*?\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    parts = [F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)]
+    return F.when(tag.rlike(pattern), decoded(F.concat(*parts)))
 
 
 def listing_cards(pages: DataFrame, html: str = "html") -> DataFrame:
     """One row per product card: id, name, url and price text; cards without a link are skipped."""
     others = [c for c in pages.columns if c != html]
     cards = pages.select(*others, F.posexplode(F.regexp_extract_all(html, F.lit(CARD), 0)).alias("position", "_card"))
-    url = first_match(F.col("_card"), CARD_LINK, 1)
-    return cards.select(
+    anchor = first_match(F.col("_card"), CARD_ANCHOR, 1)
+    price = inner_text(first_match(F.col("_card"), CARD_PRICE, 1))
+    linked = cards.select(
+        *others, "position", attribute(anchor, "href").alias("product_url"), inner_text(anchor).alias("name"), price.alias("_price")
+    )
+    return linked.where(F.col("product_url").isNotNull()).select(
         *others,
         "position",
-        last_segment(url).alias("product_id"),
-        inner_text(first_match(F.col("_card"), CARD_NAME, 1)).alias("name"),
-        url.alias("product_url"),
-        F.coalesce(inner_text(first_match(F.col("_card"), CARD_PRICE, 1)), F.lit("")).alias("price_text"),
-    ).where(F.col("product_url").isNotNull())
+        last_segment(F.col("product_url")).alias("product_id"),
+        "name",
+        "product_url",
+        F.coalesce("_price", F.lit("")).alias("price_text"),
+    )
 
 
 def product_details(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
@@ -53,15 +94,18 @@ def product_details(pages: DataFrame, url: str = "url", html: str = "html") -> D
     body = F.col(html)
     return pages.select(
         F.col(url).alias("product_url"),
-        F.coalesce(inner_text(first_match(body, HEADING_THEN_PARAGRAPH, 1)), F.lit("")).alias("description"),
+        F.coalesce(inner_text(first_match(body, HEADING_THEN_PARAGRAPH, 2)), F.lit("")).alias("description"),
         F.coalesce(inner_text(first_match(body, BRAND_ROW, 1)), F.lit("")).alias("brand"),
         first_match(body, FROM_PRICE, 1).try_cast("decimal(8,2)").alias("original_price"),
     )
 
 
 def with_details(stubs: DataFrame, details: DataFrame) -> DataFrame:
-    """Listing rows with their details; a page that failed leaves blanks, not a gap."""
-    joined = stubs.join(details, "product_url", "left")
+    """Listing rows with their details; a page that failed leaves blanks, not a gap.
+
+    Of several detail rows of one address the greatest counts, so a page that landed twice multiplies nothing.
+    """
+    joined = stubs.join(latest_by(details, ["product_url"], []), "product_url", "left")
     return joined.withColumns(
         {
             "price": price_or_null(F.col("price_text")),
@@ -72,16 +116,12 @@ def with_details(stubs: DataFrame, details: DataFrame) -> DataFrame:
 
 
 def links(pages: DataFrame, html: str = "html") -> DataFrame:
-    """One row per link with its address and text."""
+    """One row per link with its address and text; anchors without an address are left out."""
     others = [c for c in pages.columns if c != html]
-    anchor = r'(?s)<a href="[^"]*">.*?</a>'
-    found = pages.select(*others, F.posexplode(F.regexp_extract_all(html, F.lit(anchor), 0)).alias("position", "_a"))
+    found = pages.select(*others, F.posexplode(F.regexp_extract_all(html, F.lit(ANCHOR), 0)).alias("position", "_a"))
     return found.select(
-        *others,
-        "position",
-        first_match(F.col("_a"), 'href="([^"]*)"', 1).alias("href"),
-        inner_text(F.col("_a")).alias("text"),
-    )
+        *others, "position", attribute(F.col("_a"), "href").alias("href"), inner_text(F.col("_a")).alias("text")
+    ).where(F.col("href").isNotNull())
 
 
 def table_records(

@@ -39,18 +39,20 @@ def next_tier(df: DataFrame, keys: Sequence[str], lower: str, upper: str) -> Dat
 
 
 def first_seen(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
-    """First row of every key in the given order, as a grouped minimum.
+    """First row of every key in the given order.
 
     Rows are compared by the order columns and then by all others, so the
-    outcome does not depend on how the input is partitioned. A minimum combines
-    on the map side: each task sends one row per key, however often it occurs.
+    outcome does not depend on how the input is partitioned. The rank limit is applied
+    before the shuffle too: each task sends one row per key, however often it occurs.
     """
-    ranked = F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(order)], F.struct(*df.columns).alias("_row"))
-    return df.groupBy(F.col(key).alias("_key")).agg(F.min(ranked)["_row"].alias("_row")).select("_row.*")
+    return _one_per_key(df, [key], [c.asc_nulls_first() for c in order], [F.col(c).asc_nulls_first() for c in df.columns])
+
+
+def _one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], ties: Sequence[Column]) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*order, *ties)
+    return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") == 1).drop("_rank")
 
 
 def latest_by(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Last row of every key in the given order, as a grouped maximum."""
-    ranked = F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(order)], F.struct(*df.columns).alias("_row"))
-    keys = [F.col(k).alias(f"_k{i}") for i, k in enumerate(key)]
-    return df.groupBy(*keys).agg(F.max(ranked)["_row"].alias("_row")).select("_row.*")
+    """Last row of every key in the given order, ties by all columns."""
+    return _one_per_key(df, key, [c.desc_nulls_last() for c in order], [F.col(c).desc_nulls_last() for c in df.columns])

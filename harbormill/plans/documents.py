@@ -18,9 +18,7 @@ from harbormill.operators.documents import (
     document_table,
     explode_chunks,
     recursive_chunks,
-    rich_text,
-    rich_texts,
-    text_blob,
+    rich_blob,
     token_chunks,
 )
 from harbormill.operators.html import listing_cards, product_details, with_details
@@ -92,9 +90,7 @@ def disclosures(landed: DataFrame, processed_at: Column) -> DataFrame:
 
 def issue_text(issues: DataFrame) -> DataFrame:
     """Issues with one ``blob`` of all their text; ``comments`` is an array of bodies."""
-    return issues.withColumn(
-        "blob", text_blob(rich_text("summary"), rich_text("description"), rich_texts("comments"))
-    )
+    return issues.withColumn("blob", rich_blob(F.struct("summary", "description", "comments")))
 
 
 def issue_chunks(issues: DataFrame, chunks: Column | None = None) -> DataFrame:
@@ -103,8 +99,10 @@ def issue_chunks(issues: DataFrame, chunks: Column | None = None) -> DataFrame:
         F.struct(F.col("id").alias("issue_id"), "key", "project", "status", "created", "updated"),
         {"ignoreNullFields": "false"},
     )
-    with_text = issue_text(issues).where(strip(F.col("blob")) != "").withColumn("langchain_metadata", meta)
+    # blank texts go with their empty array: a filter on the text would be pushed below it and read it twice
+    with_text = issue_text(issues).withColumn("langchain_metadata", meta)
     split = chunks if chunks is not None else recursive_chunks()(F.col("blob"))
+    split = F.when(strip(F.col("blob")) != "", split)
     reference = F.coalesce("key", "id", F.lit("unknown"))
     return explode_chunks(with_text, split).select(
         chunk_id(reference, F.col("chunk")).alias("langchain_id"), "content", "langchain_metadata"
@@ -119,7 +117,8 @@ def shop_catalog(
     listing_pages: DataFrame, detail_pages: DataFrame, categories: Sequence[str], scraped_at: Column
 ) -> DataFrame:
     """Products of all listing pages (category, page, html), first sighting kept, with details."""
-    order = F.array_position(F.array(*[F.lit(c) for c in categories]), F.col("category"))
+    place = F.array_position(F.array(*[F.lit(c) for c in categories]), F.col("category"))
+    order = F.when(place > 0, place).otherwise(len(categories) + 1)  # a category that is not listed comes last
     stubs = first_seen(listing_cards(listing_pages), "product_id", [order, F.col("page"), F.col("position")])
     full = with_details(stubs, product_details(detail_pages))
     return conform(

@@ -56,6 +56,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this package wrote."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 @cache
 def _local_dir() -> str:
     return tempfile.mkdtemp(prefix="harbormill-")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harbormill.quality.checks import FAILED
-from harbormill.session import shared_dir
+from harbormill.session import remove_path, shared_dir
 from harbormill.sinks.tables import refresh_table
 
 
@@ -46,7 +46,9 @@ def publish_if_pass(
     missing = sorted(set(required) - {name for name, _ in results})
     if failed or missing:
         raise PublicationBlocked(f"{target}: failed checks {failed}, missing checks {missing}")
-    return Published(refresh_table(staged, target, location), results)
+    published = Published(refresh_table(staged, target, location), results)
+    remove_path(spark, staged_path)  # kept only if something failed
+    return published
 
 
 def gate(results: DataFrame, required: tuple[str, ...] = ()) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from harbormill.models import Model
 from harbormill.operators.joins import not_yet_done
 from harbormill.operators.windows import latest_by
+from harbormill.session import remove_path
 
 FORMAT = "parquet"
 
@@ -92,6 +93,8 @@ def upsert_by_id(
     )
     written = refresh_table(spark.table(staged), table)
     spark.sql(f"DROP TABLE {staged}")
+    if location:  # dropping a table with a location leaves its files
+        remove_path(spark, f"{location}__staged")
     return written
 
 
