@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,6 +44,8 @@ def local_session(app: str, cores: int = 8, memory: str = "8g") -> SparkSession:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="harbormill-"))  # one machine: any folder is shared
     return spark
 
 
@@ -63,20 +64,12 @@ def remove_path(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
-@cache
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="harbormill-")
-
-
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder that every executor can reach.
+    """A fresh folder that every executor can reach, below the session's checkpoint folder.
 
-    The cluster names its shared storage in ``spark.checkpoint.dir``. Only a
-    local session without that setting falls back to a temporary folder.
+    The cluster names it in ``spark.checkpoint.dir``; a session without one must call ``setCheckpointDir``.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name shared storage on a cluster")
-        base = _local_dir()
+        raise ValueError("spark.checkpoint.dir must name storage that all executors share")
     return f"{base.rstrip('/')}/harbormill/{purpose}-{uuid.uuid4().hex}"

@@ -39,9 +39,9 @@ def check_stream_model(df: DataFrame, model: Model) -> DataFrame:
 
 
 def seen_messages(df: DataFrame) -> DataFrame:
-    """Add the message and bring timestamp and value to the table's types."""
+    """Add the message and bring timestamp and value to the table's types; a value beyond its type becomes null and is counted."""
     message = F.concat(F.lit("Seen: "), F.col("value").cast("string"))
-    return conform(df.withColumn("message", message), catalog.OUTPUT_MODEL)
+    return conform(df.withColumn("message", message), catalog.OUTPUT_MODEL, safe=True)
 
 
 def quality_counts(columns: Sequence[str] = CHECKED):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -106,6 +107,14 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+def _with_shared_folder(spark: SparkSession) -> SparkSession:
+    """On one machine any folder is shared; elsewhere the session names its checkpoint folder."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None and context.master.startswith("local"):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="workloads-"))
+    return spark
+
+
 def workload(name: str, covers: str, sql: str | None = None):
     """Register a function of (spark, sf_dir) under ``name``; ``covers`` lists operator ids."""
 
@@ -114,7 +123,7 @@ def workload(name: str, covers: str, sql: str | None = None):
             raise ValueError(f"workload {name!r} is registered twice")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return comparable(fn(prepare(spark), sf_dir))
+            return comparable(fn(_with_shared_folder(prepare(spark)), sf_dir))
 
         WORKLOADS[name] = Workload(name, tuple(covers.split()), run, _widened(name, sql))
         return fn
