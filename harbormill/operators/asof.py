@@ -1,95 +1,73 @@
 """As-of join: for every left row the latest right row at or before its time.
 
-Plan. The answer depends only on (key, time), so duplicates on either side are
-folded first. Both sides are then cut into time slices; one window per (key,
-slice) finds the latest right row inside the slice, and one row per (key, slice)
-carries the last right row of the earlier slices forward. A key that holds most
-of the data is thus spread over its slices instead of landing in one task.
+Plan. Both sides are cut into time slices. One window per (key, slice) finds the
+latest right row inside the slice; the last right row of each slice, one row per
+(key, slice), is carried forward to the slices after it. A key that holds most of the
+data is thus spread over its slices instead of landing in one task, and left rows are
+shuffled once.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from harbormill.functions.temporal import epoch_seconds
+from harbormill.operators.windows import latest_by
 
 DAY = 86_400
+SLICE_ROWS = 1_000_000
 
 
-def asof_join(
-    left: DataFrame,
-    right: DataFrame,
-    by: Sequence[str],
-    on: str,
-    slice_seconds: int = DAY,
-    left_unique: bool = False,
-    right_unique: bool = False,
-) -> DataFrame:
+def measured_slice(df: DataFrame, by: Sequence[str], on: str, rows: int = SLICE_ROWS) -> int:
+    """A slice width in seconds that gives the densest (key, hour) about ``rows`` rows, an hour at most."""
+    hour = F.floor(epoch_seconds(F.col(on)) / 3600)
+    densest = df.groupBy(*by, hour.alias("_hour")).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).head()[0] or 1
+    return max(1, 3600 // math.ceil(densest / rows))
+
+
+def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], on: str, slice_seconds: int = DAY) -> DataFrame:
     """All left rows with the right columns of the latest match (null without one).
 
-    Of several right rows with one (key, time) the greatest wins. Null keys and
-    times match nothing. ``left_unique`` and ``right_unique`` state that (key,
-    time) does not repeat on that side and save the folding.
+    Of several right rows with one (key, time) the greatest wins. Null keys and times match nothing, and their
+    rows go around the windows. ``slice_seconds`` bounds what one task sorts: see ``measured_slice``.
     """
     by = list(by)
     payload = [c for c in right.columns if c not in (*by, on)]
     extra = [c for c in left.columns if c not in (*by, on)]
-    time_slice = F.floor(epoch_seconds(F.col(on)) / slice_seconds)
-
-    matches = right.dropna(subset=[*by, on]).select(*by, on, F.struct(*payload).alias("_hit"))
-    if not right_unique:
-        matches = matches.groupBy(*by, on).agg(F.max("_hit").alias("_hit"))
+    known = reduce(and_, [F.col(c).isNotNull() for c in (*by, on)])
+    time_slice = F.floor(epoch_seconds(F.col(on)) / slice_seconds).alias("_slice")
 
-    if left_unique and extra:
-        probes = left.select(*by, on, F.struct(*extra).alias("_own"))
-    elif left_unique:
-        probes = left.select(*by, on, F.struct(F.lit(1).alias("_")).alias("_own"))
-    else:
-        probes = left.select(*by, on).distinct().withColumn("_own", F.struct(F.lit(1).alias("_")))
-
-    hit_type = matches.schema["_hit"].dataType
-    own_type = probes.schema["_own"].dataType
-    both = (
-        probes.withColumn("_hit", F.lit(None).cast(hit_type))
-        .select(*by, on, "_own", "_hit")
-        .unionByName(matches.withColumn("_own", F.lit(None).cast(own_type)))
-        .withColumn("_slice", time_slice)
-    )
+    matches = right.where(known).select(*by, on, time_slice, F.struct(*payload).alias("_hit"))
+    asked = left.where(known).select(*by, on, time_slice, F.struct(F.lit(True).alias("_is"), *extra).alias("_own"))
+    both = asked.unionByName(matches, allowMissingColumns=True)
 
-    # right rows sort before left rows of the same time: an exact match counts
+    # right rows sort before left rows of the same time, the greatest last: an exact match counts
     in_slice = (
         Window.partitionBy(*by, "_slice")
-        .orderBy(F.col(on), F.col("_own").isNotNull())
+        .orderBy(F.col(on), F.col("_own").isNotNull(), F.col("_hit"))
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    within = both.withColumn("_found", F.last("_hit", ignorenulls=True).over(in_slice))
-    # the last answer inside a slice is what the slice hands on; same partitioning, no new shuffle
-    per_slice = within.groupBy(*by, "_slice").agg(
-        F.max_by("_found", F.when(F.col("_found").isNotNull(), F.struct(on, F.col("_own").isNotNull()))).alias("_last")
-    )
+    within = both.withColumn("_found", F.last("_hit", ignorenulls=True).over(in_slice)).where(F.col("_own").isNotNull())
+
+    # what a slice hands on is its last right row; each task sends one row per slice, for slices that only ask as well
+    hit_type = matches.schema["_hit"].dataType
+    asks = asked.select(*by, "_slice", F.lit(None).cast(right.schema[on].dataType).alias(on), F.lit(None).cast(hit_type).alias("_hit"))
+    per_slice = latest_by(matches.select(*by, "_slice", on, "_hit").unionByName(asks), [*by, "_slice"], [F.col(on), F.col("_hit")])
     earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_slice.select(*by, "_slice", F.last("_last", ignorenulls=True).over(earlier).alias("_carry")).where(
+    carried = per_slice.select(*by, "_slice", F.last("_hit", ignorenulls=True).over(earlier).alias("_carry")).where(
         F.col("_carry").isNotNull()
     )
-    # the windows have left both sides partitioned by (key, slice) or by key
-    answered = (
-        within.where(F.col("_own").isNotNull())
-        .join(carried, [*by, "_slice"], "left")
-        .select(*by, on, "_own", F.coalesce("_found", "_carry").alias("_found"))
-    )
-
-    if left_unique:
-        return answered.select(
-            *by,
-            on,
-            *[F.col("_own")[c].alias(c) for c in extra],
-            *[F.col("_found")[c].alias(c) for c in payload],
-        )
-    found = answered.where(F.col("_found").isNotNull()).drop("_own")
-    return left.join(found, [*by, on], "left").select(
-        *left.columns, *[F.col("_found")[c].alias(c) for c in payload]
+    answered = within.join(carried, [*by, "_slice"], "left").withColumn("_found", F.coalesce("_found", "_carry"))
+    out = answered.select(
+        *by, on, *[F.col("_own")[c].alias(c) for c in extra], *[F.col("_found")[c].alias(c) for c in payload]
     )
+    columns = [*left.columns, *payload]
+    aside = left.where(~known).select(*left.columns, *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in payload])
+    return out.select(*columns).unionByName(aside)

@@ -66,8 +66,6 @@ def growth(history: DataFrame, statements: DataFrame, one_price_per_day: bool =
         ["symbol"],
         "date",
         slice_seconds=366 * DAY,
-        left_unique=True,
-        right_unique=True,
     )
     measures = [c for c in joined.columns if c not in ("symbol", "date")]
     return conform(joined.withColumns({c: finite(F.col(c)) for c in measures}), catalog.GROWTH)

@@ -9,7 +9,10 @@ import pytest
 from conftest import rows
 
 from harbormill.models import catalog
-from harbormill.operators.asof import asof_join
+from pyspark.sql import functions as F
+
+from harbormill.functions.temporal import epoch_seconds
+from harbormill.operators.asof import asof_join, measured_slice
 from harbormill.operators.interval import conflicts_within
 from harbormill.plans.risk import suspicious_transactions
 
@@ -109,7 +112,7 @@ def test_asof_against_brute_force(spark, slice_seconds, unique):
         right = list({(k, t): (k, t, v) for k, t, v in right}.values())
     ldf = spark.createDataFrame(left, "k string, t timestamp_ntz, name long")
     rdf = spark.createDataFrame(right, "k string, t timestamp_ntz, value long")
-    got = asof_join(ldf, rdf, ["k"], "t", slice_seconds, left_unique=unique, right_unique=unique)
+    got = asof_join(ldf, rdf, ["k"], "t", slice_seconds)
     assert rows(got.select("k", "t", "name", "value")) == naive_asof(left, right)
 
 
@@ -132,11 +135,23 @@ def test_plans_have_no_quadratic_join(spark):
     left = spark.range(10).selectExpr("string(id % 2) AS k", "timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, int(id)) AS t", "id")
     right = left.selectExpr("k", "t", "id AS value")
     counts = shape(asof_join(left, right, ["k"], "t"))
-    assert not set(QUADRATIC) & set(counts)
+    assert not set(QUADRATIC) & set(counts) and counts["Exchange"] <= 4
     counts = shape(conflicts_within(left.withColumn("v", left["id"]), "k", "t", "v"))
     assert not set(QUADRATIC) & set(counts) and counts["Exchange"] <= 5
 
 
+def test_a_dense_day_is_split_by_a_measured_slice(spark):
+    """One key with 20,000 rows in an hour: at 1,000 rows a slice no window partition holds more than a few thousand."""
+    left = spark.range(20_000).selectExpr("'hot' AS k", "timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, 0, id % 3600) AS t", "id AS name")
+    right = spark.range(0, 3600, 7).selectExpr("'hot' AS k", "timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, 0, id) AS t", "id AS value")
+    width = measured_slice(left, ["k"], "t", rows=1_000)
+    assert width == 180
+    got = asof_join(left, right, ["k"], "t", width)
+    assert got.where("value <> (name % 3600) - (name % 3600) % 7").count() == 0 and got.count() == 20_000
+    per_slice = left.groupBy(F.floor(epoch_seconds(F.col("t")) / width)).count().agg(F.max("count")).head()[0]
+    assert per_slice <= 1_080
+
+
 def test_a_hot_slice_is_split_over_tasks(spark):
     """A third of all rows in one key and one hour still leaves the join balanced."""
     settings = {
