@@ -365,6 +365,25 @@ def test_listing_cards_without_link_or_price(spark):
     assert rows(got) == [("7", "Box & Co", "https://s.example/product/7/", "24.99"), ("8", "Eight", "/product/8", "")]
 
 
+def test_links_of_any_spelling(spark):
+    page = (
+        "<a href='/one'>One</a><A class=\"x\" HREF=\"/two?a=1&amp;b=2\">T<b>w</b>o &eacute;&#8212;&#x2603;</A><a name=\"no\">skip</a>"
+        "<a\n data-href=\"/wrong\"\n href=/three >Three &unknown; &amp;lt;</a ><abbr href=\"/no\">x</abbr>"
+    )
+    got = html.links(spark.createDataFrame([(page,)], "html string")).select("href", "text")
+    assert [tuple(r) for r in got.collect()] == [("/one", "One"), ("/two?a=1&b=2", "Two é—☃"), ("/three", "Three &unknown; &lt;")]
+
+
+def test_an_unlisted_category_comes_last(spark):
+    from harbormill.plans.documents import shop_catalog
+
+    card = '<div class="row product"><h3><a href="/p/1">A</a></h3></div>'
+    pages = spark.createDataFrame([("toys", 1, card), ("apparel", 1, card)], "category string, page int, html string")
+    details = spark.createDataFrame([("/p/1", "<h2>Description</h2><p>x</p>")] * 2, "url string, html string")
+    got = shop_catalog(pages, details, ["apparel"], F.lit("2024-01-01").cast("timestamp")).collect()
+    assert [(r["category"], r["description"]) for r in got] == [("Apparel", "x")]
+
+
 def test_details_and_failed_pages(spark):
     page = (
         "<h2>Product Description</h2><div><p>Soft <b>wool</b></p></div><table><tr><th>Size</th><td>M</td></tr>"

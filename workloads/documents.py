@@ -212,18 +212,32 @@ def attached_embeddings(spark, d):
         LATERAL (SELECT unnest(range(1, len(a) + 1)) AS i)""",
 )
 def html_links(spark, d):
-    return html.links(table(spark, d, "pages").select("page_id", "html"))
+    # a third of the pages as they are, the others with their anchors spelled otherwise
+    spelled = (
+        F.when(F.col("page_id") % 3 == 0, F.col("html"))
+        .when(F.col("page_id") % 3 == 1, F.replace("html", F.lit('<a href="'), F.lit('<A class="k"\n HREF = "')))
+        .otherwise(F.replace("html", F.lit('<a href="'), F.lit('<a data-x=1 href="')))
+    )
+    return html.links(table(spark, d, "pages").select("page_id", spelled.alias("html")))
 
 
 SHOP = "https://shop.example/product/"
 CATEGORY = "CASE p_partkey % 3 WHEN 0 THEN 'apparel' WHEN 1 THEN 'consumables' ELSE 'household' END"
-NAME = f"p_name || ' &amp; co ' || {text('p_partkey')}"
+NAME = f"p_name || CASE p_partkey % 3 WHEN 0 THEN ' &amp; co ' WHEN 1 THEN ' &#38; co ' ELSE ' &#x26; co ' END || {text('p_partkey')}"
 PRICE = f"CASE WHEN p_partkey % 13 = 0 THEN 'call us' ELSE {text('p_size')} || '.' || {text('10 + p_partkey % 90')} END"
 
 
+# One thing spelled in several ways, as real pages do; the twin starts from the values and knows no markup.
+CARD_TAG = (
+    "CASE p_partkey % 3 WHEN 0 THEN 'div class=\"row product\"' WHEN 1 THEN 'DIV id=\"c\" class=\"featured  product row-x row\"' "
+    "ELSE 'div data-n=\"1\" CLASS = \"product new row\"' END"
+)
+ANCHOR_TAG = "CASE p_partkey % 2 WHEN 0 THEN 'a href=' ELSE 'a class=\"t\" HREF = ' END"
+
+
 def _card(key: str, name: str, price: str) -> str:
     return (
-        "'<div class=\"row product\"><div class=\"col-8 description\"><h3 class=\"mb-0\"><a href=\"" + SHOP + "' || "
+        f"'<' || {CARD_TAG} || '><div class=\"col-8 description\"><h3 class=\"mb-0\"><' || {ANCHOR_TAG} || '\"" + SHOP + "' || "
         f"{text(key)} || '\">' || {name} || '</a></h3></div><div class=\"col-2 price-wrap\"><div class=\"price\">' || "
         f"{price} || '</div></div></div>'"
     )
@@ -243,8 +257,8 @@ DETAILS = StandIn(
     "part",
     {
         "url": f"'{SHOP}' || {text('p_partkey')}",
-        "html": "'<h3>Product Description</h3><div><p class=\"x\">Made by ' || p_brand || '</p></div><table><tr><th>Size</th>"
-        "<td>' || CAST(p_size AS STRING) || '</td></tr><tr><td>Brand</td><td> ' || p_brand || ' </td></tr></table><span>from $' || "
+        "html": "CASE WHEN p_partkey % 2 = 0 THEN '<h3>Product Description</h3>' ELSE '<H3 class=\"h\"><span>The <b>description</b></span></H3>' END || '<div><p class=\"x\">Made by ' || p_brand || '</p></div><table><tr><th>Size</th>"
+        "<td>' || CAST(p_size AS STRING) || '</td></tr><tr>' || CASE WHEN p_partkey % 2 = 0 THEN '<td>Brand</td>' ELSE '<th><b>BRAND</b>:</th>' END || '<td> ' || p_brand || ' </td></tr></table><span>from $' || "
         f"{text('p_size')} || '.50</span>'",
     },
     "p_type <> 'STANDARD'",
@@ -285,7 +299,9 @@ def html_details(spark, d):
 )
 def shop_catalog(spark, d):
     categories = ["apparel", "consumables", "household"]
-    return products.shop_catalog(LISTINGS.df(spark, d), DETAILS.df(spark, d), categories, F.lit(LOADED_AT))
+    details = DETAILS.df(spark, d)
+    landed_twice = details.unionByName(details.where("length(url) % 2 = 0"))
+    return products.shop_catalog(LISTINGS.df(spark, d), landed_twice, categories, F.lit(LOADED_AT))
 
 
 RATE_PAGES = StandIn(
