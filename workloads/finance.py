@@ -133,6 +133,20 @@ def dividend_sustainability(spark, d):
     return finance.sustainability_trends(DIVIDENDS.df(spark, d), CASH_FLOWS.df(spark, d))
 
 
+@workload(
+    "sustainability_published",
+    "E06 P01 A11",
+    f"""SELECT * REPLACE (CAST(TRY_CAST(dividend_per_share AS DECIMAL(4,2)) AS DOUBLE) AS dividend_per_share,
+        CAST(year AS BIGINT) AS year), avg(CASE WHEN TRY_CAST(dividend_per_share AS DECIMAL(4,2)) IS NULL THEN 1.0 ELSE 0.0 END)
+        OVER () AS null_share FROM ({SUSTAIN_SQL})""",
+)
+def sustainability_published(spark, d):
+    """The published model with its decimals, beside the share of amounts that did not fit them."""
+    published = finance.dividend_sustainability(DIVIDENDS.df(spark, d), CASH_FLOWS.df(spark, d))
+    share = published.agg(F.avg(F.col("dividend_per_share").isNull().cast("double"))).scalar()
+    return published.withColumn("null_share", share)
+
+
 @workload(
     "metric_pivot",
     "A09",
