@@ -105,10 +105,13 @@ def candidate_keys(fps: DataFrame) -> DataFrame:
     """fp -> (fp, key, side), such that fingerprints with up to 4 differing bits share a key.
 
     Four errors over three segments leave either a segment without error, whose
-    plain bits are then a key, or two segments with one error each. In that case
-    both segments share a codeword; the key is the pair of codewords. One side lists the
-    nearest codeword of the first segment with all near ones of the second, the other
-    side the reverse, so 12 rows a pair of segments do for 36.
+    plain bits are then a key, or two segments with one error each and two errors at most in the
+    third. In that case both segments share a codeword and both change their parity, and one of
+    three blocks of the third segment has no error. The key is the pair of codewords with the
+    parity of the second segment and such a block; the parity of the first decides the side.
+    The even side lists the nearest codeword of the first segment with all near ones of the
+    second, the odd side the reverse, so 6 rows a pair of segments and block do for 36, and
+    fingerprints of one side are no candidates for each other.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,26 +120,23 @@ def candidate_keys(fps: DataFrame) -> DataFrame:
             bits = signed.view(np.uint64)
             words = [((bits >> np.uint64(at)) & np.uint64((1 << n) - 1)).astype(np.int64) for at, n in SEGMENTS]
             near = [golay_keys(w) for w in words]
-            keys = [((i << 40) | w)[:, None] for i, w in enumerate(words)]
-            sides = [BOTH] * len(keys)
-            for n, (i, j) in enumerate(((0, 1), (0, 2), (1, 2)), start=3):
-                keys.append((n << 40) | (near[i][:, :1] << 12) | near[j])
-                sides.append(LEFT)
-                keys.append((n << 40) | (near[i] << 12) | near[j][:, :1])
-                sides.append(RIGHT)
-            widths = [k.shape[1] for k in keys]
-            flat = np.concatenate(keys, axis=1)
-            side = np.repeat(np.array(sides, dtype=np.int32), widths)
-            # near rows shorter than the widest repeat the nearest codeword
-            fresh = np.ones(flat.shape, dtype=bool)
-            at = 0
-            for w in widths:
-                fresh[:, at + 1 : at + w] = flat[:, at + 1 : at + w] != flat[:, at : at + 1]
-                at += w
-            row, column = np.nonzero(fresh)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(signed[row]), pa.array(flat[row, column]), pa.array(side[column])], ["fp", "key", "side"]
-            )
+            odd = [np.bitwise_count(w) % 2 == 1 for w in words]
+            out = [(signed, (i << 40) | w, BOTH) for i, w in enumerate(words)]
+            for n, (i, j, rest) in enumerate(((0, 1, 2), (0, 2, 1), (1, 2, 0)), start=3):
+                blocks = [(words[rest] >> (7 * b)) & (0xFF if b == 2 else 0x7F) for b in range(3)]
+                for side in (LEFT, RIGHT):
+                    some = np.nonzero(odd[i] == (side == RIGHT))[0]
+                    one, all_of = (near[i], near[j]) if side == LEFT else (near[j], near[i])
+                    # rows of near codewords that are shorter than the widest repeat the nearest
+                    row, column = np.nonzero((all_of[some] != all_of[some, :1]) | (np.arange(all_of.shape[1]) == 0))
+                    row = some[row]
+                    c, d = (one[row, 0], all_of[row, column]) if side == LEFT else (all_of[row, column], one[row, 0])
+                    parity = (odd[j][row] ^ (side == RIGHT)).astype(np.int64)
+                    pair = (n << 40) | (parity << 24) | (c << 12) | d
+                    out += [(signed[row], pair | (b << 36) | (block[row] << 26), side) for b, block in enumerate(blocks)]
+            fp, key = (np.concatenate([o[k] for o in out]) for k in (0, 1))
+            sides = np.repeat(np.array([o[2] for o in out], dtype=np.int32), [len(o[0]) for o in out])
+            yield pa.RecordBatch.from_arrays([pa.array(fp), pa.array(key), pa.array(sides)], ["fp", "key", "side"])
 
     return fps.mapInArrow(run, "fp long, key long, side int")
 
@@ -171,7 +171,8 @@ def fingerprint_components(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFram
     first = connected_components(chain).withColumnRenamed("node", "fp")
     known = keys.join(first, "fp", "left").select("fp", "key", "side", F.coalesce("root", F.xxhash64("fp")).alias("root"))
     known = checkpoint(known)
-    mixed = known.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+    two_sided = (F.min("side") != F.max("side")) | (F.min("side") == BOTH)
+    mixed = known.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), two_sided.alias("both")).where("lo <> hi and both").select("key")
     live = known.join(mixed, "key")
     frequent = (
         live.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("root", "n").alias("frequent"))
