@@ -28,7 +28,7 @@ MEMO_UNITS = 500_000
 @dataclass(frozen=True)
 class PieceTable:
     ids: dict  # piece -> (id, score)
-    trie: dict  # character -> subtree; under "" the piece that ends here
+    trie: dict  # character -> [score of the piece that ends here or None, its ids, subtree]
     pairs: frozenset  # neighbouring characters that some piece holds
     bytes_of: list  # id -> bytes
     byte_ids: list  # byte -> id
@@ -56,11 +56,12 @@ def load_pieces(path: str) -> PieceTable:
             bytes_of.append(piece.replace(SPACE, " ").encode())
     trie: dict = {}
     for piece, entry in ids.items():
-        node = trie
+        tree = trie
         for c in piece:
-            node = node.setdefault(c, {})
-        node[""] = entry
-    pairs = frozenset(p[k : k + 2] for p in ids for k in range(len(p) - 1))
+            node = tree.setdefault(c, [None, (), {}])
+            tree = node[2]
+        node[0], node[1] = entry[1], (entry[0],)
+    pairs = frozenset(pair for p in ids for pair in zip(p, p[1:], strict=False))
     worst = min(score for _, score in ids.values())
     return PieceTable(ids, trie, pairs, bytes_of, byte_ids, max(map(len, ids)), worst - UNKNOWN_PENALTY)
 
@@ -75,36 +76,39 @@ def viterbi(text: str, table: PieceTable) -> list[int]:
     """
     trie, longest, unknown, byte_ids = table.trie, table.longest, table.unknown, table.byte_ids
     n, out, base, at = len(text), [], 0, 0
-    width = 4 * longest
+    width = min(4 * longest, n)
     none = -math.inf
     score, start, last = [0.0] + [none] * width, [0] * (width + 1), [()] * (width + 1)
     while at < n:
         here = at - base
         own = score[here]
-        node = trie
-        single = False
-        for end in range(at, min(n, at + longest)):
-            node = node.get(text[end])
+        tree, to = trie, here
+        single = True
+        for c in text[at : at + longest]:
+            node = tree.get(c)
             if node is None:
                 break
-            entry = node.get("")
-            if entry is not None:
-                to = end + 1 - base
-                single = single or end == at
-                if own + entry[1] > score[to]:
-                    score[to], start[to], last[to] = own + entry[1], at, (entry[0],)
-        if not single and own + unknown > score[here + 1]:
+            to += 1
+            gain, ids, tree = node
+            if gain is not None:
+                if own + gain > score[to]:
+                    score[to], start[to], last[to] = own + gain, at, ids
+            elif to == here + 1:
+                single = False
+        if (not single or to == here) and own + unknown > score[here + 1]:
             score[here + 1], start[here + 1] = own + unknown, at
             last[here + 1] = tuple([byte_ids[b] for b in text[at].encode("utf-8", "replace")])
         at += 1
         if at == n or at - base >= 2 * longest:
             # survivors: boundaries that a later piece may start from, or the end
-            live = {at} if at == n else {e for e in range(at, min(n, at + longest) + 1) if score[e - base] > none}
-            while len(live) > 1:
-                top = max(live)
-                live.remove(top)
-                live.add(start[top - base])
-            (meet,) = live
+            meet = at
+            if at < n:
+                live = {e for e in range(at, min(n, at + longest) + 1) if score[e - base] > none}
+                while len(live) > 1:
+                    top = max(live)
+                    live.remove(top)
+                    live.add(start[top - base])
+                (meet,) = live
             path, e = [], meet
             while e > base:
                 path.append(last[e - base])
@@ -112,7 +116,7 @@ def viterbi(text: str, table: PieceTable) -> list[int]:
             for step in reversed(path):
                 out.extend(step)
             gone = meet - base
-            if gone:
+            if gone and at < n:
                 top = score[gone]
                 score = [s - top for s in score[gone:]] + [none] * gone
                 start = start[gone:] + [0] * gone
@@ -135,14 +139,21 @@ class Encoder:
     keeps the ids of units that were seen.
     """
 
-    def __init__(self, table: PieceTable, memo: dict | None = None, bound: int = MEMO_UNITS):
+    def __init__(self, table: PieceTable, bound: int = MEMO_UNITS):
         if any(SPACE in piece.lstrip(SPACE) for piece in table.ids):
             raise ValueError("a piece has a space after another character")
-        self.table, self.memo, self.bound = table, {} if memo is None else memo, bound
+        self.table, self.bound = table, bound
+        self.memo: dict = {}
+        self.older: dict = {}  # the memo before: units in use move on from it
 
     def _new(self, unit: str) -> bytes:
+        found = self.older.get(unit)
+        if found is not None:
+            return self._remember(unit, found)
         text, pairs = SPACE + unit, self.table.pairs
-        cuts = [k for k in range(1, len(text)) if text[k - 1 : k + 1] not in pairs]
+        if len(unit) > 1 and (unit[-2], unit[-1]) not in pairs:  # as before a full stop: only what stands before it is kept
+            return (self.memo.get(unit[:-1]) or self._new(unit[:-1])) + self._part(unit[-1], ("", unit[-1]))
+        cuts = [k for k, pair in enumerate(zip(text, text[1:], strict=False), start=1) if pair not in pairs]
         if not cuts:
             return self._part(text, unit)
         ends = [*cuts, len(text)]
@@ -153,11 +164,14 @@ class Encoder:
 
     def _part(self, text: str, key) -> bytes:
         found = self.memo.get(key)
-        return found if found is not None else self._remember(key, array("i", viterbi(text, self.table)).tobytes())
+        if found is not None:
+            return found
+        found = self.older.get(key)
+        return self._remember(key, array("i", viterbi(text, self.table)).tobytes() if found is None else found)
 
     def _remember(self, key, ids: bytes) -> bytes:
         if len(self.memo) >= self.bound:
-            self.memo.clear()
+            self.memo, self.older = {}, self.memo
         if len(ids) <= 256:
             self.memo[key] = ids
         return ids
@@ -171,8 +185,10 @@ class Encoder:
             units = [u[1:] for u in re.findall(f"{SPACE}+[^{SPACE}]*", SPACE + text.replace(" ", SPACE))]
         else:
             units = text.split(" ")
-        get, new = self.memo.get, self._new
-        return b"".join([get(u) or new(u) for u in units])
+        found = list(map(self.memo.get, units))
+        if None in found:
+            found = [(self.memo.get(u) or self._new(u)) if ids is None else ids for u, ids in zip(units, found, strict=True)]
+        return b"".join(found)
 
 
 def decode(ids: list[int], table: PieceTable) -> str:
@@ -182,11 +198,12 @@ def decode(ids: list[int], table: PieceTable) -> str:
     return text[1:] if text[:1] == " " else text
 
 
-def _loaded(path: str) -> tuple[PieceTable, dict]:
+def _loaded(path: str) -> tuple[PieceTable, Encoder]:
     state = worker_state("pieces " + path)
     if not state:
-        state.update(table=load_pieces(path), memo={})
-    return state["table"], state["memo"]
+        table = load_pieces(path)
+        state.update(table=table, encoder=Encoder(table))
+    return state["table"], state["encoder"]
 
 
 def encode_pieces(docs: DataFrame, model: str, text: str = "text", to: str = "ids") -> DataFrame:
@@ -201,7 +218,7 @@ def encode_pieces(docs: DataFrame, model: str, text: str = "text", to: str = "id
     schema = T.StructType([*kept.schema.fields, T.StructField(to, T.ArrayType(T.IntegerType(), False), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(*_loaded(model))
+        _, encoder = _loaded(model)
         for batch in batches:
             coded = [encoder.encode(x or "") for x in batch.column(text).to_pylist()]
             offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in coded])]).astype(np.int32)
