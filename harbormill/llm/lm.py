@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harbormill.llm.common import shuffle_partitions, worker_state
@@ -28,14 +28,15 @@ def vocabulary_size(tokenizer: str) -> int:
     return size
 
 
-def bigrams(docs: DataFrame, tokenizer: str, vocabulary: int, buckets: int) -> DataFrame:
+def bigrams(docs: DataFrame, tokenizer: str, vocabulary: int, labels: list[int]) -> DataFrame:
     """(bucket, doc_ids, grams, times): a batch of documents' bigrams that hash to a bucket, in arrays of equal length.
 
     A document is read as boundary, its ids, boundary; the boundary's id is ``vocabulary``. A gram is first id times
     (vocabulary + 1) plus second id, as a 32-bit pattern: exact, without collisions. Repeats in a document are folded.
-    Arrays instead of rows keep what is shuffled to a few bytes a bigram.
+    Arrays instead of rows keep what is shuffled to a few bytes a bigram. Buckets bear the given labels.
     """
     base = vocabulary + 1
+    named = np.array(labels, dtype=np.int32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = worker_state("words")
@@ -55,19 +56,26 @@ def bigrams(docs: DataFrame, tokenizer: str, vocabulary: int, buckets: int) -> D
                 continue
             (gram, times), owner = np.concatenate(parts, axis=1), np.concatenate(owner)
             mixed = (gram.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
-            bucket = (mixed % np.uint64(buckets)).astype(np.int64)
+            bucket = (mixed % np.uint64(len(named))).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             found, first = np.unique(bucket[order], return_index=True)
             offsets = pa.array(np.append(first, len(order)).astype(np.int32))
             arrays = (ids.take(pa.array(owner[order])), pa.array(gram[order].astype(np.uint32).view(np.int32)), pa.array(times[order].astype(np.int32)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found.astype(np.int32)), *[pa.ListArray.from_arrays(offsets, a) for a in arrays]], ["bucket", "doc_ids", "grams", "times"]
+                [pa.array(named[found]), *[pa.ListArray.from_arrays(offsets, a) for a in arrays]], ["bucket", "doc_ids", "grams", "times"]
             )
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"bucket int, doc_ids array<{id_type}>, grams array<int>, times array<int>")
 
 
+def bucket_labels(spark: SparkSession, partitions: int) -> list[int]:
+    """A number for each partition that hash partitioning sends there, so that every partition gets one bucket."""
+    numbers = spark.range(64 * partitions).select(F.col("id").cast("int").alias("label"))
+    place = F.pmod(F.hash("label"), F.lit(partitions))
+    return [r["label"] for r in numbers.groupBy(place.alias("place")).agg(F.min("label").alias("label")).collect()]
+
+
 def backoff_scores(docs: DataFrame, tokenizer: str, least_count: int = LEAST_COUNT, backoff: float = BACKOFF) -> DataFrame:
     """One row per doc_id: n_tokens, n_backoff, log_score, mean_log_score.
 
@@ -90,7 +98,7 @@ def backoff_scores(docs: DataFrame, tokenizer: str, least_count: int = LEAST_COU
     partitions = shuffle_partitions(spark)
     vocabulary = vocabulary_size(tokenizer)
     base = vocabulary + 1
-    dealt = bigrams(docs, tokenizer, vocabulary, 4 * partitions).repartition(partitions, "bucket")
+    dealt = bigrams(docs, tokenizer, vocabulary, bucket_labels(spark, partitions)).repartition(partitions, "bucket")
     # not to be pushed down and true of every row: all uses below then need the same columns, so the exchange is made once
     dealt = dealt.where(F.monotonically_increasing_id() + F.size("doc_ids") + F.size("grams") + F.size("times") >= 0)
     entries = dealt.select("bucket", "doc_ids", "times", F.posexplode("grams").alias("at", "gram")).select(
