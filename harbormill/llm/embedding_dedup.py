@@ -20,8 +20,8 @@ SHARD_ROWS = 32_768
 BLOCK_ROWS = 4_096
 BEAM = 32
 WIDEN = 4
-AUDITED = 64  # queries of a block compared with a scan of the shard
-AUDIT_NEAREST, AUDIT_RECALL = 10, 0.9
+AUDITED = 256  # queries of a block compared with a scan of the shard
+AUDIT_NEAREST, AUDIT_RECALL = 10, 0.8
 MARGIN = 1e-4  # single precision finds, double precision decides
 
 
