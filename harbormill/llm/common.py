@@ -10,10 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
+def checkpoint(df: DataFrame, keep_partitioning: bool = False) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and cut its lineage.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only a local session
+    With ``keep_partitioning`` later joins on the columns it is dealt by need no new exchange; the
+    job then runs without adaptive planning, under which the partitioning is not known. The folder is the session's ``spark.checkpoint.dir``. Only a local session
     without that setting gets a folder of its own.
     """
     spark = df.sparkSession
@@ -25,7 +26,15 @@ def checkpoint(df: DataFrame) -> DataFrame:
                 raise ValueError("spark.checkpoint.dir must name shared storage on a cluster")
             base = tempfile.mkdtemp(prefix="harbormill-checkpoints-")
         sc.setCheckpointDir(base)
-    return df.checkpoint(eager=True)
+    if not keep_partitioning:
+        return df.checkpoint(eager=True)
+    adaptive = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(adaptive)
+    spark.conf.set(adaptive, "false")
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        spark.conf.set(adaptive, before)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
