@@ -63,8 +63,9 @@ def linked(matrix: np.ndarray, levels: list[Level], queries: np.ndarray, thresho
     single, asked = matrix.astype(np.float32), queries.astype(np.float32)
     least = threshold - MARGIN
 
-    def ask(rows: np.ndarray, beam: int):
-        if beam * 16 >= n:
+    def ask(rows: np.ndarray, beam: int, widened: bool = False):
+        # a scan is one matrix product: cheaper than a beam that visits a hundredth of the shard
+        if beam * (100 if widened else 16) >= n:
             beam = n
         q, r = [], []
         again = []
@@ -86,7 +87,7 @@ def linked(matrix: np.ndarray, levels: list[Level], queries: np.ndarray, thresho
             r.append(found[i, j])
         wider = np.concatenate(again) if again else np.array([], dtype=np.int64)
         if len(wider):
-            more_q, more_r = ask(wider, beam * WIDEN)
+            more_q, more_r = ask(wider, beam * WIDEN, widened=True)
             q.append(more_q)
             r.append(more_r)
         return np.concatenate(q), np.concatenate(r)
