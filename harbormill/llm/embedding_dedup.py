@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harbormill.llm.common import checkpoint, connected_components
-from harbormill.llm.hnsw import CHUNK, Level, build, search
+from harbormill.llm.hnsw import CHUNK, DEGREE, Level, build, search
 from harbormill.llm.vectors import stacked, unit, usable
 
 THRESHOLD = 0.95
@@ -20,6 +20,8 @@ SHARD_ROWS = 32_768
 BLOCK_ROWS = 4_096
 BEAM = 32
 WIDEN = 4
+# A widened beam becomes a scan, one matrix product, where it would visit an eighth of the shard link by link.
+SCANNED = 8 * DEGREE
 AUDITED = 256  # queries of a block compared with a scan of the shard
 AUDIT_NEAREST, AUDIT_RECALL = 10, 0.8
 MARGIN = 1e-4  # single precision finds, double precision decides
@@ -64,8 +66,7 @@ def linked(matrix: np.ndarray, levels: list[Level], queries: np.ndarray, thresho
     least = threshold - MARGIN
 
     def ask(rows: np.ndarray, beam: int, widened: bool = False):
-        # a scan is one matrix product: cheaper than a beam that visits a hundredth of the shard
-        if beam * (100 if widened else 16) >= n:
+        if beam * (SCANNED if widened else 16) >= n:
             beam = n
         q, r = [], []
         again = []
@@ -97,10 +98,10 @@ def linked(matrix: np.ndarray, levels: list[Level], queries: np.ndarray, thresho
     k = min(AUDIT_NEAREST, n)
     nearest = np.argpartition(-truth, k - 1, axis=1)[:, :k]
     beam = BEAM
-    while beam * 16 < n:
+    while beam * (16 if beam == BEAM else SCANNED) < n:
         found, _ = search(single, levels, asked[audited], beam)
         near = np.mean([len(np.intersect1d(x, y)) / k for x, y in zip(found, nearest, strict=True)])
-        q, r = ask(audited, beam)
+        q, r = ask(audited, beam, widened=beam > BEAM)
         place = np.full(len(queries), -1)
         place[audited] = np.arange(len(audited))
         got = np.zeros(truth.shape, dtype=bool)
@@ -108,7 +109,7 @@ def linked(matrix: np.ndarray, levels: list[Level], queries: np.ndarray, thresho
         if near >= AUDIT_RECALL and (got | (truth < threshold)).all():
             break
         beam *= 2
-    q, r = ask(np.arange(len(queries)), beam)
+    q, r = ask(np.arange(len(queries)), beam, widened=beam > BEAM)
     keep = np.zeros(len(q), dtype=bool)
     for lo in range(0, len(q), 65_536):
         a, b = q[lo : lo + 65_536], r[lo : lo + 65_536]
