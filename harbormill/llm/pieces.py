@@ -151,8 +151,15 @@ class Encoder:
         if found is not None:
             return self._remember(unit, found)
         text, pairs = SPACE + unit, self.table.pairs
-        if len(unit) > 1 and (unit[-2], unit[-1]) not in pairs:  # as before a full stop: only what stands before it is kept
-            return (self.memo.get(unit[:-1]) or self._new(unit[:-1])) + self._part(unit[-1], ("", unit[-1]))
+        end = len(text)
+        while end > 2 and (text[end - 2], text[end - 1]) not in pairs:  # as before a full stop: only what stands before it is kept
+            end -= 1
+        if end < len(text):
+            head = text[1:end]
+            start = self.memo.get(head)
+            if start is None:
+                start = self._new(head)  # its last two characters are neighbours in a piece, or it is a single one
+            return start + b"".join([self._part(c, ("", c)) for c in text[end:]])
         cuts = [k for k, pair in enumerate(zip(text, text[1:], strict=False), start=1) if pair not in pairs]
         if not cuts:
             return self._part(text, unit)

@@ -172,6 +172,17 @@ def test_streaming_viterbi_equals_the_whole_lattice(piece_table, spark, sf_dir):
         assert pieces.decode(whole, piece_table) == text
 
 
+LONG_TAILS = ["7" * 5_000, "\n" * 5_000, "".join(chr(0x4E00 + n % 2_000) for n in range(5_000)), "word" + "1\n" * 2_500, "a " + "9" * 5_000 + " b"]
+
+
+def test_units_with_long_tails_of_sure_cuts(piece_table):
+    encoder = pieces.Encoder(piece_table)
+    for text in LONG_TAILS + LONG_TAILS:  # the second time from the memo
+        whole = pieces.plain_viterbi(pieces.SPACE + text.replace(" ", pieces.SPACE), piece_table)
+        assert np.frombuffer(encoder.encode(text), dtype=np.int32).tolist() == whole
+        assert pieces.decode(whole, piece_table) == text
+
+
 def test_piece_columns_round_trip(spark, odd_documents):
     coded = pieces.encode_pieces(odd_documents, MODEL)
     both = pieces.decode_pieces(coded, MODEL).select("text", "ids", "decoded").collect()
