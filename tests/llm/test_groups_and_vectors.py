@@ -202,6 +202,34 @@ def test_lines_of_odd_rows(spark, odd_documents):
     assert got == {1: sentence(1, 20) + "\nkeep\n", 2: "", 3: None}
 
 
+def test_lines_are_compared_as_a_whole(spark):
+    """Lines without spaces, and short lines that differ in their last word only."""
+    r = random.Random(11)
+
+    def signs(alphabet, n):
+        return "".join(r.choice(alphabet) for _ in range(n))
+
+    head = "https://host.example/a/b/c/"
+    cjk = [chr(0x4E00 + n) for n in range(500)]
+    texts = [head + signs("0123456789abcdef", 60) for _ in range(10)]
+    texts += [signs(cjk, 24) + signs(cjk, 60) for _ in range(3)] + ["漢字" * 15 + signs(cjk, 60) for _ in range(5)]
+    long = head + signs("0123456789abcdef", 400)
+    texts += [long, long[:-1] + "!", "!" + long, long[:200] + "!" + long[201:]]
+    texts += ["responsibilities of the manager", "responsibilities of the members", "-" * 40, "-" * 400, "=" * 40 + "-"]
+    texts += [sentence(5, 8) + " " + long, sentence(5, 8) + " " + head + signs("0123456789abcdef", 400)]
+
+    def shingles(line):
+        starts = [i for i in range(len(line) - 23) if i == 0 or line[i - 1] == " " or " " not in line[i - 1 : i + 24]]
+        found = {line[i : i + 24] for i in starts}
+        return found | {line[-24:]} if len(found) < 8 else found
+
+    sets = [shingles(t) for t in texts]
+    pairs = [(a, b) for a, b in itertools.combinations(range(len(texts)), 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    want = {n for n, root in enumerate(union(len(texts), pairs)) if root != n}
+    got = lines.repeated_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r["doc_id"] for r in got} == want and 3 < len(want) < 6
+
+
 def test_line_dedup_is_native(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     judged = lines.judged_lines(docs, 24)
