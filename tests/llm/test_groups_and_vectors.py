@@ -230,6 +230,33 @@ def test_lines_are_compared_as_a_whole(spark):
     assert {r["doc_id"] for r in got} == want and 3 < len(want) < 6
 
 
+def test_families_that_touch_through_done_lines(spark, monkeypatch):
+    """Chains L~a~b~M with copies of L and M in a single band: no link between lines of a band may be lost."""
+    monkeypatch.setattr(lines, "BANDS", 1)
+    monkeypatch.setattr(lines, "ROWS", 1)
+    docs = []
+    for n in range(150):
+        words = sentence(5_000 + n, 70).split(" ")
+        # a changed word takes about five of 66 shingles, so only neighbours in the chain are similar
+        for step in range(4):
+            line = " ".join([f"other{n}" if at in (10, 30, 50)[:step] else w for at, w in enumerate(words)])
+            docs += [(len(docs) + k, line) for k in range(3 if step in (0, 3) else 1)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    judged = lines.judged_lines(df, 24).withColumns({f"k{i}": F.lit(i) for i in range(lines.COARSE)})
+    shingles = lines.shingle_hashes(F.col("line"), 24)
+    rows = judged.select("h", shingles.alias("s"), F.get(lines.band_keys(shingles), F.lit(0)).alias("band")).distinct().collect()
+    sets = [set(r["s"]) for r in rows]
+    pairs = [
+        (a, b)
+        for a, b in itertools.combinations(range(len(rows)), 2)
+        if rows[a]["band"] == rows[b]["band"] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    ]
+    names = [r["h"] for r in rows]
+    want = [c for c in classes(names, union(len(rows), pairs)) if len(c) > 1]
+    got = common.connected_components(lines.similar_lines(df, judged, 24, 0.8)).collect()
+    assert classes([r["node"] for r in got], [r["root"] for r in got]) == want
+
+
 def test_line_dedup_is_native(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     judged = lines.judged_lines(docs, 24)
