@@ -23,7 +23,8 @@ WIDEN = 4
 # A widened beam becomes a scan, one matrix product, where it would visit an eighth of the shard link by link.
 SCANNED = 8 * DEGREE
 AUDITED = 256  # queries of a block compared with a scan of the shard
-AUDIT_NEAREST, AUDIT_RECALL = 10, 0.8
+AUDIT_NEAREST, AUDIT_RECALL = 10, 0.9
+AUDIT_CLOSEST, CLOSEST_RECALL = 2, 0.99  # stand for links, which a sample seldom holds where they are rare
 MARGIN = 1e-4  # single precision finds, double precision decides
 
 
@@ -58,8 +59,8 @@ def linked(matrix: np.ndarray, levels: list[Level], queries: np.ndarray, thresho
     """(query, row, cosine) of the pairs at ``threshold`` or more, verified in double precision.
 
     A query whose beam could hold more links than it found room for is asked again with a wider beam, in the end
-    one as wide as the shard. A sample of the queries is audited against a scan: all their links and ``AUDIT_RECALL``
-    of their nearest rows must be found, else the first beam of all queries is widened.
+    one as wide as the shard. A sample of the queries is audited against a scan: all their links, ``AUDIT_RECALL``
+    of their nearest rows and ``CLOSEST_RECALL`` of the closest of these must be found, else the first beam of all queries is widened.
     """
     n = len(matrix)
     single, asked = matrix.astype(np.float32), queries.astype(np.float32)
@@ -97,16 +98,18 @@ def linked(matrix: np.ndarray, levels: list[Level], queries: np.ndarray, thresho
     truth = asked[audited] @ single.T
     k = min(AUDIT_NEAREST, n)
     nearest = np.argpartition(-truth, k - 1, axis=1)[:, :k]
+    closest = np.take_along_axis(nearest, np.argsort(-np.take_along_axis(truth, nearest, axis=1), axis=1), axis=1)[:, :AUDIT_CLOSEST]
     beam = BEAM
     while beam * (16 if beam == BEAM else SCANNED) < n:
         found, _ = search(single, levels, asked[audited], beam)
         near = np.mean([len(np.intersect1d(x, y)) / k for x, y in zip(found, nearest, strict=True)])
+        close = np.mean([np.isin(y, x).mean() for x, y in zip(found, closest, strict=True)])
         q, r = ask(audited, beam, widened=beam > BEAM)
         place = np.full(len(queries), -1)
         place[audited] = np.arange(len(audited))
         got = np.zeros(truth.shape, dtype=bool)
         got[place[q], r] = True
-        if near >= AUDIT_RECALL and (got | (truth < threshold)).all():
+        if near >= AUDIT_RECALL and close >= CLOSEST_RECALL and (got | (truth < threshold)).all():
             break
         beam *= 2
     q, r = ask(np.arange(len(queries)), beam, widened=beam > BEAM)

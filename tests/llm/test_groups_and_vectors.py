@@ -304,6 +304,25 @@ def test_vector_groups_match_brute_force(spark):
     assert embedding_dedup.near_duplicate_vectors(df.limit(0)).count() == 0
 
 
+def test_rare_links_are_not_lost_where_no_audited_query_has_one(monkeypatch):
+    """A search that misses the closest row of half the queries at the first beam, and finds nine tenths of the nearest rows."""
+
+    def search(matrix, levels, asked, beam):
+        sims = asked @ matrix.T
+        order = np.argsort(-sims, axis=1)[:, : beam + 1]
+        missed = (asked[:, 0] > 0) & (beam == embedding_dedup.BEAM)
+        found = np.where(missed[:, None], order[:, 1:], order[:, :-1])
+        return found, np.take_along_axis(sims, found, axis=1)
+
+    monkeypatch.setattr(embedding_dedup, "search", search)
+    r = np.random.default_rng(2)
+    matrix, queries = (m / np.linalg.norm(m, axis=1, keepdims=True) for m in (r.normal(size=(2_000, 24)), r.normal(size=(1_000, 24))))
+    planted = np.random.default_rng(5).permutation(1_000)[embedding_dedup.AUDITED :][:20]
+    queries[planted] = matrix[:20]
+    q, r = embedding_dedup.linked(matrix, [], queries, 0.95, seed=5)
+    assert sorted(zip(q.tolist(), r.tolist(), strict=True)) == sorted(zip(planted.tolist(), range(20), strict=True))
+
+
 def test_vector_links_through_the_graph():
     """A shard large enough that beams, not scans, find the links; one group is larger than the first beams."""
     rng = np.random.default_rng(5)
