@@ -9,6 +9,8 @@ import types
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from harbormill.session import remove_path, shared_dir
+
 
 def checkpoint(df: DataFrame, keep_partitioning: bool = False) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and cut its lineage.
@@ -37,6 +39,18 @@ def checkpoint(df: DataFrame, keep_partitioning: bool = False) -> DataFrame:
         spark.conf.set(adaptive, before)
 
 
+def staged(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` written as compressed columns below the session's checkpoint folder and read again, and the place for ``discard``."""
+    place = shared_dir(df.sparkSession, "llm")
+    df.write.parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place), place
+
+
+def discard(spark: SparkSession, place: str) -> None:
+    """Remove what ``staged`` wrote, once nothing reads it any more."""
+    remove_path(spark, place)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
