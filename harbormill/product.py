@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from harbormill.models import Model
 from harbormill.operators.columns import conform
-from harbormill.quality.checks import Rule, all_checks, check_rows, check_schema
+from harbormill.quality.checks import Contract, Rule, all_checks, check_rows, check_schema, has_rows
 from harbormill.sinks.publish import Published, publish_if_pass
 from harbormill.sinks.tables import provision_table
 
@@ -34,7 +34,8 @@ class DataProduct:
     def run(self, *inputs: DataFrame) -> Published:
         """Transform, conform to the model, check, and publish if every check allows it."""
         made = conform(self.transform(*inputs), self.model)
-        return publish_if_pass(made, self.checks, self.table, self.required, self.location)
+        contract = Contract(self.model.name, [*self.rules, has_rows()])
+        return publish_if_pass(made, contract, self.table, self.required, self.location, also=check_schema(made, self.model))
 
     def verify(self, spark: SparkSession) -> DataFrame:
         return self.checks(spark.table(self.table))

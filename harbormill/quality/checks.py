@@ -8,7 +8,7 @@ row per rule.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -79,20 +79,40 @@ def _bad_rows(rule: Rule) -> Column:
     return F.coalesce(F.sum(F.when(rule.bad, 1).otherwise(0)), F.lit(0))
 
 
+@dataclass(frozen=True)
+class Contract:
+    """Rules on the rows of a model; their counts are aggregates of one pass, or observed while the rows are written."""
+
+    model: str
+    rules: Sequence[Rule | TableRule]
+
+    def counts(self) -> list[Column]:
+        counts = [F.count(F.lit(1)).alias("total")]
+        for i, rule in enumerate(self.rules):
+            counts.append((_bad_rows(rule) if isinstance(rule, Rule) else rule.bad).alias(f"bad_{i}"))
+            if isinstance(rule, TableRule) and rule.total is not None:
+                counts.append(rule.total.alias(f"total_{i}"))
+        return counts
+
+    def results(self, counted: DataFrame) -> DataFrame:
+        """One row a rule, from the single row of ``counts``."""
+        results = []
+        for i, rule in enumerate(self.rules):
+            own_total = isinstance(rule, TableRule) and rule.total is not None
+            total, bad = F.col(f"total_{i}" if own_total else "total"), F.col(f"bad_{i}")
+            results.append(_result(rule.name, self.model, _status(bad, rule.severity), total, bad))
+        return counted.select(F.inline(F.array(*results)))
+
+    def results_of(self, spark: SparkSession, seen: Mapping[str, object]) -> DataFrame:
+        """The same from observed counts."""
+        columns = ", ".join(f"{name} bigint" for name in seen)
+        return self.results(spark.createDataFrame([tuple(int(v or 0) for v in seen.values())], columns))
+
+
 def check_rows(df: DataFrame, model: str, rules: Sequence[Rule | TableRule], nonempty: bool = False) -> DataFrame:
     """One pass for any number of rules; ``nonempty`` adds the check that rows exist."""
-    rules = [*rules, has_rows()] if nonempty else list(rules)
-    counts = [F.count(F.lit(1)).alias("total")]
-    for i, rule in enumerate(rules):
-        counts.append((_bad_rows(rule) if isinstance(rule, Rule) else rule.bad).alias(f"bad_{i}"))
-        if isinstance(rule, TableRule) and rule.total is not None:
-            counts.append(rule.total.alias(f"total_{i}"))
-    results = []
-    for i, rule in enumerate(rules):
-        own_total = isinstance(rule, TableRule) and rule.total is not None
-        total, bad = F.col(f"total_{i}" if own_total else "total"), F.col(f"bad_{i}")
-        results.append(_result(rule.name, model, _status(bad, rule.severity), total, bad))
-    return df.agg(*counts).select(F.inline(F.array(*results)))
+    contract = Contract(model, [*rules, has_rows()] if nonempty else list(rules))
+    return contract.results(df.agg(*contract.counts()))
 
 
 def check_first_failure(df: DataFrame, model: str, name: str, rules: Sequence[Rule]) -> DataFrame:

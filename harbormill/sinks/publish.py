@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from harbormill.quality.checks import FAILED
-from harbormill.session import remove_path, shared_dir
-from harbormill.sinks.tables import refresh_table
+from harbormill.quality.checks import FAILED, Contract
+from harbormill.session import remove_path
+from harbormill.sinks.tables import fitted
+from harbormill.sinks.versions import home_of, observed, publish_place, write_version
 
 
 class PublicationBlocked(RuntimeError):
@@ -25,30 +26,46 @@ class Published:
 
 def publish_if_pass(
     df: DataFrame,
-    checks: Callable[[DataFrame], DataFrame],
+    checks: Contract | Callable[[DataFrame], DataFrame],
     target: str,
     required: tuple[str, ...] = (),
     location: str | None = None,
+    also: DataFrame | None = None,
+    step: Callable[[str], None] = lambda _: None,
 ) -> Published:
-    """Stage, check what was staged, and only then refresh the target.
+    """Write, check what was written, and only then let the target read it.
 
-    ``checks`` returns one row per check. A FAILED check, or a required check
-    that is not among the results, stops the publication. Staging on shared
-    storage means that the rows which were checked are the rows which are
-    published, whatever happens to executors in between.
+    A contract's counts are observed during the one write; other checks, a function from rows to one row per check, scan what
+    was written. ``also`` adds results known without the rows. A FAILED check, or a required check
+    that is not among the results, stops the publication and removes what was written. The rows that were checked are the
+    files that are published, whatever happens to executors in between, and the target moves to them in one step.
     """
     spark = df.sparkSession
-    staged_path = shared_dir(spark, "staged")
-    df.write.parquet(staged_path)
-    staged = spark.read.parquet(staged_path)
-    results = [(r["check"], r["status"]) for r in checks(staged).select("check", "status").collect()]
+    rows = fitted(df, target) if spark.catalog.tableExists(target) else df
+    contract = checks if isinstance(checks, Contract) else Contract("", ())
+    seen = Observation("publish")
+    home = home_of(spark, target, location)
+    step("write")
+    place = write_version(rows.observe(seen, *contract.counts()), home)
+    counts = observed(seen)
+    step("check")
+    written = spark.read.schema(rows.schema).parquet(place)
+    if not isinstance(checks, Contract):
+        judged = checks(written)
+    elif counts:
+        judged = contract.results_of(spark, counts)
+    else:
+        judged = contract.results(written.agg(*contract.counts()))
+    judged = judged.select("check", "status")
+    judged = judged.unionByName(also.select("check", "status")) if also is not None else judged
+    results = [(r["check"], r["status"]) for r in judged.collect()]
     failed = sorted(name for name, status in results if status == FAILED)
     missing = sorted(set(required) - {name for name, _ in results})
     if failed or missing:
+        remove_path(spark, place)
         raise PublicationBlocked(f"{target}: failed checks {failed}, missing checks {missing}")
-    published = Published(refresh_table(staged, target, location), results)
-    remove_path(spark, staged_path)  # kept only if something failed
-    return published
+    publish_place(rows, target, place, home, step)
+    return Published(counts.get("total", 0), results)
 
 
 def gate(results: DataFrame, required: tuple[str, ...] = ()) -> DataFrame:

@@ -1,29 +1,37 @@
-"""Table sinks."""
+"""Table sinks.
+
+Rows are written to a folder of their own before a table is pointed there (``versions``), so a job that dies leaves the
+old rows readable.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from harbormill.models import Model
-from harbormill.operators.joins import not_yet_done
+from harbormill.operators.joins import renamed_keys, same_keys
 from harbormill.operators.windows import latest_by
 from harbormill.session import remove_path
-
-FORMAT = "parquet"
+from harbormill.sinks.buckets import BUCKETS, BucketStore
+from harbormill.sinks.versions import FORMAT, home_of, observed, publish_place, publish_version, write_version
 
 
-def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """The row count is taken while writing, not by a second pass."""
     seen = Observation(name)
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def _create(df: DataFrame, table: str, location: str | None, mode: str) -> None:
-    writer = df.write.format(FORMAT).mode(mode)
-    (writer.option("path", location) if location else writer).saveAsTable(table)
+def rows_seen(seen: Observation) -> int:
+    return observed(seen).get("rows", 0)
+
+
+def fitted(df: DataFrame, table: str) -> DataFrame:
+    """The columns of a table, in its order and types."""
+    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in df.sparkSession.table(table).schema.fields])
 
 
 def provision_table(spark: SparkSession, model: Model, table: str, location: str | None = None) -> None:
@@ -39,68 +47,83 @@ def provision_table(spark: SparkSession, model: Model, table: str, location: str
 
 
 def refresh_table(df: DataFrame, table: str, location: str | None = None) -> int:
-    """Truncate and insert: the table keeps its schema and no old row stays. Returns the row count."""
-    spark = df.sparkSession
-    counted, seen = _counted(df, "refresh")
-    if spark.catalog.tableExists(table):
-        counted.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
-    else:
-        _create(counted, table, location, "errorifexists")
-    return seen.get["rows"]
+    """All rows replaced: the table keeps its schema and no old row stays. Returns the row count."""
+    rows = fitted(df, table) if df.sparkSession.catalog.tableExists(table) else df
+    rows, seen = counted(rows, "refresh")
+    publish_version(rows, table, location)
+    return rows_seen(seen)
 
 
 def replace_table(df: DataFrame, table: str, location: str | None = None) -> None:
-    """Drop and create from a query: the new schema wins."""
-    df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
-    _create(df, table, location, "overwrite")
+    """Create from a query, or replace what is there: the new schema wins."""
+    publish_version(df, table, location)
 
 
 def overwrite_table(df: DataFrame, table: str, location: str | None = None) -> None:
-    _create(df, table, location, "overwrite")
+    publish_version(df, table, location)
 
 
 def append_table(df: DataFrame, table: str, location: str | None = None) -> int:
     """Append and return the rows written."""
     spark = df.sparkSession
-    counted, seen = _counted(df, "append")
-    if spark.catalog.tableExists(table):
-        counted.select(*spark.table(table).columns).write.insertInto(table)
-    else:
-        _create(counted, table, location, "append")
-    return seen.get["rows"]
+    if not spark.catalog.tableExists(table):
+        return refresh_table(df, table, location)
+    rows, seen = counted(df.select(*spark.table(table).columns), "append")
+    rows.write.insertInto(table)
+    return rows_seen(seen)
 
 
-def merged_by_id(current: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Current rows that were not updated, and the last version of every update."""
-    latest = latest_by(updates, keys, [F.col(c) for c in order])
-    return not_yet_done(current, latest, keys).unionByName(latest.select(*current.columns))
+def merged_by_id(current: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Current rows that were not updated, and the updates; a null id is an id like any other."""
+    known = renamed_keys(updates.select(*keys), keys)
+    return current.join(known, same_keys(keys), "left_anti").unionByName(updates.select(*current.columns))
 
 
 def upsert_by_id(
-    updates: DataFrame, table: str, keys: Sequence[str], order: Sequence[str] = (), location: str | None = None
+    updates: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    order: Sequence[str] = (),
+    location: str | None = None,
+    buckets: int = BUCKETS,
+    step: Callable[[str], None] = lambda _: None,
 ) -> int:
-    """Insert new ids and replace known ones; running it twice changes nothing.
+    """Insert new ids and replace known ones; running it twice changes nothing. Returns the rows written.
 
-    The merged rows are first written beside the table. Should the job die while
-    the table is being rewritten, the staged copy still holds every row.
+    Ids are dealt into ``buckets`` by their hash, a number that the first call fixes. Only the buckets that the updates touch are
+    read and written again, once; ``table`` is a view that moves to all of them in one step. Of several updates of an id the last
+    in ``order`` counts, ties by all columns. ``step`` is told what comes next, for tests that stop there.
     """
-    spark = updates.sparkSession
-    if not spark.catalog.tableExists(table):
-        return refresh_table(latest_by(updates, keys, [F.col(c) for c in order]), table, location)
-    staged = f"{table}__staged"
-    overwrite_table(
-        merged_by_id(spark.table(table), updates, keys, order), staged, f"{location}__staged" if location else None
-    )
-    written = refresh_table(spark.table(staged), table)
-    spark.sql(f"DROP TABLE {staged}")
-    if location:  # dropping a table with a location leaves its files
-        remove_path(spark, f"{location}__staged")
-    return written
+    store = BucketStore(updates.sparkSession, table, keys, location, buckets)
+    changed = latest_by(store.fitted(updates), keys, [F.col(c) for c in order])
+    step("stage")
+    staged = store.stage(changed)
+    try:
+        touched = staged.buckets()
+        if not touched and store.exists():
+            return 0
+        step("write")
+        if not store.exists():
+            store.create(staged.schema)
+        rows, seen = counted(merged_by_id(store.current(touched), staged.rows(), keys), "upsert")
+        version = store.write(rows)
+        step("switch")
+        before = store.switch(touched, version)
+        step("remove")
+        store.remove(before)
+        return rows_seen(seen)
+    finally:
+        staged.remove()
 
 
 def copy_if_any(df: DataFrame, table: str, location: str | None = None) -> bool:
-    """Overwrite the table unless there is nothing to write."""
-    if df.isEmpty():
+    """Overwrite the table unless there is nothing to write; the rows are computed once, and counted as they are written."""
+    spark = df.sparkSession
+    rows, seen = counted(df, "copy")
+    home = home_of(spark, table, location)
+    place = write_version(rows, home)
+    if not rows_seen(seen):
+        remove_path(spark, place)
         return False
-    overwrite_table(df, table, location)
+    publish_place(df, table, place, home)
     return True
