@@ -1,103 +1,92 @@
-"""Extraction from landed HTML with regular expressions inside the JVM.
+"""Extraction from landed HTML.
 
-Right for regular, machine-made markup such as shop listings and rate tables;
-not a general HTML parser.
+Each operator scans a page once (``functions.markup``) in Arrow batches and reads what it needs off the page's elements.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from html.entities import name2codepoint
+import re
+from collections.abc import Callable, Iterable, Iterator, Mapping
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from harbormill.functions.markup import Page
 from harbormill.functions.numeric import price_or_null
-from harbormill.functions.text import first_match, last_segment, strip
+from harbormill.functions.text import last_segment
 from harbormill.operators.windows import latest_by
 
-TAG = r"<[^>]*>"
+# Where the parts of a product card and of a product page are found.
+CARD = "div.row.product"
+CARD_ANCHOR = "h3 a"
+CARD_PRICE = "div.price"
+FROM_PRICE = re.compile(r"from\s+\$(\d+(?:\.\d{2})?)")
 
 
-def _with_classes(tag: str, *classes: str) -> str:
-    """An opening tag whose class list holds all the classes, in any order, among any others and any attributes."""
-    held = "".join(rf"(?=[^\"'>]*(?<![\w-]){c}(?![\w-]))" for c in classes)
-    return rf"""<{tag}\b(?=[^>]*\sclass\s*=\s*["']?{held})[^>]*>"""
+def from_pages(pages: DataFrame, html: str, fields: Mapping[str, str], read: Callable[[Page], Iterable[tuple]]) -> DataFrame:
+    """The rows that ``read`` finds on each page, beside the page's other columns."""
+    others = [f for f in pages.schema.fields if f.name != html and f.name not in fields]
+    added = T.StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in fields.items()))
+    types = {"string": pa.string(), "int": pa.int32()}
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place, found = [], []
+            for n, text in enumerate(batch.column(html).to_pylist()):
+                rows = list(read(Page(text)))
+                found += rows
+                place += [n] * len(rows)
+            at = pa.array(place, pa.int32())
+            columns = zip(*found, strict=True) if found else [()] * len(fields)
+            arrays = [pa.array(list(c), types[kind]) for c, kind in zip(columns, fields.values(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(f.name).take(at) for f in others], *arrays], [*[f.name for f in others], *fields])
 
-# Where the parts of a product card are found.
-CARD_START = _with_classes("div", "row", "product")
-CARD = rf"(?is){CARD_START}.*?(?={CARD_START}|$)"
-CARD_ANCHOR = r"(?is)<h3\b[^>]*>(?:(?!</h3\b).)*?(<a\b[^>]*>.*?</a\s*>)"
-CARD_PRICE = rf"(?is){_with_classes('div', 'price')}(.*?)</div>"
-HEADING_THEN_PARAGRAPH = (
-    r"(?is)<h([234])\b[^>]*>(?:(?!</h\1\b).)*?description(?:(?!</h\1\b).)*</h\1\s*>.*?<p\b[^>]*>(.*?)</p\s*>"
-)
-BRAND_ROW = r"(?is)<t[dh]\b[^>]*>(?:\s|<(?!/t[dh])[^>]*>)*brand(?:\s|:|<(?!/t[dh])[^>]*>)*</t[dh]\s*>\s*<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"
-FROM_PRICE = r"from\s+\$(\d+(?:\.\d{2})?)"
-ANCHOR = r"(?is)<a\b[^>]*>.*?</a\s*>"
+    return pages.select(html, *[f.name for f in others]).mapInArrow(run, T.StructType([*others, *added.fields]))
 
-NAMED = {f"&{name};": chr(code) for name, code in name2codepoint.items()} | {"&apos;": "'", "&nbsp;": " "}
 
-
-def decoded(c: Column) -> Column:
-    """Named and numeric entities replaced by their characters; what is no entity stays."""
-
-    def character(entity: Column) -> Column:
-        hexadecimal = F.regexp_extract(entity, "^&#[xX]([0-9A-Fa-f]{1,6});$", 1)
-        decimal = F.regexp_extract(entity, "^&#([0-9]{1,7});$", 1)
-        digits = F.when(hexadecimal != "", hexadecimal).otherwise(F.conv(decimal, 10, 16))
-        named = F.try_element_at(F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair]), entity)
-        numeric = F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32")
-        return F.coalesce(named, F.when((hexadecimal != "") | (decimal != ""), numeric), entity)
-
-    # from left to right and once: the text between entities, each followed by its character
-    entity = r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,30});"
-    between, found = F.split(c, entity), F.transform(F.regexp_extract_all(c, F.lit(entity), 0), character)
-    pieces = F.zip_with(between, found, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
-    return F.when(c.contains("&"), F.array_join(pieces, "")).otherwise(c)
-
-
-def inner_text(c: Column) -> Column:
-    """Text without tags, entities decoded, blanks trimmed."""
-    return strip(decoded(F.regexp_replace(c, TAG, "")))
-
-
-def attribute(tag: Column, name: str) -> Column:
-    """An attribute of an opening tag, quoted either way or not at all; null if it is not there."""
-    pattern = rf"""(?is)^<[^>]*?\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    parts = [F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)]
-    return F.when(tag.rlike(pattern), decoded(F.concat(*parts)))
+def _cards(page: Page) -> Iterator[tuple]:
+    for n, card in enumerate(page.select(CARD)):
+        anchor = next(page.select(CARD_ANCHOR, card), None)
+        href = None if anchor is None else page.attribute(anchor, "href")
+        if href is not None:
+            price = next(page.select(CARD_PRICE, card), None)
+            yield n, page.text(anchor), href, "" if price is None else page.text(price)
 
 
 def listing_cards(pages: DataFrame, html: str = "html") -> DataFrame:
     """One row per product card: id, name, url and price text; cards without a link are skipped."""
+    found = from_pages(pages, html, {"position": "int", "name": "string", "product_url": "string", "price_text": "string"}, _cards)
     others = [c for c in pages.columns if c != html]
-    cards = pages.select(*others, F.posexplode(F.regexp_extract_all(html, F.lit(CARD), 0)).alias("position", "_card"))
-    anchor = first_match(F.col("_card"), CARD_ANCHOR, 1)
-    price = inner_text(first_match(F.col("_card"), CARD_PRICE, 1))
-    linked = cards.select(
-        *others, "position", attribute(anchor, "href").alias("product_url"), inner_text(anchor).alias("name"), price.alias("_price")
-    )
-    return linked.where(F.col("product_url").isNotNull()).select(
-        *others,
-        "position",
-        last_segment(F.col("product_url")).alias("product_id"),
-        "name",
-        "product_url",
-        F.coalesce("_price", F.lit("")).alias("price_text"),
-    )
+    return found.select(*others, "position", last_segment(F.col("product_url")).alias("product_id"), "name", "product_url", "price_text")
+
+
+def _detail(page: Page) -> Iterator[tuple]:
+    description, brand, price = "", "", None
+    for i, name in enumerate(page.names):
+        if name in ("h2", "h3", "h4") and "description" in page.text(i).lower():
+            paragraph = next((j for j in range(i + 1, len(page.names)) if page.names[j] == "p"), None)
+            description = "" if paragraph is None else page.text(paragraph)
+            break
+    for row in page.select("table tr"):
+        cells = page.own(row, {"td", "th"})
+        if len(cells) > 1 and page.text(cells[0]).lower().rstrip(": \t\n") == "brand":
+            brand = page.text(cells[1])
+            break
+    for text in page.strings():
+        found = FROM_PRICE.search(text)
+        if found:
+            price = found[1]
+            break
+    yield description, brand, price
 
 
 def product_details(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """Description, brand and original price of product pages."""
-    body = F.col(html)
-    return pages.select(
-        F.col(url).alias("product_url"),
-        F.coalesce(inner_text(first_match(body, HEADING_THEN_PARAGRAPH, 2)), F.lit("")).alias("description"),
-        F.coalesce(inner_text(first_match(body, BRAND_ROW, 1)), F.lit("")).alias("brand"),
-        first_match(body, FROM_PRICE, 1).try_cast("decimal(8,2)").alias("original_price"),
-    )
+    """Description, brand and original price of product pages; a page without them, or null, gives blanks and a null price."""
+    landed = pages.select(F.col(url).alias("product_url"), F.col(html).alias("_page"))
+    found = from_pages(landed, "_page", {"description": "string", "brand": "string", "original_price": "string"}, _detail)
+    return found.withColumn("original_price", F.col("original_price").try_cast("decimal(8,2)"))
 
 
 def with_details(stubs: DataFrame, details: DataFrame) -> DataFrame:
@@ -115,41 +104,38 @@ def with_details(stubs: DataFrame, details: DataFrame) -> DataFrame:
     )
 
 
+def _links(page: Page) -> Iterator[tuple]:
+    for n, i in enumerate(page.select("a")):
+        href = page.attribute(i, "href")
+        if href is not None:
+            yield n, href, page.text(i)
+
+
 def links(pages: DataFrame, html: str = "html") -> DataFrame:
     """One row per link with its address and text; anchors without an address are left out."""
-    others = [c for c in pages.columns if c != html]
-    found = pages.select(*others, F.posexplode(F.regexp_extract_all(html, F.lit(ANCHOR), 0)).alias("position", "_a"))
-    return found.select(
-        *others, "position", attribute(F.col("_a"), "href").alias("href"), inner_text(F.col("_a")).alias("text")
-    ).where(F.col("href").isNotNull())
+    return from_pages(pages, html, {"position": "int", "href": "string", "text": "string"}, _links)
 
 
 def table_records(
     pages: DataFrame, columns: Mapping[str, str], nth: int = 0, skip_rows: int = 1, html: str = "html"
 ) -> DataFrame:
-    """Rows of the nth table of a page; ``columns`` maps output names to header texts.
+    """Rows of the nth table of a page, tables inside tables counted; ``columns`` maps output names to header texts.
 
     Cells are paired with headers by position; ``skip_rows`` leading rows are
-    dropped. Headers that the table lacks give null.
+    dropped. Headers that the table lacks give null. What stands in a table inside a cell is text of that cell only.
     """
-    others = [c for c in pages.columns if c != html]
-    table = F.get(F.regexp_extract_all(html, F.lit(r"(?is)<table[^>]*>.*?</table>"), 0), F.lit(nth))
-
-    def texts(cells: Column) -> Column:
-        return F.transform(cells, inner_text)
-
-    landed = pages.select(*others, table.alias("_table")).where(F.col("_table").isNotNull())
-    rows = landed.select(
-        *others,
-        texts(F.regexp_extract_all("_table", F.lit(r"(?is)<th[^>]*>(.*?)</th>"), 1)).alias("_heads"),
-        F.posexplode(F.regexp_extract_all("_table", F.lit(r"(?is)<tr[^>]*>.*?</tr>"), 0)).alias("position", "_row"),
-    ).where(F.col("position") >= skip_rows)
-    cells = rows.withColumn("_cells", texts(F.regexp_extract_all("_row", F.lit(r"(?is)<td[^>]*>(.*?)</td>"), 1)))
-    return cells.select(
-        *others,
-        "position",
-        *[
-            F.get("_cells", F.when(F.array_contains("_heads", head), F.array_position("_heads", head) - 1).cast("int")).alias(name)
-            for name, head in columns.items()
-        ],
-    )
+    wanted = dict(columns)
+
+    def records(page: Page) -> Iterator[tuple]:
+        tables = list(page.select("table"))
+        if nth >= len(tables):
+            return
+        table = tables[nth]
+        heads = [page.text(i) for i in page.own(table, {"th"})]
+        place = {name: heads.index(head) if head in heads else -1 for name, head in wanted.items()}
+        for n, row in enumerate(page.own(table, {"tr"})):
+            if n >= skip_rows:
+                cells = [page.text(i) for i in page.own(row, {"td"})]
+                yield n, *[cells[k] if 0 <= k < len(cells) else None for k in place.values()]
+
+    return from_pages(pages, html, {"position": "int"} | dict.fromkeys(wanted, "string"), records)

@@ -407,3 +407,75 @@ def test_cosine_search(spark):
     assert vectorsearch.top_k(many, [0.0, 1.0], 1000).count() == 100
     assert vectorsearch.top_k(many, [0.0, 1.0], 40).count() == 40
     assert one(spark, vectors.cosine(F.array(F.lit(3.0)), F.array(F.lit(3.0)))) == 1.0
+
+
+# --- markup -------------------------------------------------------------------
+
+
+def one_page(spark, text):
+    return spark.createDataFrame([(1, text)], "id int, html string")
+
+
+def test_markup_with_angles_comments_scripts_and_missing_ends(spark):
+    page = (
+        '<!DOCTYPE html><!-- <a href="/comment">no</a> --><script>var s = "<a href=\'/script\'>";</script>'
+        '<style>a > b {}</style><A title="a > b" HREF = \'/one\'>On<b>e</b> &lt;1&gt;</a> 3 < 4 <a href=/two>two<a href="/three" href="/not">three</a>'
+        "<a name=x>no address</a><a href>empty</a><a class='l' data-y=\"'\" href=\"/fi've?a=1&amp;b=2\">f\n ive</a></p></div>"
+        '<a href="/open>x</a>'
+    )
+    got = rows(html.links(one_page(spark, page)).select("href", "text"))
+    want = [("/one", "One <1>"), ("/two", "two"), ("/three", "three"), ("", "empty"), ("/fi've?a=1&b=2", "f\n ive")]
+    assert sorted(got) == sorted([*want, ('"/open', "x")])  # a quote that never ends is a character
+
+
+def test_nested_tables_and_cells_without_ends(spark):
+    page = (
+        "<table><tr><th>A<th>B<tr><td>1<td><table><tr><th>C</th></tr><tr><td>inner</td></tr></table> after"
+        "<tr><td>2</td><td>two</td></tr></table><table><tr><th>A</th></tr><tr><td>last</td></tr></table>"
+    )
+    read = lambda n, names: rows(html.table_records(one_page(spark, page), names, nth=n).drop("id"))
+    assert read(0, {"a": "A", "b": "B", "z": "Z"}) == [(1, "1", "Cinner after", None), (2, "2", "two", None)]
+    assert read(1, {"c": "C"}) == [(1, "inner")]
+    assert read(2, {"a": "A"}) == [(1, "last")]
+    assert read(3, {"a": "A"}) == []
+
+
+def test_nested_cards_prices_and_details(spark):
+    cards = (
+        '<div class="row product"><div class="description"><h3><a href="/p/1">One</a></h3></div>'
+        '<div class="price-wrap"><div class="price"><div class="was"><s>9.00</s></div> 8.00</div></div>'
+        '<div class="product inner row"><h3><a href="/p/2" title="x > y">Two</a></h3></div></div>'
+        '<div class="rows products"><h3><a href="/p/3">not a card</a></h3></div>'
+    )
+    got = rows(html.listing_cards(one_page(spark, cards)).drop("id", "product_url"))
+    assert got == [(0, "1", "One", "9.00 8.00"), (1, "2", "Two", "")]
+    details = (
+        "<h2>Other</h2><p>no</p><!-- <h3>Description</h3><p>hidden</p> --><h4>The <i>DESCRIPTION</i></h4><div><p>it &amp; that</p></div>"
+        "<table><tr><td>Size</td><td><table><tr><td>x</td></tr></table></td></tr><tr><th>Brand:</th><td>Acme &reg;</td></tr></table>"
+        "<b>from </b>$1.00 <i>from $12.5</i><i>from $13.50</i>"
+    )
+    got = rows(html.product_details(one_page(spark, details), "id").drop("product_url"))
+    assert [(d, b, str(p)) for d, b, p in got] == [("it & that", "Acme ®", "12.00")]
+    blank = spark.createDataFrame([(1, None), (2, "")], "id int, html string")
+    assert rows(html.product_details(blank, "id")) == [(1, "", "", None), (2, "", "", None)]
+    for read in (html.links, html.listing_cards, lambda p: html.table_records(p, {"a": "A"})):
+        assert rows(read(blank)) == []
+
+
+def test_markup_of_any_text_ends_and_stays_linear():
+    import random
+    import time
+
+    from harbormill.functions.markup import Page
+
+    r = random.Random(5)
+    parts = ["<", ">", "a", " ", "=", '"', "'", "/", "<a href=", "<td>", "</td>", "<table>", "</table>", "<!--", "-->", "<script>", "</script>", "&amp;", "\n"]
+    for _ in range(2_000):
+        page = Page("".join(r.choice(parts) for _ in range(r.randrange(60))))
+        assert all(i < end <= len(page.names) for i, end in enumerate(page.last))
+        # extents nest: none ends between another's start and end
+        assert all(page.last[j] <= page.last[i] for i in range(len(page.names)) for j in range(i + 1, page.last[i]))
+    start = time.perf_counter()
+    for text in ("<a " * 40_000, "<div>" * 40_000, "<a b='" * 20_000, "<!--" * 40_000, "<a =" * 40_000, "<td>" * 40_000):
+        Page(text)
+    assert time.perf_counter() - start < 30
