@@ -36,15 +36,22 @@ def clean_payments(raw: DataFrame) -> DataFrame:
     return conform_fill(raw.withColumns(changes), catalog.BANKSIM_TRANSACTIONS, PAYMENT_RENAMES)
 
 
-def fraud_density(raw: DataFrame) -> DataFrame:
-    """Payments, fraud events and fraud rate per market, highest rate first."""
+def market_counts(raw: DataFrame) -> DataFrame:
+    """Payments and fraud events per market; on a stream, a running aggregate of two numbers per market."""
     flag = number_or_zero(F.col("fraud").cast("string"))
-    per_market = (
+    return (
         raw.select(market_key(F.col("category")).alias("market_type"), flag.alias("flag"))
         .where(F.col("market_type").isNotNull())
         .groupBy("market_type")
         .agg(F.count("flag").alias("transaction_count"), F.sum("flag").alias("fraud_event_count"))
         .where(F.col("transaction_count") > 0)
     )
-    rated = per_market.withColumn("fraud_rate_pct", percent(F.col("fraud_event_count"), F.col("transaction_count")))
-    return ranked(rated, "fraud_rate_pct", ["market_type"])
+
+
+def with_rate(per_market: DataFrame) -> DataFrame:
+    return per_market.withColumn("fraud_rate_pct", percent(F.col("fraud_event_count"), F.col("transaction_count")))
+
+
+def fraud_density(raw: DataFrame) -> DataFrame:
+    """Payments, fraud events and fraud rate per market, highest rate first."""
+    return ranked(with_rate(market_counts(raw)), "fraud_rate_pct", ["market_type"])

@@ -14,8 +14,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from harbormill.models import Model, catalog
 from harbormill.operators.columns import conform
-from harbormill.plans.risk import fraud_density
+from harbormill.plans.risk import market_counts, with_rate
 from harbormill.quality.checks import PASS, WARNING
+from harbormill.sinks.tables import upsert_by_id
+from harbormill.streaming.evolving import BatchTable, json_columns
 
 INTERVAL = "15 seconds"  # fixed value: micro-batch interval
 CHECKED = ("timestamp", "value", "message")
@@ -96,35 +98,63 @@ def start_checked_stream(
         .writeStream.foreachBatch(checked_writer(path, results_path, columns))
         .option("checkpointLocation", checkpoint)
     )
-    trigger = {"processingTime": interval} if interval else {"availableNow": True}
-    return writer.trigger(**trigger).start()
+    return writer.trigger(**_trigger(interval)).start()
+
+
+def _trigger(interval: str | None) -> dict:
+    return {"processingTime": interval} if interval else {"availableNow": True}
 
 
 def stream_to_table(
-    df: DataFrame, table: str, checkpoint: str, interval: str | None = INTERVAL, **options: str
+    df: DataFrame, table: str, checkpoint: str, interval: str | None = INTERVAL, path: str | None = None, json_lines: bool = False
 ) -> StreamingQuery:
-    """Plain append to a table at a fixed interval, with additive schema evolution on read."""
-    writer = df.writeStream.option("checkpointLocation", checkpoint).option("mergeSchema", "true")
-    trigger = {"processingTime": interval} if interval else {"availableNow": True}
-    return writer.options(**options).format("parquet").trigger(**trigger).toTable(table)
+    """Append to a table at a fixed interval. The table takes up columns that it lacks, see ``evolving``.
+
+    A stream's columns are those it was started with; with ``json_lines`` the stream is text (column ``value``), and each batch has
+    the columns of its own objects. A batch that is replayed replaces itself.
+    """
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        target = BatchTable(df.sparkSession, table, path)
+        rows = json_columns(batch, target.schema()) if json_lines else batch
+        if rows.columns:
+            target.write(rows, batch_id, checkpoint)
 
+    return df.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(**_trigger(interval)).start()
+
+
+def start_density_stream(
+    raw: DataFrame,
+    table: str,
+    checkpoint: str,
+    interval: str | None = INTERVAL,
+    path: str | None = None,
+    event_id: str | None = None,
+    event_time: str | None = None,
+    delay: str | None = None,
+) -> StreamingQuery:
+    """Fraud density kept up to date in a table with one row per market.
 
-def start_density_stream(raw: DataFrame, path: str, checkpoint: str, interval: str | None = INTERVAL) -> StreamingQuery:
-    """Fraud density kept up to date; the state is one row per market.
+    The state store holds two numbers per market. A batch changes the markets that it brings payments of, and only these are
+    upserted, with their whole counts, so a batch that is replayed changes nothing.
 
-    Every batch replaces the result by the complete one under its own id, and
-    readers take the highest id.
+    With ``event_id`` a payment counts once however often it arrives. Its ids are kept for good, or, with ``delay``, until the
+    watermark over ``event_time`` has passed them by that much; payments that arrive later than that are then left out.
     """
+    once = raw
+    if event_id and delay:
+        once = raw.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([event_id])
+    elif event_id:
+        once = raw.dropDuplicates([event_id])
 
-    def publish(result: DataFrame, batch_id: int) -> None:
-        result.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    def publish(changed: DataFrame, batch_id: int) -> None:
+        upsert_by_id(with_rate(changed), table, ["market_type"], (), path, buckets=1)
 
-    trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return (
-        fraud_density(raw)
-        .writeStream.outputMode("complete")
+        market_counts(once)
+        .writeStream.outputMode("update")
         .foreachBatch(publish)
         .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
+        .trigger(**_trigger(interval))
         .start()
     )

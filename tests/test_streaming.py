@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 import pytest
 from conftest import rows
@@ -88,3 +89,88 @@ def test_restart_continues_where_it_stopped(spark):
     land(5)
     assert run() == 10
     assert run() == 10
+
+
+# --- tables that take up new columns ------------------------------------------
+
+
+def stream_lines(spark, base, name, files, checkpoint="checkpoint"):
+    for lines in files:
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(f"{base}/in")
+    stream = spark.readStream.option("maxFilesPerTrigger", 1).text(f"{base}/in")
+    jobs.stream_to_table(stream, name, f"{base}/{checkpoint}", interval=None, path=f"{base}/table", json_lines=True).awaitTermination()
+
+
+def test_columns_that_appear_and_go(spark):
+    base, name = shared_dir(spark, "evolve"), f"t_{uuid.uuid4().hex}"
+    stream_lines(spark, base, name, [['{"id": 1, "a": "x", "gone": 1.5, "later": null}', " ", '{"id": 2}']])
+    assert spark.table(name).columns == ["a", "gone", "id"]
+    stream_lines(spark, base, name, [['{"id": 3, "later": {"k": [1, "x"]}, "odd \'key": true}']])
+    got = spark.table(name)
+    assert got.columns == ["a", "gone", "id", "later", "odd 'key"]
+    assert rows(got) == [("x", 1.5, 1, None, None), (None, None, 2, None, None), (None, None, 3, '{"k":[1,"x"]}', True)]
+
+
+def test_an_incompatible_column_stops_the_batch(spark):
+    base, name = shared_dir(spark, "evolve"), f"t_{uuid.uuid4().hex}"
+    stream_lines(spark, base, name, [['{"id": 1, "n": 1.5}']])
+    stream_lines(spark, base, name, [['{"id": 2, "n": 7}']])  # a whole number fits a double
+    before = rows(spark.table(name))
+    assert before == [(1, 1.5), (2, 7.0)]
+    for bad, match in (('{"id": "three"}', "IncompatibleColumn"), ('{"id": 3}\n{"id": "x"}', "several types"), ("no json", "MALFORMED")):
+        with pytest.raises(Exception, match=match):
+            stream_lines(spark, f"{base}/{uuid.uuid4().hex}", name, [bad.split("\n")])
+        assert rows(spark.table(name)) == before
+
+
+def test_schemas_merge_without_loss_or_not_at_all():
+    from pyspark.sql import types as T
+
+    from harbormill.streaming.evolving import IncompatibleColumn, merged_schema
+
+    table, ddl = T.StructType.fromDDL("id bigint, d double, s string"), T.StructType.fromDDL
+    assert merged_schema(table, ddl("ID int, d float, new array<int>")).simpleString() == "struct<id:bigint,d:double,s:string,new:array<int>>"
+    for bad in ("id string", "id double", "d bigint", "s int", "d decimal(10,2)"):
+        with pytest.raises(IncompatibleColumn):
+            merged_schema(table, ddl(bad))
+
+
+def test_a_replayed_batch_takes_its_own_place(spark):
+    from harbormill.streaming.evolving import BatchTable
+
+    base, name = shared_dir(spark, "evolve"), f"t_{uuid.uuid4().hex}"
+    first = spark.createDataFrame([(1,), (2,)], "id int")
+    store = BatchTable(spark, name, base)
+    for _ in range(2):
+        store.write(first, 0, "job-a")
+    BatchTable(spark, name).write(first.limit(1), 0, "job-b")  # another job's first batch
+    assert rows(spark.table(name)) == [(1,), (1,), (2,)]
+
+
+def test_density_counts_late_and_replayed_payments_once(spark):
+    base, name = shared_dir(spark, "density"), f"t_{uuid.uuid4().hex}"
+    ddl = "id long, at timestamp, category string, fraud string"
+    day = lambda n: dt.datetime(2024, 1, n)
+    batches = [
+        [(1, day(1), "'es_food'", "1"), (2, day(1), "'es_food'", "0"), (2, day(1), "'es_food'", "0")],
+        [(1, day(1), "'es_food'", "1"), (3, day(20), "'es_tech'", "0")],
+        [(4, day(2), "'es_food'", "1"), (3, day(20), "'es_tech'", "0")],  # late, and replayed
+        [],
+    ]
+    versions = []
+    for n, batch in enumerate(batches):
+        spark.createDataFrame(batch, ddl).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        stream = file_stream(spark, f"{base}/in", ddl)
+        query = jobs.start_density_stream(stream, name, f"{base}/checkpoint", interval=None, path=f"{base}/table", event_id="id")
+        query.awaitTermination()
+        versions.append(rows(spark.table(name).select("market_type", "transaction_count", "fraud_event_count")))
+        files = [f for f in spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{base}/table").select("path").collect()]
+        assert len(files) <= 8, n  # the state is upserted, no copy per batch stays
+    assert versions == [[("food", 2, 1)], [("food", 2, 1), ("tech", 1, 0)], [("food", 3, 2), ("tech", 1, 0)], [("food", 3, 2), ("tech", 1, 0)]]
+    # with a watermark the ids are forgotten in time, and what comes later than that is left out
+    query = jobs.start_density_stream(
+        file_stream(spark, f"{base}/in", ddl, 1), f"{name}_w", f"{base}/checkpoint-w", None, f"{base}/table-w", "id", "at", "5 days"
+    )
+    query.awaitTermination()
+    got = {r["market_type"]: r["transaction_count"] for r in spark.table(f"{name}_w").collect()}
+    assert got["tech"] == 1 and got["food"] in (2, 3)

@@ -77,23 +77,68 @@ def batch_quality(spark, d):
 @workload(
     "stream_table",
     "K10 ST4 S12",
-    f"SELECT count(*) AS n, CAST(sum(value) AS BIGINT) AS total FROM {EVENT_SQL}",
+    f"""SELECT {stamp('timestamp')} AS timestamp, value, 'Seen: ' || value AS message, value + 1 AS later FROM {EVENT_SQL} WHERE value % 2 = 1
+        UNION ALL SELECT {stamp('timestamp')}, value, 'Seen: ' || value, NULL FROM {EVENT_SQL} WHERE value IS NULL OR value % 2 = 0""",
 )
 def stream_table(spark, d):
+    """The job stops and goes on with another column, which the files have that arrive then; all rows and columns are read back."""
     source, base = _landed(spark, d)
+    landed = spark.read.parquet(source)
     name = f"t_{uuid.uuid4().hex}"
-    stream = jobs.seen_messages(file_stream(spark, source, catalog.RATE_MODEL.schema))
-    jobs.stream_to_table(stream, name, f"{base}/checkpoint", interval=None, path=f"{base}/table").awaitTermination()
-    return spark.table(name).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("bigint")).alias("total"))
+    odd = F.col("value") % 2 == 1
+    wider = landed.where(odd).withColumn("later", F.col("value") + 1)
+    for files, more in ((landed.where(~odd | F.col("value").isNull()), []), (wider, ["later"])):
+        files.write.mode("append").parquet(f"{base}/arriving")
+        raw = file_stream(spark, f"{base}/arriving", files.schema)
+        message = F.concat(F.lit("Seen: "), F.col("value").cast("string")).alias("message")
+        jobs.stream_to_table(raw.select("timestamp", "value", message, *more), name, f"{base}/checkpoint", interval=None, path=f"{base}/table").awaitTermination()
+    return spark.table(name)
+
+
+@workload(
+    "stream_json_table",
+    "K10 S05 S12",
+    """SELECT event_id, event_type, CASE WHEN event_type = 'click' THEN value END AS value,
+        CASE WHEN event_type = 'click' THEN '{"a":[' || user_id || ',1]}' END AS extra FROM events""",
+)
+def stream_json_table(spark, d):
+    """Landed JSON lines in one run of the job: files of clicks have keys that the others lack."""
+    base = shared_dir(spark, "stream")
+    name = f"t_{uuid.uuid4().hex}"
+    rows = table(spark, d, "events")
+    few = rows.where("event_type <> 'click'").selectExpr("to_json(struct(event_id, event_type, null AS value), map('ignoreNullFields', 'false')) AS line")
+    more = "to_json(struct(event_id, event_type, value, struct(array(user_id, 1) AS a) AS extra)) AS line"
+    many = rows.where("event_type = 'click'").selectExpr(more)
+    for lines in (few, many):
+        lines.coalesce(1).write.mode("append").text(f"{base}/in")
+    stream = spark.readStream.option("maxFilesPerTrigger", 1).text(f"{base}/in")
+    jobs.stream_to_table(stream, name, f"{base}/checkpoint", interval=None, path=f"{base}/table", json_lines=True).awaitTermination()
+    return spark.table(name).select("event_id", "event_type", "value", "extra")
 
 
 @workload("stream_density", "ST5 E12 S12", DENSITY_SQL)
 def stream_density(spark, d):
     base = shared_dir(spark, "stream")
+    name = f"t_{uuid.uuid4().hex}"
     rows = PAYMENTS.df(spark, d)
     rows.write.parquet(f"{base}/in")
     stream = file_stream(spark, f"{base}/in", rows.schema, 1)
-    jobs.start_density_stream(stream, f"{base}/out", f"{base}/checkpoint", interval=None).awaitTermination()
-    results = spark.read.parquet(f"{base}/out")
-    newest = results.agg(F.max("batch_id")).scalar()
-    return results.where(F.col("batch_id") == newest).drop("batch_id")
+    jobs.start_density_stream(stream, name, f"{base}/checkpoint", interval=None, path=f"{base}/table").awaitTermination()
+    return spark.table(name)
+
+
+@workload("stream_density_replayed", "ST5 S12", DENSITY_SQL)
+def stream_density_replayed(spark, d):
+    """Payments arrive over two runs of the job, a third of them twice; each counts once."""
+    base = shared_dir(spark, "stream")
+    name = f"t_{uuid.uuid4().hex}"
+    numbered = PAYMENTS.df(spark, d).withColumn("payment", F.monotonically_increasing_id())
+    numbered.write.parquet(f"{base}/all")
+    rows = spark.read.parquet(f"{base}/all")
+    rows.where("payment % 3 < 2").write.parquet(f"{base}/in")
+    for later in (None, "payment % 3 > 0"):
+        if later:
+            rows.where(later).write.mode("append").parquet(f"{base}/in")
+        stream = file_stream(spark, f"{base}/in", rows.schema, 1)
+        jobs.start_density_stream(stream, name, f"{base}/checkpoint", interval=None, path=f"{base}/table", event_id="payment").awaitTermination()
+    return spark.table(name)
