@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import bisect
 import json
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -13,6 +15,7 @@ from pyspark.sql import types as T
 
 from harbormill.functions.ids import uuid5
 from harbormill.functions.text import join_nonblank, last_segment, strip
+from harbormill.functions.workers import kept_in_worker
 
 # Chunk width and overlap in characters, chunk width in tokens,
 # and the separators tried from coarse to fine.
@@ -158,6 +161,67 @@ def token_chunks(text: Column, budget: int = CHUNK_TOKENS) -> Column:
     return F.coalesce(pieces, F.array().cast("array<string>"))
 
 
+# where a chunk should end, the coarsest first: after a blank line, a line, a sentence, a word
+BORDERS = tuple(re.compile(p) for p in (r"\n[^\S\n]*\n\s*", r"\n\s*", r"[.!?\u2026][\"')\]]*\s+", r"\s+"))
+
+
+def _last_border(text: str, start: int, end: int) -> int:
+    """The last border of the coarsest kind in the second half of text[start:end]; without one the end."""
+    half = (start + end + 1) // 2
+    for border in BORDERS:
+        found = [m.end() for m in border.finditer(text, half, end)]
+        if found:
+            return found[-1]
+    return end
+
+
+def _bounded_spans(text: str, tokenizer, budget: int) -> list[tuple[int, int, int]]:
+    """(start, end, ids) of consecutive chunks that cover the text, none of more than ``budget`` ids when encoded by itself."""
+    if not text:
+        return []
+    starts = [s for s, _ in tokenizer.encode(text, add_special_tokens=False).offsets]
+    spans, at, first = [], 0, 0
+    while at < len(text):
+        ahead = first + budget
+        end = len(text) if ahead >= len(starts) else max(starts[ahead], at + 1)
+        if end < len(text):
+            end = _last_border(text, at, end)
+        while True:
+            ids = len(tokenizer.encode(text[at:end], add_special_tokens=False).ids)
+            if ids <= budget or end - at == 1:
+                break
+            # a cut can make ids of its own: take off as much as is too much, a character at least
+            end = _last_border(text, at, max(at + 1, end - max(1, (end - at) * (ids - budget) // ids)))
+        spans.append((at, end, ids))
+        at, first = end, bisect.bisect_left(starts, end, first)
+    return spans
+
+
+def bounded_chunks(df: DataFrame, text: str, tokenizer: str, budget: int = CHUNK_TOKENS, content: str = "content", ordinal: str = "chunk") -> DataFrame:
+    """One row per chunk of at most ``budget`` ids of a tokenizer, with its place in the text (``start``, ``end``) and its ``tokens``.
+
+    ``tokenizer`` is a file that the workers load once. Chunks end after a blank line, line, sentence or word if
+    there is one in the second half of what fits. They follow each other without gap or overlap and give the text back. A single
+    character of more ids than the budget is a chunk of its own; null and empty texts have none. Only offsets leave the worker.
+    """
+
+    @F.pandas_udf("array<struct<start:int,end:int,tokens:int>>")
+    def spans(texts: pd.Series) -> pd.Series:
+        kept = kept_in_worker("tokenizers")
+        if tokenizer not in kept:
+            from tokenizers import Tokenizer
+
+            kept[tokenizer] = Tokenizer.from_file(tokenizer)
+            kept[tokenizer].encode_special_tokens = True  # their names in a text are text
+        coder = kept[tokenizer]
+        return texts.map(lambda t: [{"start": s, "end": e, "tokens": n} for s, e, n in _bounded_spans(t or "", coder, budget)])
+
+    others = [F.col(f"`{c}`") for c in df.columns if c != text]
+    found = df.select(text, *others, F.posexplode(spans(F.col(text))).alias(ordinal, "_span"))
+    piece = F.substring(F.col(text), F.col("_span.start") + 1, F.col("_span.end") - F.col("_span.start"))
+    return found.select(*others, ordinal, piece.alias(content), "_span.start", "_span.end", "_span.tokens")
+
+
 def explode_chunks(df: DataFrame, chunks: Column, content: str = "content", ordinal: str = "chunk") -> DataFrame:
     """One row per chunk with its position in the document; empty documents vanish."""
     return df.select(*df.columns, F.posexplode(chunks).alias(ordinal, content))

@@ -82,10 +82,24 @@ def not_yet_done(todo: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataF
     return todo.join(done.select(*keys).distinct(), list(keys), "left_anti")
 
 
-def one_row_per_key(dimension: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """Dimension reduced to one row per key, so that joining it cannot multiply facts."""
+def repeated_keys(dimension: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """One row: keys that stand with differing values of ``columns``; rows that repeat each other are one."""
+    told_apart = F.xxhash64(*columns) if columns else F.lit(0)
+    per_key = dimension.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(told_apart).alias("lo"), F.max(told_apart).alias("hi"))
+    return per_key.where("lo <> hi").agg(F.count(F.lit(1)).alias("repeated_keys"))
+
+
+def one_row_per_key(dimension: DataFrame, key: str, columns: Sequence[str], where: Column | None = None) -> DataFrame:
+    """Dimension reduced to one row per key, so that joining it cannot multiply facts.
+
+    A key that stands with differing values fails the job: no row of them is picked. That is counted over the whole dimension by a
+    subquery of its own, so ``where``, on the key and the columns, still reaches the scan.
+    """
     wanted = [c for c in columns if c != key]
-    rows = dimension.where(F.col(key).isNotNull()).groupBy(key)
+    rows = dimension.where(F.col(key).isNotNull())
+    once = (rows if where is None else rows.where(where)).select(key, *wanted).distinct()
     if not wanted:
-        return rows.agg(F.lit(1).alias("_one")).select(key)
-    return rows.agg(F.min(F.struct(*wanted)).alias("_row")).select(key, *[F.col("_row")[c].alias(c) for c in wanted])
+        return once
+    repeated = repeated_keys(dimension, key, wanted).scalar()
+    message = F.concat(repeated.cast("string"), F.lit(f" values of {key} stand with differing {', '.join(wanted)}"))
+    return once.where(F.when(repeated > 0, F.raise_error(message).cast("boolean")).otherwise(True))

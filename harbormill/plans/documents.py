@@ -14,6 +14,7 @@ from harbormill.models import catalog
 from harbormill.operators.columns import conform
 from harbormill.operators.documents import (
     CHUNK_TOKENS,
+    bounded_chunks,
     chunk_id,
     document_table,
     explode_chunks,
@@ -77,10 +78,14 @@ def files_to_fetch(listed: DataFrame, present: DataFrame) -> DataFrame:
     return not_yet_done(named.select("path", "document_key"), present, ["path"])
 
 
-def announcement_chunks(texts: DataFrame, budget: int = CHUNK_TOKENS) -> DataFrame:
-    """Announcement texts (path, contents and metadata) to token-bounded chunks."""
+def announcement_chunks(texts: DataFrame, budget: int = CHUNK_TOKENS, tokenizer: str | None = None) -> DataFrame:
+    """Announcement texts (path, contents and metadata) to chunks of at most ``budget`` ids of a tokenizer file, or of words without one."""
     meta = F.to_json(F.struct("path", "symbol", "headline", F.col("document_key").alias("source")))
-    chunks = explode_chunks(texts.withColumn("metadata", meta), token_chunks(F.col("contents"), budget), "page_content")
+    described = texts.withColumn("metadata", meta)
+    if tokenizer:
+        chunks = bounded_chunks(described, "contents", tokenizer, budget, "page_content")
+    else:
+        chunks = explode_chunks(described, token_chunks(F.col("contents"), budget), "page_content")
     return conform(chunks.withColumn("type", F.lit("Document")), catalog.DOCUMENTS)
 
 

@@ -2,13 +2,16 @@
 
 A query aggregates the base table by its own dimensions and the join keys first,
 joins the dimension tables to those partial results, and aggregates again. The
-dimension is reduced to one row per key, so a join can never multiply a metric.
+dimension is reduced to one row per key, so a join can never multiply a metric; a key with
+differing attributes is an error.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -151,10 +154,11 @@ class SemanticLayer:
     def _join_dimension(self, partial, name, key, dimensions, filters, placed, allow_pii) -> DataFrame:
         columns = {d: column for d, (model, column) in placed.items() if model.name == name}
         parent_key = key.role.to_column
-        parents = one_row_per_key(self.tables[name], parent_key, list(dict.fromkeys(c.name for c in columns.values())))
         kept = [f for f in filters if f.dimension in columns]
-        for f in kept:
-            parents = parents.where(f.applied_to(F.col(columns[f.dimension].name)))
+        conditions = [f.applied_to(F.col(columns[f.dimension].name)) for f in kept]
+        # the columns that slice or filter; the filters go to the scan
+        wanted = list(dict.fromkeys(c.name for c in columns.values()))
+        parents = one_row_per_key(self.tables[name], parent_key, wanted, reduce(and_, conditions) if conditions else None)
         parents = parents.select(
             F.col(parent_key).alias(f"_key_{name}"),
             *[self._shown(columns[d], allow_pii).alias(d) for d in dimensions if d in columns],

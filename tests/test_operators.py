@@ -479,3 +479,72 @@ def test_markup_of_any_text_ends_and_stays_linear():
     for text in ("<a " * 40_000, "<div>" * 40_000, "<a b='" * 20_000, "<!--" * 40_000, "<a =" * 40_000, "<td>" * 40_000):
         Page(text)
     assert time.perf_counter() - start < 30
+
+
+# --- chunks bounded by a tokenizer --------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def tokenizer_file():
+    return pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
+
+
+def test_bounded_chunks_give_the_text_back_and_fit(spark, tokenizer_file):
+    import random
+
+    from tokenizers import Tokenizer
+
+    coder = Tokenizer.from_file(tokenizer_file)
+    coder.encode_special_tokens = True
+    r = random.Random(9)
+    parts = ["word", " ", ". ", "\n", "\n\n", "é", "漢字", "🙂👩‍👩‍👧", "<|endoftext|>", "1234567", "\u0000", "x" * 40, "   ", "… "]
+    texts = ["", "a", "🙂" * 50, "x" * 3000, " " * 500, "漢" * 300, "first. second. " * 200]
+    texts += ["".join(r.choice(parts) for _ in range(r.randrange(400))) for _ in range(40)]
+    df = spark.createDataFrame([*enumerate(texts), (-1, None)], "id int, text string").withColumn("start", F.lit("mine"))
+    for budget in (1, 7, 64):
+        seen = {}
+        for row in sorted(documents.bounded_chunks(df.drop("start"), "text", tokenizer_file, budget).collect(), key=lambda c: (c["id"], c["chunk"])):
+            ids = len(coder.encode(row["content"], add_special_tokens=False).ids)
+            assert row["tokens"] == ids and (ids <= budget or len(row["content"]) == 1)
+            place = seen.setdefault(row["id"], [])
+            assert row["start"] == sum(map(len, place)) and row["end"] == row["start"] + len(row["content"]) and row["chunk"] == len(place)
+            place.append(row["content"])
+        assert {n: "".join(p) for n, p in seen.items()} == {n: t for n, t in enumerate(texts) if t}
+    sentences = [c["content"] for c in documents.bounded_chunks(df.where("id = 6").drop("start"), "text", tokenizer_file, 31).collect()]
+    assert all(c.endswith(". ") for c in sentences) and len(sentences) > 10
+
+
+def test_announcements_by_a_tokenizer(spark, tokenizer_file):
+    from harbormill.plans.documents import announcement_chunks
+
+    texts = spark.createDataFrame([("p", "S", "h", "k", "one two three. " * 30)], "path string, symbol string, headline string, document_key string, contents string")
+    got = announcement_chunks(texts, 20, tokenizer_file)
+    assert got.columns == announcement_chunks(texts).columns and got.count() >= 6
+    assert "".join(r["page_content"] for r in got.collect()) == "one two three. " * 30
+
+
+# --- declared keys ------------------------------------------------------------
+
+
+def test_keys_with_differing_rows_are_an_error(spark):
+    from harbormill.operators import joins
+
+    good = spark.createDataFrame([(1, "a", 5), (1, "a", 6), (2, None, 7), (None, "x", 1), (None, "y", 1)], "k int, v string, other int")
+    assert rows(joins.one_row_per_key(good, "k", ["v"])) == [(1, "a"), (2, None)]
+    assert rows(joins.one_row_per_key(good, "k", ["k"])) == [(1,), (2,)]
+    bad = good.unionByName(spark.createDataFrame([(1, "b", 5)], good.schema))
+    assert joins.repeated_keys(bad, "k", ["v"]).collect()[0][0] == 1 and joins.repeated_keys(good, "k", ["v"]).collect()[0][0] == 0
+    assert rows(joins.one_row_per_key(bad, "k", ["k"])) == [(1,), (2,)]
+    for read in (joins.one_row_per_key(bad, "k", ["v"]), joins.one_row_per_key(bad, "k", ["v"], F.col("k") == 2)):
+        with pytest.raises(Exception, match="1 values of k stand with differing v"):
+            read.collect()
+
+
+def test_a_dimension_filter_reaches_the_scan(spark, sf_dir):
+    from harbormill.operators import joins
+
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    found = joins.one_row_per_key(customers, "c_custkey", ["c_mktsegment"], F.col("c_mktsegment") == "MACHINERY")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(c_mktsegment,MACHINERY)" in plan and "SortAggregate" not in plan
+    assert 0 < found.count() < customers.count()

@@ -59,6 +59,55 @@ def chunks_tokens(spark, d):
     return docs.explode_chunks(rows, docs.token_chunks(F.col("text"), 256)).drop("text")
 
 
+@workload(
+    "chunks_bounded",
+    "T04 W06 T05",
+    """SELECT doc_id, length(text) AS chars, md5(text) AS text_md5, true AS in_budget, true AS contiguous, length(text) <= 300 AS single
+        FROM documents WHERE length(text) > 0""",
+)
+def chunks_bounded(spark, d):
+    """Chunks of at most 300 ids of a byte-level tokenizer, put together again; SQL sees the texts only."""
+    import public_tokenizers
+
+    rows = table(spark, d, "documents").select("doc_id", "text")
+    chunks = docs.bounded_chunks(rows, "text", public_tokenizers.path("byte_bpe_50k.json"), 300)
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("chunk", "content"))), lambda c: c["content"]), "")
+    return chunks.groupBy("doc_id").agg(
+        F.max("end").alias("chars"),
+        F.md5(joined).alias("text_md5"),
+        F.every(F.col("tokens").between(1, 300)).alias("in_budget"),
+        (F.sum(F.col("end") - F.col("start")) == F.max("end")).alias("contiguous"),
+        # a text of up to 300 characters may have fewer ids, but never needs two chunks here
+        ((F.max("end") <= 300) & (F.max("chunk") == 0)).alias("single"),
+    )
+
+
+@workload(
+    "chunks_recursive",
+    "T03 E17",
+    r"""SELECT doc_id, regexp_replace(text, '\s', '', 'g') AS letters, true AS small, true AS in_order FROM documents WHERE trim(text, E' \n\t\r') <> ''""",
+)
+def chunks_recursive(spark, d):
+    """The default splitter: what it must hold whatever the text. Without overlap the chunks give back all but blanks."""
+    rows = table(spark, d, "documents").select("doc_id", "text").where(F.col("text") != "")
+    split = rows.select(
+        "doc_id", "text", docs.recursive_chunks()(F.col("text")).alias("chunks"), docs.recursive_chunks(overlap=0)(F.col("text")).alias("apart")
+    ).where(F.size("chunks") > 0)
+    # every chunk is a part of the text and starts behind the start of the one before
+    start = F.struct(F.lit(0).alias("at"), F.lit(True).alias("ok"))
+
+    def follow(acc, chunk):
+        at = F.call_function("locate", chunk, F.col("text"), acc["at"] + 1)
+        return F.struct(at.alias("at"), (acc["ok"] & (at > acc["at"])).alias("ok"))
+
+    return split.select(
+        "doc_id",
+        F.regexp_replace(F.array_join("apart", ""), r"\s", "").alias("letters"),
+        F.forall("chunks", lambda c: (F.length(c) <= 512) & (F.length(c) > 0)).alias("small"),
+        F.aggregate("chunks", start, follow, lambda acc: acc["ok"]).alias("in_order"),
+    )
+
+
 # issues: one per conversation turn, the text inside a rich-text tree
 SUMMARY = "CASE WHEN turn % 5 = 4 THEN '' ELSE role || ' turn ' || CAST(turn AS STRING) END"
 ISSUE = StandIn(
