@@ -22,33 +22,48 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; those without text or without a letter go."""
+    """Documents with a language; those without text (null or empty) or without a letter go.
+
+    Repeated rows are judged alike, nulls elsewhere do not matter, and an empty table gives no rows.
+    """
     prepare(spark)
     model = language.learn(docs.select("doc_id", "lang", "text"))
-    judged = language.with_language(docs, model, prefix="_own_")
-    return judged.where(F.col("_own_lang_pred") != language.UNKNOWN).select(*[f"`{c}`" for c in docs.columns])
+    prefix = "_own"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    judged = language.with_language(docs, model, prefix)
+    return judged.where(F.col(f"{prefix}lang_pred") != language.UNKNOWN).select(*[f"`{c}`" for c in docs.columns])
 
 
 def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines that stand elsewhere already; every document stays, if need be without text."""
+    """Texts without the lines that stand elsewhere already; every document stays, if need be without text.
+
+    Null texts stay null, repeated rows lose the same lines, and an empty table gives no rows.
+    """
     prepare(spark)
     return _counted(lines.without_repeated_lines(docs))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near-duplicates."""
+    """One document of every group of near-duplicates; texts without a word, null too, are one group.
+
+    Of repeated rows one stays; an empty table gives no rows.
+    """
     prepare(spark)
     return simhash.keep_one_of_each(docs)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with secrets masked; every document stays."""
+    """Texts with secrets masked; every document stays, null texts and repeated rows too. An empty table gives no rows."""
     prepare(spark)
     return _counted(secrets.redact_secrets(docs))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents laid out in sequences, with their ids."""
+    """Pieces of documents laid out in sequences, with their ids.
+
+    Null and empty texts give the ending id alone, repeated rows are documents of their own, and an empty table gives no rows.
+    """
     prepare(spark)
     return packing.pack_documents(docs.select("doc_id", "text"), public_tokenizers.path(TOKENIZER))
 

@@ -24,10 +24,16 @@ BUILD_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Bring a session that was made elsewhere to the settings above."""
+    """Bring a session that was made elsewhere to the settings above.
+
+    On one machine any folder is shared, so a local session that names no checkpoint folder gets one; elsewhere it must name it.
+    """
     for key, value in REQUIRED_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    context = spark.sparkContext
+    if not spark.conf.get("spark.checkpoint.dir", None) and context.getCheckpointDir() is None and context.master.startswith("local"):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="harbormill-"))
     return spark
 
 
@@ -44,9 +50,7 @@ def local_session(app: str, cores: int = 8, memory: str = "8g") -> SparkSession:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="harbormill-"))  # one machine: any folder is shared
-    return spark
+    return prepare(spark)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
