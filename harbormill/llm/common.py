@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 import types
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,17 +15,14 @@ def checkpoint(df: DataFrame, keep_partitioning: bool = False) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and cut its lineage.
 
     With ``keep_partitioning`` later joins on the columns it is dealt by need no new exchange; the
-    job then runs without adaptive planning, under which the partitioning is not known. The folder is the session's ``spark.checkpoint.dir``. Only a local session
-    without that setting gets a folder of its own.
+    job then runs without adaptive planning, under which the partitioning is not known. The folder is the session's ``spark.checkpoint.dir``.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
-            if not sc.master.startswith("local"):
-                raise ValueError("spark.checkpoint.dir must name shared storage on a cluster")
-            base = tempfile.mkdtemp(prefix="harbormill-checkpoints-")
+            raise ValueError("spark.checkpoint.dir must name storage that all executors share")
         sc.setCheckpointDir(base)
     if not keep_partitioning:
         return df.checkpoint(eager=True)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harbormill.llm.common import shuffle_partitions, worker_state
+from harbormill.llm.common import checkpoint, shuffle_partitions, worker_state
 from harbormill.llm.packing import WordCoder
 
 # Fixed value: the weight of a step down to the shorter n-gram.
@@ -93,8 +93,6 @@ def backoff_scores(docs: DataFrame, tokenizer: str, least_count: int = LEAST_COU
     columns are ignored; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    # both sides of the join are dealt by bucket already, which is one of its two keys
-    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     partitions = shuffle_partitions(spark)
     vocabulary = vocabulary_size(tokenizer)
     base = vocabulary + 1
@@ -131,5 +129,13 @@ def backoff_scores(docs: DataFrame, tokenizer: str, least_count: int = LEAST_COU
             F.sum(F.col("n") * F.col("score")).alias("part"),
         )
     )
-    score = F.col("part") - F.col("n_backoff") * F.ln(total)
+    # both sides of the join are dealt by bucket already, which is one of its two keys; the session gets its setting back
+    setting = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        sums = checkpoint(sums.withColumn("total", total))
+    finally:
+        spark.conf.set(setting, before)
+    score = F.col("part") - F.col("n_backoff") * F.ln("total")
     return sums.select("doc_id", "n_tokens", "n_backoff", score.alias("log_score"), (score / F.col("n_tokens")).alias("mean_log_score"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import unicodedata
 from array import array
 from collections.abc import Iterator
 
@@ -96,6 +97,25 @@ class WordCoder:
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}  # the memo before: words in use move on from it
         self.bound = bound
+        self.plain: dict[str, bool] = {}  # letters that normalisation leaves as one letter
+        self._check()
+
+    def _check(self) -> None:
+        """What the shortcuts below rely on: lower case, words of letters, marks and white space that part them."""
+
+        def ids(text: str) -> list[int]:
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+        lower = [t.id for t in self.tokenizer.model.tokenize("wordy")]
+        if not (ids("Wordy") == lower and all(ids(f"Wordy{m}") == lower + ids(m) for m in ",.") and ids("a b\nc") == ids("a") + ids("b") + ids("c")):
+            raise ValueError("not a tokenizer of lower-cased words")
+
+    def _plain_letter(self, c: str) -> bool:
+        """A letter that stays one letter when normalised; others can become a letter and a mark, which joins what follows."""
+        found = self.plain.get(c)
+        if found is None:
+            found = self.plain[c] = c.isalpha() and unicodedata.normalize("NFC", c) == c and len(c.lower()) == 1 and c.lower().isalpha()
+        return found
 
     def _coded(self, chunk: str) -> bytes:
         tok = self.tokenizer
@@ -110,7 +130,7 @@ class WordCoder:
         ids = self.memo.get(chunk)
         if ids is not None:
             return ids
-        if len(chunk) > 1 and chunk[-1] in ",." and chunk[-2].isalpha():  # the mark is a word of its own
+        if len(chunk) > 1 and chunk[-1] in ",." and self._plain_letter(chunk[-2]):  # the mark is a word of its own
             return self.of(chunk[:-1]) + self.of(chunk[-1])
         ids = self.older.get(chunk)
         if ids is None:

@@ -142,9 +142,13 @@ def redacted(text: Column, spans: Column, mask: str = "[secret]") -> Column:
 
 
 def redact_secrets(docs: DataFrame, scope: int = SCOPE, mask: str = "[secret]") -> DataFrame:
-    """``docs`` with every span that the scan lists replaced in the text; rows and other columns stay as they are."""
+    """``docs`` with every span that the scan lists replaced in the text; rows and other columns stay as they are, whatever their names.
+
+    Null texts stay null, repeated rows are redacted alike; an empty table gives no rows.
+    """
     found = scan_secrets(docs, scope).where(F.size("spans") > 0).dropDuplicates(["doc_id", "text_key"])
-    d, f = docs.withColumn("_key", F.xxhash64("text")).alias("d"), found.alias("f")
-    same = F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d._key") == F.col("f.text_key"))
-    text = F.when(F.col("f.spans").isNull(), F.col("d.text")).otherwise(redacted(F.col("d.text"), F.col("f.spans"), mask))
-    return d.join(f, same, "left").select(*[text.alias("text") if c == "text" else F.col(f"d.`{c}`") for c in docs.columns])
+    # the row in a struct, so that no column of it can clash
+    d, f = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"), F.xxhash64("text").alias("key")).alias("d"), found.alias("f")
+    same = F.col("d.row.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.key") == F.col("f.text_key"))
+    text = F.when(F.col("f.spans").isNull(), F.col("d.row.text")).otherwise(redacted(F.col("d.row.text"), F.col("f.spans"), mask))
+    return d.join(f, same, "left").select(*[text.alias("text") if c == "text" else F.col(f"d.row.`{c}`").alias(c) for c in docs.columns])

@@ -213,15 +213,16 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_
 def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one document of every group: that of least doc_id, then of least text hash.
 
-    Of repeated rows one stays. The columns stay as they are.
+    Of repeated rows one stays. The columns stay as they are, whatever their names; an empty table gives no rows.
     """
     groups = simhash_groups(docs, shingle, max_bits)
     keep = (
         groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("group")
         .agg(F.min(F.struct("doc_id", "text_key")).alias("k"))
-        .select(F.col("k.doc_id").alias("_kept_id"), F.col("k.text_key").alias("_kept_key"))
+        .select(F.col("k.doc_id").alias("kept_id"), F.col("k.text_key").alias("kept_key"))
     )
-    rows = docs.withColumn("_text_key", F.xxhash64("text"))
-    same = F.col("doc_id").eqNullSafe(F.col("_kept_id")) & (F.col("_text_key") == F.col("_kept_key"))
-    return rows.join(keep, same).dropDuplicates(["_kept_id", "_kept_key"]).select(*[f"`{c}`" for c in docs.columns])
+    # the row in a struct, so that no column of it can clash
+    rows = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"), F.xxhash64("text").alias("key"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("kept_id")) & (F.col("key") == F.col("kept_key"))
+    return rows.join(keep, same).dropDuplicates(["kept_id", "kept_key"]).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

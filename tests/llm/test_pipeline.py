@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -77,3 +78,11 @@ def test_odd_rows_and_no_rows(spark, odd_documents, sf_dir, tmp_path):
     assert all(df.columns == odd_documents.columns for df in seen[1:5])
     assert sorted({r["doc_id"] for r in seen[-1].collect()}, key=str) == sorted([1, None, 6, 7, 8], key=str)
     assert [df.count() for df in staged(spark, odd_documents.limit(0), sf_dir, tmp_path / "none")[1:]] == [0] * 5
+
+
+def test_stages_keep_clashing_columns(spark, odd_documents, sf_dir, tmp_path):
+    names = ["_own_score", "_own", "_ownlang_pred", "_key", "row", "kept_id", "kept_key", "key"]
+    odd = odd_documents.withColumns({n: F.lit(n) for n in names})
+    for df in staged(spark, odd, sf_dir, tmp_path)[1:5]:
+        assert df.columns == odd.columns and df.count() > 0
+        assert all(r[n] == n for r in df.select(*names).collect() for n in names)

@@ -328,3 +328,42 @@ def test_language_of_odd_rows(spark, odd_documents):
     nothing = language.learn(odd_documents.limit(0))
     assert {r["lang_pred"] for r in language.with_language(odd_documents, nothing).collect()} == {"und"}
     assert language.with_language(odd_documents.limit(0), model).count() == 0
+
+
+def test_word_ids_equal_the_tokenizer_for_all_letters_and_random_strings():
+    import random
+    import sys
+
+    from harbormill.llm.packing import WordCoder
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    coder = WordCoder(path)
+
+    def same(texts):
+        want = coder.tokenizer.encode_batch(texts, add_special_tokens=False)
+        wrong = [t for t, w in zip(texts, want, strict=True) if np.frombuffer(coder.encode(t), dtype="<u4").tolist() != w.ids]
+        assert wrong == []
+
+    letters = [chr(c) for c in range(sys.maxunicode + 1) if chr(c).isalpha()]
+    for mark in ",.":
+        same([f"a{c}{mark} {c}{mark}x" for c in letters])
+    r = random.Random(7)
+    some = [*",.'-!?<|>", " ", "  ", "\n", "\t", "A", "b", "It's", "DİY", "ΑΣ", "é", "e\u0301", "क़", "1", "<|endoftext|>", "\u00a0", "\u200b"] + r.sample(letters, 300)
+    same(["".join(r.choice(some) for _ in range(r.randrange(12))) for _ in range(100_000)])
+
+
+def test_clashing_names_and_settings(spark, odd_documents):
+    from harbormill.llm import lines, lm, secrets, simhash
+
+    names = ["_key", "key", "row", "_kept_id", "kept_id", "kept_key", "_text_key", "text_key", "removed", "spans", "_own_score", "_ownlang_pred", "total", "part"]
+    odd = odd_documents
+    for n in names:
+        odd = odd.withColumn(n, F.lit(n))
+    for change in (lines.without_repeated_lines, secrets.redact_secrets, simhash.keep_one_of_each):
+        out = change(odd)
+        assert out.columns == odd.columns
+        assert all(r[n] == n for r in out.select(*names).collect() for n in names)
+    setting = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(setting)
+    lm.backoff_scores(odd, public_tokenizers.path("word_bpe_49k.json")).collect()
+    assert spark.conf.get(setting) == before
