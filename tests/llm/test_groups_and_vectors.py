@@ -237,6 +237,7 @@ def test_families_that_touch_through_done_lines(spark, monkeypatch):
     """Chains L~a~b~M with copies of L and M in a single band: no link between lines of a band may be lost."""
     monkeypatch.setattr(lines, "BANDS", 1)
     monkeypatch.setattr(lines, "ROWS", 1)
+    monkeypatch.setattr(lines, "MOST_APART", lines.FUNCTIONS)
     docs = []
     for n in range(150):
         words = sentence(5_000 + n, 70).split(" ")
