@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from harbormill.llm.common import worker_state
@@ -205,12 +206,46 @@ def decode(ids: list[int], table: PieceTable) -> str:
     return text[1:] if text[:1] == " " else text
 
 
-def _loaded(path: str) -> tuple[PieceTable, Encoder]:
+class Decoder:
+    """Decodes a batch of id lists by array operations on the bytes of all pieces."""
+
+    def __init__(self, table: PieceTable):
+        self.table = table
+        self.blob = np.frombuffer(b"".join(table.bytes_of), dtype=np.uint8)
+        self.size = np.array([len(b) for b in table.bytes_of], dtype=np.int64)
+        self.start = np.concatenate([[0], np.cumsum(self.size)[:-1]])
+
+    def texts(self, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+        """One text for each ``counts`` of the ids; the space that encoding put in front is taken off."""
+        sizes = self.size[ids]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        # byte k of the result is byte k - (start of its piece in the result) of the piece
+        data = self.blob[np.repeat(self.start[ids] - (ends - sizes), sizes) + np.arange(total)]
+        offsets = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        filled = np.nonzero(offsets[1:] > offsets[:-1])[0]
+        spaced = filled[data[offsets[filled]] == 32]
+        keep = np.ones(total, dtype=bool)
+        keep[offsets[spaced]] = False
+        gone = np.zeros(len(offsets), dtype=np.int64)
+        gone[spaced + 1] = 1
+        offsets = offsets - np.cumsum(gone)
+        if total >= 1 << 31:
+            return pa.array([decode(x.tolist(), self.table) for x in np.split(ids, np.cumsum(counts)[:-1])], pa.string())
+        found = pa.StringArray.from_buffers(len(counts), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data[keep])))
+        try:
+            found.validate(full=True)
+        except pa.ArrowInvalid:  # ids that no text has: bytes that are no UTF-8
+            return pa.array([decode(x.tolist(), self.table) for x in np.split(ids, np.cumsum(counts)[:-1])], pa.string())
+        return found
+
+
+def _loaded(path: str) -> tuple[Decoder, Encoder]:
     state = worker_state("pieces " + path)
     if not state:
         table = load_pieces(path)
-        state.update(table=table, encoder=Encoder(table))
-    return state["table"], state["encoder"]
+        state.update(decoder=Decoder(table), encoder=Encoder(table))
+    return state["decoder"], state["encoder"]
 
 
 def encode_pieces(docs: DataFrame, model: str, text: str = "text", to: str = "ids") -> DataFrame:
@@ -244,26 +279,11 @@ def decode_pieces(rows: DataFrame, model: str, ids: str = "ids", to: str = "deco
     schema = T.StructType([*kept.schema.fields, T.StructField(to, T.StringType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, _ = _loaded(model)
+        decoder, _ = _loaded(model)
         for batch in batches:
-            texts = pa.array([decode(x or [], table) for x in batch.column(ids).to_pylist()], pa.string())
+            lists = batch.column(ids)
+            counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            texts = decoder.texts(lists.flatten().to_numpy(zero_copy_only=False), counts.astype(np.int64))
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*batch.schema.names, to])
 
     return kept.mapInArrow(run, schema)
-
-
-def plain_viterbi(text: str, table: PieceTable) -> list[int]:
-    """The whole lattice at once, for comparison."""
-    best: list = [(0.0, 0, ())] + [(-math.inf, 0, ())] * len(text)
-    for at in range(len(text)):
-        for end in range(at + 1, min(len(text), at + table.longest) + 1):
-            entry = table.ids.get(text[at:end])
-            if entry is not None and best[at][0] + entry[1] > best[end][0]:
-                best[end] = (best[at][0] + entry[1], at, (entry[0],))
-        if table.ids.get(text[at]) is None and best[at][0] + table.unknown > best[at + 1][0]:
-            best[at + 1] = (best[at][0] + table.unknown, at, tuple(table.byte_ids[b] for b in text[at].encode()))
-    path, e = [], len(text)
-    while e:
-        path.append(best[e][2])
-        e = best[e][1]
-    return [i for step in reversed(path) for i in step]

@@ -16,6 +16,23 @@ from pyspark.sql import functions as F
 from harbormill.llm import chat, language, lm, packing, pieces, queries, secrets
 from tests.llm.conftest import sentence
 
+
+def plain_viterbi(text: str, table) -> list[int]:
+    """The whole lattice at once, for comparison."""
+    best: list = [(0.0, 0, ())] + [(-math.inf, 0, ())] * len(text)
+    for at in range(len(text)):
+        for end in range(at + 1, min(len(text), at + table.longest) + 1):
+            entry = table.ids.get(text[at:end])
+            if entry is not None and best[at][0] + entry[1] > best[end][0]:
+                best[end] = (best[at][0] + entry[1], at, (entry[0],))
+        if table.ids.get(text[at]) is None and best[at][0] + table.unknown > best[at + 1][0]:
+            best[at + 1] = (best[at][0] + table.unknown, at, tuple(table.byte_ids[b] for b in text[at].encode()))
+    path, e = [], len(text)
+    while e:
+        path.append(best[e][2])
+        e = best[e][1]
+    return [i for step in reversed(path) for i in step]
+
 TOKENIZER = public_tokenizers.path(queries.WORD_TOKENIZER)
 MODEL = public_tokenizers.path(queries.PIECE_MODEL)
 
@@ -165,7 +182,7 @@ def test_streaming_viterbi_equals_the_whole_lattice(piece_table, spark, sf_dir):
     encoder = pieces.Encoder(piece_table, bound=50)
     for text in ODD_TEXTS + list(documents(spark, sf_dir).values())[:40]:
         marked = pieces.SPACE + text.replace(" ", pieces.SPACE)
-        whole = pieces.plain_viterbi(marked, piece_table) if text else []
+        whole = plain_viterbi(marked, piece_table) if text else []
         if text:
             assert pieces.viterbi(marked, piece_table) == whole
         assert np.frombuffer(encoder.encode(text), dtype=np.int32).tolist() == whole
@@ -178,7 +195,7 @@ LONG_TAILS = ["7" * 5_000, "\n" * 5_000, "".join(chr(0x4E00 + n % 2_000) for n i
 def test_units_with_long_tails_of_sure_cuts(piece_table):
     encoder = pieces.Encoder(piece_table)
     for text in LONG_TAILS + LONG_TAILS:  # the second time from the memo
-        whole = pieces.plain_viterbi(pieces.SPACE + text.replace(" ", pieces.SPACE), piece_table)
+        whole = plain_viterbi(pieces.SPACE + text.replace(" ", pieces.SPACE), piece_table)
         assert np.frombuffer(encoder.encode(text), dtype=np.int32).tolist() == whole
         assert pieces.decode(whole, piece_table) == text
 
@@ -367,3 +384,21 @@ def test_clashing_names_and_settings(spark, odd_documents):
     before = spark.conf.get(setting)
     lm.backoff_scores(odd, public_tokenizers.path("word_bpe_49k.json")).collect()
     assert spark.conf.get(setting) == before
+
+
+def test_decoding_by_arrays_equals_decoding_one_by_one(spark):
+    import random
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    table = pieces.load_pieces(model)
+    decoder = pieces.Decoder(table)
+    r = random.Random(3)
+    encoder = pieces.Encoder(table)
+    texts = ["", " ", "  a", "a ", "é漢🙂", "\n\n", *[sentence(n, r.randrange(30)) for n in range(50)]]
+    good = [np.frombuffer(encoder.encode(t), dtype=np.int32).tolist() for t in texts]
+    assert decoder.texts(np.array(sum(good, []), dtype=np.int32), np.array(list(map(len, good)))).to_pylist() == texts
+    odd = [[], *[[r.randrange(len(table.bytes_of)) for _ in range(r.randrange(6))] for _ in range(300)]]  # mostly no UTF-8
+    assert decoder.texts(np.array(sum(odd, []), dtype=np.int32), np.array(list(map(len, odd)))).to_pylist() == [pieces.decode(x, table) for x in odd]
+    df = spark.createDataFrame([(1, None, "x"), (2, [], "x"), (3, good[7], "x")], "id int, ids array<int>, decoded string")
+    got = {r["id"]: r["decoded"] for r in pieces.decode_pieces(df, model).collect()}
+    assert got == {1: "", 2: "", 3: texts[7]}
