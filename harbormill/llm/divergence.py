@@ -147,11 +147,12 @@ def source_divergence(
     value 0 and no term rows. Repeated rows are documents of their own. Other columns are ignored; an empty table gives no rows.
     """
     given = docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    counts = checkpoint(term_counts(given))
-    kept = counts.groupBy("lang", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")).where(F.col("docs") >= least_docs)
-    kept = checkpoint(kept)
+    # a window holds a term's row for each source of a language; most terms are rare and go here
+    across = Window.partitionBy("lang", "term")
+    counted = term_counts(given).withColumns({"all": F.sum("n").over(across), "held_by": F.sum("docs").over(across)})
+    inside = checkpoint(counted.where(F.col("held_by") >= least_docs).select("lang", "source", "term", "n", "all"))
+    kept = checkpoint(inside.groupBy("lang", "term").agg(F.max("all").alias("n")))
     langs = kept.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("n").alias("total"))
-    inside = checkpoint(counts.join(kept.select("lang", "term", F.col("n").alias("all")), ["lang", "term"]))
     totals = inside.groupBy("lang", "source").agg(F.sum("n").alias("own"))
     zero = F.lit(0).cast("long")
     groups = (
