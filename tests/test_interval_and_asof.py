@@ -12,7 +12,7 @@ from harbormill.models import catalog
 from pyspark.sql import functions as F
 
 from harbormill.functions.temporal import epoch_seconds
-from harbormill.operators.asof import asof_join, measured_slice
+from harbormill.operators.asof import asof_join, asof_scan, measured_slice
 from harbormill.operators.interval import conflicts_within
 from harbormill.plans.risk import suspicious_transactions
 
@@ -179,3 +179,36 @@ def test_a_hot_slice_is_split_over_tasks(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("partitions", [1, 7, 40])
+def test_prefix_scan_against_brute_force(spark, partitions):
+    rng = random.Random(partitions)
+    key = lambda: rng.choice(["hot", "hot", "a", "b", "c", None])
+    moment = lambda: seconds(rng.randrange(0, 200) * 97) if rng.random() < 0.95 else None
+    left = [(key(), moment(), i) for i in range(300)] + [("lonely", seconds(5), 999)]
+    right = [(key(), moment(), rng.choice([None, rng.randrange(1000)])) for _ in range(200)]
+    ldf = spark.createDataFrame(left, "k string, t timestamp_ntz, name long").repartition(3)
+    rdf = spark.createDataFrame(right, "k string, t timestamp_ntz, value long").repartition(4)
+    got = rows(asof_scan(ldf, rdf, ["k"], "t", partitions).select("k", "t", "name", "value"))
+    assert got == rows(asof_join(ldf, rdf, ["k"], "t").select("k", "t", "name", "value"))
+
+
+def test_prefix_scan_of_empty_sides(spark):
+    left = spark.createDataFrame([("a", seconds(9), 1)], "k string, t timestamp_ntz, name long")
+    right = spark.createDataFrame([("a", seconds(1), 5)], "k string, t timestamp_ntz, value long")
+    assert rows(asof_scan(left, right.limit(0), ["k"], "t").select("name", "value")) == [(1, None)]
+    assert asof_scan(left.limit(0), right, ["k"], "t").count() == 0
+
+
+def test_a_key_at_one_instant_is_spread_over_ranges(spark):
+    """40,000 rows of one key at the same time: no range holds more than a fraction, and each finds the one match before it."""
+    left = spark.range(40_000).selectExpr("'hot' AS k", "timestamp_ntz '2024-01-01 00:00:05' AS t", "id AS name")
+    right = spark.range(5).selectExpr("'hot' AS k", "timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, 0, id) AS t", "id AS value")
+    got = asof_scan(left, right, ["k"], "t", 16)
+    assert got.where("value = 4").count() == 40_000
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") + plan.count("Exchange rangepartitioning") <= 6
+    order = [F.col("k"), F.col("t"), F.xxhash64(F.struct(F.lit(True), F.col("name")))]
+    sizes = [r["n"] for r in left.repartitionByRange(16, *order).groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) >= 14 and max(sizes) < 6_000

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from harbormill.functions.temporal import epoch_micros
 from harbormill.models import catalog
 from harbormill.operators import aggregates, columns, joins, windows
-from harbormill.operators.asof import asof_join
+from harbormill.operators.asof import asof_join, asof_scan
 from harbormill.plans import finance
 from workloads.inputs import CASH_FLOWS, DIVIDENDS, HISTORY, STATEMENTS, StandIn, text
 from workloads.registry import stamp, table, workload
@@ -96,18 +96,22 @@ SHIPMENTS = StandIn(
 )
 
 
-@workload(
-    "asof_hot_key",
-    "J06",
-    f"""SELECT o.key, {stamp('o."at"')} AS "at", o.orderkey, s.price, s.quantity FROM {HOT_ORDERS.sql} o
+HOT_SQL = f"""SELECT o.key, {stamp('o."at"')} AS "at", o.orderkey, s.price, s.quantity FROM {HOT_ORDERS.sql} o
         ASOF LEFT JOIN (SELECT key, "at", max(struct_pack(price := price, quantity := quantity)).price AS price,
             max(struct_pack(price := price, quantity := quantity)).quantity AS quantity FROM {SHIPMENTS.sql}
-            GROUP BY key, "at") s ON o.key = s.key AND o."at" >= s."at" """,
-)
+            GROUP BY key, "at") s ON o.key = s.key AND o."at" >= s."at" """
+
+
+@workload("asof_hot_key", "J06", HOT_SQL)
 def asof_hot_key(spark, d):
     return asof_join(HOT_ORDERS.df(spark, d), SHIPMENTS.df(spark, d), ["key"], "at")
 
 
+@workload("asof_scan", "J06 W02", HOT_SQL)
+def asof_scan_hot_key(spark, d):
+    return asof_scan(HOT_ORDERS.df(spark, d), SHIPMENTS.df(spark, d), ["key"], "at", 32)
+
+
 SUSTAIN_SQL = f"""WITH paid AS (SELECT bank, year(payment_date) AS year,
             coalesce(CAST(sum(CAST(dividend_per_share AS DECIMAL(38,8))) AS DOUBLE), 0.0) AS dividend_per_share
             FROM {DIVIDENDS.sql} GROUP BY 1, 2),
