@@ -5,8 +5,9 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,6 +71,74 @@ def top_k_in_namespace(
     return top_k(inside, query, k, embedding, ties)
 
 
+def _scores(rows: np.ndarray, units: np.ndarray) -> np.ndarray:
+    """Cosine of each row with the unit vector beside it, added up in the order in which the search for one query does."""
+    total, square = np.zeros(len(rows)), np.zeros(len(rows))
+    for d in range(rows.shape[1]):
+        total += rows[:, d] * units[:, d]
+        square += rows[:, d] * rows[:, d]
+    return total / np.sqrt(square)
+
+
+def _nearest_in_cell(k: int) -> Callable:
+    """The best ``k`` rows of a block of vectors for each query of a block of queries, ties at the end all kept."""
+
+    def run(block: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        if block.empty or asked.empty:
+            return pd.DataFrame({"_query": [], "_row": [], "_score": []})
+        rows = np.stack(block["_vector"].to_numpy()).astype(np.float64)
+        wanted = np.stack(asked["_vector"].to_numpy()).astype(np.float64)
+        lengths = np.sqrt(np.cumsum(wanted * wanted, axis=1)[:, -1])
+        units = wanted / lengths[:, None]
+        near = units @ (rows / np.linalg.norm(rows, axis=1, keepdims=True)).T
+        if k < near.shape[1]:
+            least = np.partition(near, near.shape[1] - k, axis=1)[:, near.shape[1] - k]
+        else:
+            least = np.full(len(near), -2.0)
+        q, r = np.nonzero(near >= least[:, None] - 1e-9)  # the product rounds otherwise than the sums below
+        return pd.DataFrame({"_query": asked["_id"].to_numpy()[q], "_row": block["_id"].to_numpy()[r], "_score": _scores(rows[r], units[q])})
+
+    return run
+
+
+def top_k_many(
+    vectors: DataFrame,
+    queries: DataFrame,
+    k: int,
+    key: str,
+    query_key: str,
+    embedding: str = "embedding",
+    block_rows: int = 4096,
+    query_rows: int = 1024,
+) -> DataFrame:
+    """``query_key``, ``key``, rank and score of the ``k`` most similar rows of every query, in one job; the same scores as ``top_k``.
+
+    Vectors and queries are dealt into blocks, and a task multiplies one block of each, so it holds some megabytes however many
+    there are. It sends the best ``k`` of its block for each query; ranks are then taken over these. Ties go by ``key``. Null, empty and zero
+    vectors, and rows of another width than the query, are not found. The keys tell rows and queries apart; both are not null.
+    """
+
+    def usable(df: DataFrame, name: str) -> DataFrame:
+        vector = F.col(embedding).cast("array<double>")
+        given = df.select(F.col(name).alias("_id"), vector.alias("_vector"))
+        finite = F.forall("_vector", lambda x: x.isNotNull() & (F.abs(x) < float("inf")) & ~F.isnan(x)) & F.exists("_vector", lambda x: x != 0)
+        return given.where(F.col("_id").isNotNull() & F.col("_vector").isNotNull() & finite).withColumn("_width", F.size("_vector"))
+
+    rows, asked = usable(vectors, key), usable(queries, query_key)
+    blocks = max(1, math.ceil(vectors.count() / block_rows))
+    query_blocks = max(1, math.ceil(queries.count() / query_rows))
+    block = F.pmod(F.xxhash64("_id"), F.lit(blocks)).cast("int").alias("_block")
+    query_block = F.pmod(F.xxhash64("_id"), F.lit(query_blocks)).cast("int").alias("_query_block")
+    left = rows.select("*", block, F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("_query_block"))
+    right = asked.select("*", query_block, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"))
+    kinds = f"_query {queries.schema[query_key].dataType.simpleString()}, _row {vectors.schema[key].dataType.simpleString()}, _score double"
+    cell = ["_width", "_block", "_query_block"]
+    found = left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInPandas(_nearest_in_cell(k), kinds)
+    order = Window.partitionBy("_query").orderBy(F.col("_score").desc(), "_row")
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select(F.col("_query").alias(query_key), F.col("_row").alias(key), "rank", F.round("_score", 4).alias("score"))
+
+
 def attach_embeddings(
     chunks: DataFrame,
     load_model: Callable[[], Callable[[list[str]], Sequence[Sequence[float]]]],

@@ -324,10 +324,13 @@ def check_expected_values(df: DataFrame, column: str, expected: Iterable[str], m
     return check_rows(values, model, [outside_domain(column, list(expected))])
 
 
+def _compared(column: str) -> Column:
+    return F.lower(strip(F.coalesce(F.col(column).cast("string"), F.lit(""))))
+
+
 def check_unique(df: DataFrame, column: str, model: str) -> DataFrame:
     """Keys equal after trimming and lower-casing count as repeated."""
-    key = F.lower(strip(F.coalesce(F.col(column).cast("string"), F.lit(""))))
-    per_key = df.groupBy(key.alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    per_key = df.groupBy(_compared(column).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
     return check_rows(per_key, model, [Rule(f"unique:{column}", F.col("_n") > 1, FAILED)])
 
 
@@ -445,4 +448,19 @@ def density_quality(df: DataFrame) -> DataFrame:
     if missing_columns(df, DENSITY_COLUMNS):
         return columns
     rules = [is_blank("market_type"), not_positive("transaction_count"), outside("fraud_rate_pct", 0.0, 100.0)]
-    return all_checks([columns, check_rows(df, model, rules, nonempty=True), check_unique(df, "market_type", model)])
+    # by market first, so that repeats and all rules come from one pass over the table
+    per_key = df.groupBy(_compared("market_type").alias("_key")).agg(
+        F.count(F.lit(1)).alias("_n"), *[_bad_rows(rule).alias(f"_bad_{i}") for i, rule in enumerate(rules)]
+    )
+    none = F.lit(0)
+    totals = per_key.agg(
+        F.coalesce(F.sum("_n"), none).alias("total"),
+        F.count(F.lit(1)).alias("keys"),
+        F.count_if(F.col("_n") > 1).alias("repeated"),
+        *[F.coalesce(F.sum(f"_bad_{i}"), none).alias(f"bad_{i}") for i in range(len(rules))],
+    )
+    total, missing = F.col("total"), (F.col("total") == 0).cast("int")
+    results = [_result(rule.name, model, _status(F.col(f"bad_{i}"), rule.severity), total, F.col(f"bad_{i}")) for i, rule in enumerate(rules)]
+    results.append(_result("non_empty", model, _status(missing, FAILED), total, missing))
+    results.append(_result("unique:market_type", model, _status(F.col("repeated"), FAILED), F.col("keys"), F.col("repeated")))
+    return columns.unionByName(totals.select(F.inline(F.array(*results))))

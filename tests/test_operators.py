@@ -548,3 +548,27 @@ def test_a_dimension_filter_reaches_the_scan(spark, sf_dir):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(c_mktsegment,MACHINERY)" in plan and "SortAggregate" not in plan
     assert 0 < found.count() < customers.count()
+
+
+# --- many queries at once -----------------------------------------------------
+
+
+def test_many_queries_give_what_each_gives_alone(spark):
+    import random
+
+    r = random.Random(2)
+    data = [(n, [r.choice([-1.0, 0.0, 0.5, 2.0]) for _ in range(6)]) for n in range(120)]  # many equal scores
+    data += [(200, None), (201, [0.0] * 6), (202, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (203, [float("nan")] * 6), (204, [1.0] * 5), (205, []), (None, [1.0] * 6)]
+    rows_ = spark.createDataFrame(data, "id int, embedding array<float>")
+    queries = rows_.where("id % 10 = 0 or id > 199").withColumnRenamed("id", "q")
+    got = {}
+    for x in vectorsearch.top_k_many(rows_, queries, 9, "id", "q", block_rows=25, query_rows=3).collect():
+        got.setdefault(x["q"], []).append((x["rank"], x["id"], x["score"]))
+    asked = [n for n, v in data if n is not None and (n % 10 == 0 or n > 199)]
+    assert set(got) == {n for n in asked if n < 200 and any(dict(data)[n])} | {204}
+    good = rows_.where("id < 200 or id = 204").where(F.exists("embedding", lambda x: x != 0))
+    for q in list(got)[:6]:
+        alone = vectorsearch.top_k(good, dict(data)[q], 9, ties=["id"]).collect()
+        assert sorted(got[q]) == [(n, x["id"], x["score"]) for n, x in enumerate(alone, 1)]
+    assert vectorsearch.top_k_many(rows_, queries.limit(0), 3, "id", "q").count() == 0
+    assert vectorsearch.top_k_many(rows_.limit(0), queries, 3, "id", "q").count() == 0

@@ -196,6 +196,92 @@ def quality_density(spark, d):
     return checks.density_quality(risk.fraud_density(PAYMENTS.df(spark, d)))
 
 
+# what breaks each rule on payments, as expressions of the order behind a payment that both engines read
+BROKEN = {
+    "category": "CASE WHEN o_orderkey % 5 = 0 THEN ' ' WHEN o_orderkey % 7 = 0 THEN NULL ELSE 'es_food' END",
+    "fraud": "CASE WHEN o_orderkey % 3 = 0 THEN NULL WHEN o_orderkey % 11 = 0 THEN 'maybe' ELSE '1' END",
+    "amount": "CASE WHEN o_orderkey % 4 = 0 THEN '-1.5' WHEN o_orderkey % 9 = 0 THEN 'n/a' ELSE '2.5' END",
+}
+SOUND = {"category": "'es_food'", "fraud": "'1'", "amount": "'2.5'"}
+
+
+def _expectation(name: str, bad: str) -> str:
+    return check_sql(f"raw_payments:{name}", "banksim_raw", TOTAL, _bad(bad), "FAILED", "orders")
+
+
+@workload(
+    "quality_raw_payments_each",
+    "Q17",
+    " UNION ALL ".join(
+        [
+            _expectation("blank:category", "o_orderkey % 5 = 0 OR o_orderkey % 7 = 0"),
+            _expectation("null:fraud", "o_orderkey % 3 = 0"),
+            _expectation("negative:amount", "o_orderkey % 4 = 0"),
+            _expectation("domain:category", "true"),
+        ]
+    ),
+)
+def quality_raw_payments_each(spark, d):
+    """One rule after the other is broken, so each is the first that is reported; the last by an unknown category."""
+    orders, found = table(spark, d, "orders"), []
+    others = [F.lit("x").alias(c) for c in checks.PAYMENT_COLUMNS if c not in SOUND]
+    for broken in ("category", "fraud", "amount", None):
+        columns = [F.expr(BROKEN[c] if c == broken else SOUND[c]).alias(c) for c in SOUND]
+        amount = F.col("amount").try_cast("double").alias("amount")
+        rows = orders.select(*columns, *others).select(*[amount if c == "amount" else c for c in checks.PAYMENT_COLUMNS])
+        found.append(checks.raw_payment_expectations(rows, ["food"] if broken else ["tech"]))
+    return checks.all_checks(found)
+
+
+@workload(
+    "quality_payments_broken",
+    "Q18",
+    " UNION ALL ".join(
+        [
+            check_sql("blank:category", "banksim_transactions", TOTAL, _bad("o_orderkey % 5 = 0 OR o_orderkey % 7 = 0"), "FAILED", "orders"),
+            check_sql("flag:fraud", "banksim_transactions", TOTAL, _bad("o_orderkey % 3 = 0 OR o_orderkey % 11 = 0"), "FAILED", "orders"),
+            check_sql("negative:amount", "banksim_transactions", TOTAL, _bad("o_orderkey % 4 = 0"), "FAILED", "orders"),
+            check_sql("non_numeric:amount", "banksim_transactions", TOTAL, _bad("o_orderkey % 4 <> 0 AND o_orderkey % 9 = 0"), "FAILED", "orders"),
+            check_sql("non_empty", "banksim_transactions", TOTAL, "0", "FAILED", "orders"),
+            check_sql("non_empty", "nothing", "0", "1", "FAILED", "(SELECT 1 FROM orders LIMIT 1)"),
+        ]
+    ),
+)
+def quality_payments_broken(spark, d):
+    rows = table(spark, d, "orders").select(*[F.expr(e).alias(c) for c, e in BROKEN.items()])
+    empty = checks.payment_quality(rows.where("o_orderkey < 0")).where("check = 'non_empty'").withColumn("model", F.lit("nothing"))
+    return checks.payment_quality(rows).unionByName(empty)
+
+
+@workload(
+    "quality_density_broken",
+    "Q19",
+    "SELECT 'required_columns' AS check, 'fraud_density' AS model, 'PASS' AS status, 4 AS total, 0 AS bad, 0.0::DOUBLE AS bad_pct UNION ALL "
+    + " UNION ALL ".join(
+        [
+            check_sql("blank:market_type", "fraud_density", TOTAL, _bad("n_nationkey % 6 = 0"), "FAILED", "nation"),
+            check_sql("not_positive:transaction_count", "fraud_density", TOTAL, _bad("n_nationkey <= 4"), "FAILED", "nation"),
+            check_sql("range:fraud_rate_pct", "fraud_density", TOTAL, _bad("n_nationkey NOT BETWEEN 5 AND 15"), "FAILED", "nation"),
+            check_sql("non_empty", "fraud_density", TOTAL, "0", "FAILED", "nation"),
+            check_sql(
+                "unique:market_type", "fraud_density", TOTAL, _bad("n > 1"), "FAILED",
+                "(SELECT count(*) AS n FROM nation GROUP BY CASE WHEN n_nationkey % 6 = 0 THEN '' ELSE substr(n_name, 1, 1) END)",
+            ),
+            "SELECT 'required_columns', 'no_rate', 'FAILED', 4, 1, 25.0 FROM (SELECT 1 FROM nation LIMIT 1)",
+        ]
+    ),
+)
+def quality_density_broken(spark, d):
+    rows = table(spark, d, "nation").selectExpr(
+        "CASE WHEN n_nationkey % 6 = 0 THEN ' ' ELSE lower(substr(n_name, 1, 1)) END AS market_type",
+        "n_nationkey - 4 AS transaction_count",
+        "1 AS fraud_event_count",
+        "(n_nationkey - 5) * 10.0D AS fraud_rate_pct",
+    )
+    lacking = checks.density_quality(rows.drop("fraud_rate_pct")).withColumn("model", F.lit("no_rate"))
+    return checks.density_quality(rows).unionByName(lacking)
+
+
 @workload(
     "quality_unique",
     "Q19",

@@ -201,6 +201,21 @@ def cosine_topk(spark, d):
     return lookups.search_issues(_vectors(spark, d), _query(spark, d), 100)
 
 
+@workload(
+    "cosine_topk_many",
+    "T07 T08 R11 O05",
+    """SELECT query_id, vec_id, rank, round(s, 4) AS score FROM (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) AS rank FROM (
+            SELECT q.vec_id AS query_id, v.vec_id, list_cosine_similarity(CAST(v.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])) AS s
+            FROM embeddings v, embeddings q WHERE q.label = 3)) WHERE rank <= 10""",
+)
+def cosine_topk_many(spark, d):
+    """All vectors of a label ask at once, in blocks."""
+    rows = table(spark, d, "embeddings")
+    queries = rows.where("label = 3").select(F.col("vec_id").alias("query_id"), "embedding")
+    return vectorsearch.top_k_many(rows, queries, 10, "vec_id", "query_id", block_rows=200, query_rows=7)
+
+
 @workload(
     "namespace_retrieval",
     "T08 O05",
@@ -396,6 +411,27 @@ def disclosures(spark, d):
     return products.disclosures(landed, F.lit(LOADED_AT))
 
 
+# pages with form feeds and tables in them, told by the number of the document
+PAGED = "text || repeat(chr(12) || 'page', CAST(doc_id % 4 AS INT)) || repeat(chr(10) || '| a | b |' || chr(10) || '| --- | :-: |' || chr(10) || '| 1 | 2 |', CAST(doc_id % 3 AS INT))"
+
+
+@workload(
+    "disclosures_paged",
+    "E19 T13 A17",
+    f"""SELECT doc_id || '.txt' AS filename, CAST(len(text) - len(replace(text, chr(12), '')) + doc_id % 4 + 1 AS BIGINT) AS pages, CAST(doc_id % 3 AS BIGINT) AS tables,
+        CAST(len(list_filter(string_split(text, chr(10)), lambda l: trim(l) <> '')) + 3 * (doc_id % 3)
+            + CASE WHEN doc_id % 4 > 0 AND trim(string_split(text, chr(10))[-1]) = '' THEN 1 ELSE 0 END AS BIGINT) AS doc_elements,
+        sha256({PAGED}) AS document_hash FROM documents""",
+)
+def disclosures_paged(spark, d):
+    landed = table(spark, d, "documents").select(
+        F.col("source").alias("company"),
+        F.concat(F.lit("https://files.example/"), "source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt/")).alias("url"),
+        F.expr(PAGED).alias("contents"),
+    )
+    return products.disclosures(landed, F.lit(LOADED_AT)).select("filename", "pages", "tables", "doc_elements", "document_hash")
+
+
 @workload(
     "stable_ids",
     "F30",
