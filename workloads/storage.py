@@ -121,13 +121,16 @@ def json_array(spark, d):
 )
 def json_array_files(spark, d):
     path = shared_dir(spark, "json-array")
-    # a file per size holds its parts as one array, whose objects spell the keys in three ways
+    # each file holds parts of one size as an array, whose objects spell the keys in three ways
     named = table(spark, d, "part").withColumn("title", F.concat("p_name", F.lit(' "q" \\')))
     spelled = [("PortfolioId", "Title", "size"), ("PORTFOLIOID", "title", "SIZE"), ("portfolioid", "TITLE", "Size")]
     objects = [F.to_json(F.struct(F.col("p_partkey").alias(k), F.col("title").alias(t), F.col("p_size").alias(z))) for k, t, z in spelled]
     one = F.element_at(F.array(*objects), (F.col("p_partkey") % 3 + 1).cast("int"))
-    landed = named.groupBy("p_size").agg(F.concat(F.lit("["), F.array_join(F.collect_list(one), ",\n"), F.lit("]")).alias("value"))
-    landed.write.partitionBy("p_size").text(path)
+    # arrays of some hundred objects, however many parts there are: a file for each size and bucket
+    buckets = named.count() // 10_000 + 1
+    arrays = named.groupBy("p_size", F.pmod(F.xxhash64("p_partkey"), F.lit(buckets)).alias("bucket"))
+    landed = arrays.agg(F.concat(F.lit("["), F.array_join(F.collect_list(one), ",\n"), F.lit("]")).alias("value"))
+    landed.write.partitionBy("p_size", "bucket").text(path)
     return files.read_json_array(spark, path, "PortfolioId bigint, title string, size bigint")
 
 
