@@ -49,7 +49,8 @@ def companies(directory: DataFrame) -> DataFrame:
 
 def parse_announcements(landed: DataFrame, body: str = "value") -> DataFrame:
     """Landed JSON texts, one announcement each, to snake_case columns."""
-    parsed = landed.select(F.from_json(body, ANNOUNCEMENT_JSON).alias("a"))
+    # an array of one, exploded: merged projections would parse a text again for each column that is read
+    parsed = landed.select(F.explode(F.array(F.from_json(body, ANNOUNCEMENT_JSON))).alias("a"))
     return parsed.select(
         F.col("a.announcementTypes").alias("annoucement_types"),
         pluck(F.col("a.companies"), "symbolDisplay").alias("companies"),

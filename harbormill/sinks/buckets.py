@@ -11,32 +11,39 @@ import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from harbormill.session import remove_path, shared_dir
-from harbormill.sinks.versions import FORMAT, home_of, table_location
+from harbormill.sinks.versions import FORMAT, home_of, observed, table_location
 
 BUCKETS = 16  # fits a table of some gigabytes; choose a number that gives buckets of about one
 BUCKET, VERSION = "_bucket", "_version"
 VERSIONS = "harbormill.versions"  # property of the view: which version of which buckets it reads
 
 
+def buckets_to_see() -> Column:
+    """An aggregate to observe: at most one number a bucket."""
+    return F.collect_set(BUCKET).alias("buckets")
+
+
+def seen_buckets(seen: Observation) -> list[int]:
+    return sorted(observed(seen).get("buckets") or [])
+
+
 @dataclass(frozen=True)
 class Staged:
-    """Updates written once, by bucket, so that what is looked up and what is merged are the same rows."""
+    """Updates written once, so that what is looked up and what is merged are the same rows; the buckets are seen as they are written."""
 
     spark: SparkSession
     place: str
     schema: T.StructType
+    buckets: list[int]
 
     def rows(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(self.place)
 
-    def buckets(self) -> list[int]:
-        return sorted(r[BUCKET] for r in self.rows().select(BUCKET).distinct().collect())
-
     def remove(self) -> None:
         remove_path(self.spark, self.place)
 
@@ -69,8 +76,8 @@ class BucketStore:
         groups = [group.split("=") for group in text.split(";") if group]
         return {int(b): version for version, members in groups for b in members.split(",")}
 
-    def bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+    def with_bucket(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn(BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
 
     def fitted(self, rows: DataFrame) -> DataFrame:
         """Columns and types of the table, so that equal ids hash alike."""
@@ -80,10 +87,10 @@ class BucketStore:
         return rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in own])
 
     def stage(self, rows: DataFrame) -> Staged:
-        place = shared_dir(self.spark, "upsert")
-        with_bucket = rows.withColumn(BUCKET, self.bucket())
-        with_bucket.write.partitionBy(BUCKET).parquet(place)
-        return Staged(self.spark, place, with_bucket.schema)
+        place, seen = shared_dir(self.spark, "upsert"), Observation("staged")
+        with_bucket = self.with_bucket(rows)
+        with_bucket.observe(seen, buckets_to_see()).write.parquet(place)
+        return Staged(self.spark, place, with_bucket.schema, seen_buckets(seen))
 
     def _picked(self, buckets: Iterable[int]) -> str:
         """Condition on the partition columns for the versions that the view reads of some buckets."""
@@ -106,9 +113,10 @@ class BucketStore:
         )
 
     def write(self, rows: DataFrame) -> str:
-        """New versions of the buckets that the rows lie in. Adaptive execution splits large buckets over tasks and joins small ones."""
+        """New versions of the buckets that the rows lie in, one file each: ids are hashed, so buckets are of equal size."""
         version = uuid.uuid4().hex[:12]
-        dealt = rows.withColumn(VERSION, F.lit(version)).hint("rebalance", F.col(BUCKET))
+        tasks = min(self.buckets, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+        dealt = rows.withColumn(VERSION, F.lit(version)).repartition(tasks, BUCKET)
         dealt.write.mode("append").partitionBy(BUCKET, VERSION).format(FORMAT).save(self.home)
         return version
 

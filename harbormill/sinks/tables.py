@@ -15,7 +15,7 @@ from harbormill.models import Model
 from harbormill.operators.joins import renamed_keys, same_keys
 from harbormill.operators.windows import latest_by
 from harbormill.session import remove_path
-from harbormill.sinks.buckets import BUCKETS, BucketStore
+from harbormill.sinks.buckets import BUCKETS, BucketStore, buckets_to_see, seen_buckets
 from harbormill.sinks.versions import FORMAT, home_of, observed, publish_place, publish_version, write_version
 
 
@@ -96,19 +96,26 @@ def upsert_by_id(
     """
     store = BucketStore(updates.sparkSession, table, keys, location, buckets)
     changed = latest_by(store.fitted(updates), keys, [F.col(c) for c in order])
+    seen = Observation("upsert")
+    rows_and_buckets = (F.count(F.lit(1)).alias("rows"), buckets_to_see())
+    if not store.exists():
+        step("write")
+        rows = store.with_bucket(changed)
+        store.create(rows.schema)
+        version = store.write(rows.observe(seen, *rows_and_buckets))
+        step("switch")
+        store.switch(seen_buckets(seen), version)
+        return rows_seen(seen)
     step("stage")
     staged = store.stage(changed)
     try:
-        touched = staged.buckets()
-        if not touched and store.exists():
+        if not staged.buckets:
             return 0
         step("write")
-        if not store.exists():
-            store.create(staged.schema)
-        rows, seen = counted(merged_by_id(store.current(touched), staged.rows(), keys), "upsert")
-        version = store.write(rows)
+        merged = merged_by_id(store.current(staged.buckets), staged.rows(), keys)
+        version = store.write(merged.observe(seen, *rows_and_buckets))
         step("switch")
-        before = store.switch(touched, version)
+        before = store.switch(staged.buckets, version)
         step("remove")
         store.remove(before)
         return rows_seen(seen)
