@@ -238,8 +238,8 @@ def scorecard_procedure(spark, d):
 @workload(
     "crm_load",
     "E21 S01 K01",
-    f"""SELECT 'account' AS model, count(*) AS n, count(email_opt_in) AS opted FROM {ACCOUNT.sql}
-        UNION ALL SELECT 'activity', count(*), count(engagement_score) FROM {ACTIVITY.sql}""",
+    f"""SELECT 'account' AS model, account_id AS id, account_id, status AS text, npi AS number FROM {ACCOUNT.sql}
+        UNION ALL SELECT 'activity', activity_id, account_id, channel, engagement_score FROM {ACTIVITY.sql}""",
 )
 def crm_load(spark, d):
     base = shared_dir(spark, "crm")
@@ -250,15 +250,11 @@ def crm_load(spark, d):
     sink.provision_table(spark, catalog.ACCOUNT, accounts, account_path)
     sink.provision_table(spark, catalog.ACTIVITY, activities, activity_path)
     crm.load_crm(spark, f"{base}/account", f"{base}/activity", accounts, activities)
-    total = F.count(F.lit(1)).alias("n")
-    return (
-        spark.table(accounts)
-        .agg(total, F.count("email_opt_in").alias("opted"))
-        .withColumn("model", F.lit("account"))
-        .unionByName(
-            spark.table(activities).agg(total, F.count("engagement_score").alias("opted")).withColumn("model", F.lit("activity"))
-        )
-    )
+    number = F.col("npi").cast("bigint").alias("number")
+    loaded = spark.table(accounts).select(F.lit("account").alias("model"), F.col("account_id").alias("id"), "account_id", F.col("status").alias("text"), number)
+    score = F.col("engagement_score").cast("bigint").alias("number")
+    done = spark.table(activities).select(F.lit("activity").alias("model"), F.col("activity_id").alias("id"), "account_id", F.col("channel").alias("text"), score)
+    return loaded.unionByName(done)
 
 
 @workload(
@@ -274,7 +270,7 @@ def history_append(spark, d):
     return files.read_parquet(spark, path)
 
 
-DOCUMENTS_JSON_SQL = """SELECT doc_id, len(regexp_extract_all(text, '(?s).{{1,512}}')) AS chunks, left(text, 512) AS first_chunk
+DOCUMENTS_JSON_SQL = """SELECT doc_id, len(regexp_extract_all(text, '(?s).{{1,512}}')) AS chunks, left(text, 512) AS first_chunk, md5(text) AS all_chunks
         FROM {}"""
 
 
@@ -282,12 +278,18 @@ def _chunk_structs():
     return F.transform(stride_chunks(F.col("text")), lambda c: F.struct(c.alias("page_content")))
 
 
+def _chunk_contents(chunks):
+    """Their number, the first, and a digest of all of them in order, which together are the text."""
+    contents = F.transform(chunks, lambda c: c["page_content"])
+    return [F.size(chunks).alias("chunks"), F.get(contents, F.lit(0)).alias("first_chunk"), F.md5(F.array_join(contents, "")).alias("all_chunks")]
+
+
 @workload("documents_json", "K09 T05", DOCUMENTS_JSON_SQL.format("documents"))
 def documents_json(spark, d):
     path = shared_dir(spark, "documents")
     out.write_documents_json(table(spark, d, "documents"), "doc_id", _chunk_structs(), path)
     read = files.read_ndjson(spark, path, "doc_id bigint, chunks array<struct<page_content:string>>")
-    return read.select("doc_id", F.size("chunks").alias("chunks"), F.get("chunks", F.lit(0))["page_content"].alias("first_chunk"))
+    return read.select("doc_id", *_chunk_contents(F.col("chunks")))
 
 
 @workload(
@@ -300,7 +302,7 @@ def documents_json_folders(spark, d):
     rows = table(spark, d, "benchmark").withColumnRenamed("item_id", "doc_id")
     out.write_documents_json(rows, "doc_id", _chunk_structs(), path, folders=True)
     read = spark.read.text(path).withColumn("items", F.from_json("value", "array<struct<page_content:string>>"))
-    return read.select("doc_id", F.size("items").alias("chunks"), F.get("items", F.lit(0))["page_content"].alias("first_chunk"))
+    return read.select("doc_id", *_chunk_contents(F.col("items")))
 
 
 @workload(
