@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from harbormill.sources.json_arrays import variant_field
+
 NULL_TOKEN = "NULL"  # fixed value: written for null besides the empty text
 
 
@@ -84,18 +86,14 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType | str)
 
     Columns come out lower case. Of several spellings of a key in one record the first in the
     order of the keys counts; a value that does not fit its type is null. A file is parsed once, by
-    one task, and must fit a variant (128 MB); larger arrays belong in files with an object per line.
+    one task, and must fit a variant (128 MB), which suits many files of moderate size; ``json_arrays.read_json_arrays``
+    splits a file of any size.
     """
     wanted = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
     whole = spark.read.option("multiLine", True).option("singleVariantColumn", "v").json(path)
     each = whole.select(F.explode(F.expr("cast(v as array<map<string, variant>>)")).alias("m"))
 
-    def value(name: str) -> Column:
-        return F.get(F.filter(F.map_entries("m"), lambda e: F.lower(e["key"]) == name), F.lit(0))["value"]
-
-    names = [f.name.lower() for f in wanted.fields]
-    types = [f.dataType.simpleString() for f in wanted.fields]
-    return each.select(*[F.try_variant_get(value(n), "$", t).alias(n) for n, t in zip(names, types, strict=True)])
+    return each.select(*[variant_field(F.col("m"), f.name, f.dataType) for f in wanted.fields])
 
 
 def read_nested_json(

@@ -70,6 +70,7 @@ WHOLE_NUMBERS = {
     "model_inventory": "fields dimensions pii",
     "column_links": "hops",
     "json_array_files": "portfolioid",
+    "json_array_splits": "size",
     "slice_copy": "min_amount max_amount",
     "json_contract": "total bad",
     "batch_quality": "null_timestamp",

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,7 +23,7 @@ from harbormill.session import shared_dir
 from harbormill.sinks import files as out
 from harbormill.sinks import tables as sink
 from harbormill.sinks.publish import PublicationBlocked, publish_if_pass
-from harbormill.sources import files, tables
+from harbormill.sources import files, json_arrays, tables
 from workloads.documents import issues
 from workloads.inputs import ACCOUNT, ACTIVITY, FLAT_DEPOSITS, PAYMENTS
 from workloads.rates import C_DEPOSITS_SQL
@@ -134,6 +135,30 @@ def json_array_files(spark, d):
     return files.read_json_array(spark, path, "PortfolioId bigint, title string, size bigint")
 
 
+# Braces, brackets, quotes and backslashes that do not end a record.
+BRACED = ' }, {"[ \\" ]} '
+BRACED_SQL = "' }, {\"[ \\\" ]} '"
+
+
+@workload(
+    "json_array_splits",
+    "S06 U03",
+    f"SELECT doc_id, text || {BRACED_SQL} AS text, lang, coalesce(n_chars, 0) % 7 AS size FROM documents",
+)
+def json_array_splits(spark, d):
+    path = shared_dir(spark, "json-array")
+    docs = table(spark, d, "documents").select("doc_id", F.concat("text", F.lit(BRACED)).alias("Text"), F.col("lang").alias("LANG"), "n_chars")
+    nested = docs.withColumn("extra", F.struct(F.array(F.struct(F.col("doc_id").alias("a"))).alias("b")))
+    # one array per file of some 100,000 documents, written object by object and read in as many splits as it has
+    bucketed = nested.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(docs.count() // 100_000 + 1)))
+    order = Window.partitionBy("bucket").orderBy("doc_id")
+    value = F.to_json(F.struct("doc_id", "Text", "extra", "LANG", (F.coalesce("n_chars", F.lit(0)) % 7).alias("size")))
+    start = F.when(F.row_number().over(order) == 1, "[").otherwise(",")
+    end = F.when(F.lead(F.lit(1)).over(order).isNull(), "]").otherwise("")
+    bucketed.select("bucket", F.concat(start, value, end).alias("value")).write.partitionBy("bucket").text(path)
+    return json_arrays.read_json_arrays(spark, path, "doc_id bigint, text string, lang string, size bigint")
+
+
 @workload(
     "nested_json",
     "S07 F22",
