@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harbormill.functions.numeric import ratio
+from harbormill.operators.exact import exact_totals
 
 
 def count_where(condition: Column) -> Column:
@@ -29,7 +30,10 @@ SUM_SCALE = 8
 
 
 def exact_sum(c: Column, scale: int = SUM_SCALE) -> Column:
-    """Sum that does not depend on row order, as double; ``scale`` decimals of each value count."""
+    """Sum that does not depend on row order, as double, for values known to have ``scale`` decimals.
+
+    Further decimals are cut, and values of more than 30 whole digits fail; ``exact.exact_totals`` has neither limit.
+    """
     return F.sum(c.cast(f"decimal(38,{scale})")).cast("double")
 
 
@@ -52,11 +56,9 @@ def pivot_by_type(
 
 def pivot_mean(df: DataFrame, keys: Sequence[str], metric: str, value: str, metrics: Sequence[str]) -> DataFrame:
     """Long to wide; duplicates give their mean, rows without any value are dropped."""
-    wide = (
-        df.where(F.col(metric).isin(*metrics))
-        .groupBy(*keys)
-        .agg(*[exact_mean(F.when(F.col(metric) == m, F.col(value))).alias(m) for m in metrics])
-    )
+    listed = df.where(F.col(metric).isin(*metrics))
+    totals = exact_totals(listed, keys, {m: F.when(F.col(metric) == m, F.col(value)) for m in metrics})
+    wide = totals.select(*keys, *[F.try_divide(F.col(m), F.col(f"{m}_n").cast("double")).alias(m) for m in metrics])
     return wide.dropna(how="all", subset=list(metrics))
 
 
@@ -75,13 +77,11 @@ def year_end_last(df: DataFrame, key: str, date: str, value: str, one_per_date:
     return yearly.select(key, F.make_date("_year", F.lit(12), F.lit(31)).cast("timestamp_ntz").alias(date), value)
 
 
-def yearly_sum(df: DataFrame, key: str, date: str, value: str, scale: int = SUM_SCALE) -> DataFrame:
+def yearly_sum(df: DataFrame, key: str, date: str, value: str) -> DataFrame:
     """Sum per key and calendar year; nulls count as 0 and null keys are dropped."""
-    return (
-        df.where(F.col(key).isNotNull() & F.col(date).isNotNull())
-        .groupBy(key, F.year(date).alias("year"))
-        .agg(F.coalesce(exact_sum(F.col(value), scale), F.lit(0.0)).alias(value))
-    )
+    rows = df.where(F.col(key).isNotNull() & F.col(date).isNotNull()).select(key, F.year(date).alias("year"), F.col(value).alias("_v"))
+    totals = exact_totals(rows, [key, "year"], {"_total": F.col("_v")})
+    return totals.select(key, "year", F.coalesce("_total", F.lit(0.0)).alias(value))
 
 
 def tier_brackets(df: DataFrame, keys: Sequence[str], low: str, high: str) -> DataFrame:

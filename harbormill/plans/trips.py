@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harbormill.operators.aggregates import exact_mean
+from harbormill.operators import exact
 
 
 def trip_metrics(trips: DataFrame) -> DataFrame:
     """Trips (pickup_zip, fare) counted and averaged per zone; counts are bigint until published."""
-    return (
-        trips.where(F.col("pickup_zip").isNotNull())
-        .groupBy("pickup_zip")
-        .agg(F.count(F.lit(1)).alias("trip_count"), F.coalesce(exact_mean(F.col("fare")), F.lit(0.0)).alias("avg_fare"))
+    zones = trips.where(F.col("pickup_zip").isNotNull())
+    partial = zones.groupBy("pickup_zip", exact.band(F.col("fare")).alias("_b_fare")).agg(
+        F.count(F.lit(1)).alias("_trips"), *exact.partial_sums(F.col("fare"), "fare")
     )
+    mean = F.try_divide(exact.total_of("fare"), F.sum("_n_fare").cast("double"))
+    return partial.groupBy("pickup_zip").agg(F.sum("_trips").alias("trip_count"), F.coalesce(mean, F.lit(0.0)).alias("avg_fare"))
 
 
 def pipeline_summary(outcomes: DataFrame) -> DataFrame:

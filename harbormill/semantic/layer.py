@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from harbormill.models import Field, Model, Registry
-from harbormill.operators.aggregates import SUM_SCALE
+from harbormill.operators import exact
 from harbormill.operators.joins import one_row_per_key
 
 ALL_ROWS = "*"
@@ -136,13 +136,17 @@ class SemanticLayer:
         own = [d for d in dimensions if placed[d][0] is base]
         reached = [m for m in dict.fromkeys(model.name for model, _ in placed.values()) if m != base.name]
         keys = {name: base.joins[name] for name in reached}
+        summed = _summed_doubles(base, wanted)
         partial = rows.groupBy(
             *[self._shown(placed[d][1], allow_pii).alias(d) for d in own],
             *[F.col(k.name).alias(f"_key_{name}") for name, k in keys.items()],
+            *[exact.band(F.col(c)).alias(f"_b_{c}") for c in summed],
         ).agg(*_partials(base, wanted))
 
         for name, key in keys.items():
             partial = self._join_dimension(partial, name, key, dimensions, filters, placed, allow_pii)
+        if keys and summed:  # one row per band before the bands of a group are put together
+            partial = partial.groupBy(*dimensions, *[f"_b_{c}" for c in summed]).agg(*_merged(base, wanted))
         return partial.groupBy(*dimensions).agg(*_finals(base, wanted))
 
     def _shown(self, column: Field, allow_pii: bool) -> Column:
@@ -167,33 +171,49 @@ class SemanticLayer:
         return partial.join(parents, f"_key_{name}", "inner" if kept else "left")
 
 
-def _is_whole(base: Model, column: str) -> bool:
-    return isinstance(base.schema[column].dataType, (T.LongType, T.IntegerType))
+def _adds_exactly(base: Model, column: str) -> bool:
+    """Whole numbers and decimals; their own sums are exact."""
+    return isinstance(base.schema[column].dataType, (T.LongType, T.IntegerType, T.DecimalType))
+
+
+def _summed_doubles(base: Model, metrics: Sequence[Metric]) -> list[str]:
+    return list(dict.fromkeys(m.of for m in metrics if m.agg in ("sum", "avg") and not _adds_exactly(base, m.of)))
 
 
 def _partials(base: Model, metrics: Sequence[Metric]) -> list[Column]:
-    out: list[Column] = []
+    out = [a for c in _summed_doubles(base, metrics) for a in exact.partial_sums(F.col(c), c)]
     for m in metrics:
         if m.of == ALL_ROWS:
-            out.append(F.count(F.lit(1)).alias(f"_n_{m.name}"))
-            continue
-        c = F.col(m.of)
-        if m.agg in ("count", "avg"):
-            out.append(F.count(c).alias(f"_n_{m.name}"))
-        if m.agg in ("sum", "avg"):
-            exact = c if _is_whole(base, m.of) else c.cast(f"decimal(38,{SUM_SCALE})")
-            out.append(F.sum(exact).alias(f"_s_{m.name}"))
+            out.append(F.count(F.lit(1)).alias(f"_rows_{m.name}"))
+        elif m.agg == "count" or _adds_exactly(base, m.of):
+            out.append(F.count(m.of).alias(f"_rows_{m.name}"))
+        if m.agg in ("sum", "avg") and _adds_exactly(base, m.of):
+            out.append(F.sum(m.of).alias(f"_sum_{m.name}"))
+    return out
+
+
+def _merged(base: Model, metrics: Sequence[Metric]) -> list[Column]:
+    out = [a for c in _summed_doubles(base, metrics) for a in exact.merged_sums(c)]
+    for m in metrics:
+        if m.agg == "count" or _adds_exactly(base, m.of):
+            out.append(F.sum(f"_rows_{m.name}").alias(f"_rows_{m.name}"))
+        if m.agg in ("sum", "avg") and _adds_exactly(base, m.of):
+            out.append(F.sum(f"_sum_{m.name}").alias(f"_sum_{m.name}"))
     return out
 
 
 def _finals(base: Model, metrics: Sequence[Metric]) -> list[Column]:
     out: list[Column] = []
     for m in metrics:
-        total = F.sum(f"_s_{m.name}") if m.agg != "count" else None
         if m.agg == "count":
-            out.append(F.coalesce(F.sum(f"_n_{m.name}"), F.lit(0)).cast("bigint").alias(m.name))
-        elif m.agg == "sum":
-            out.append((total if _is_whole(base, m.of) else total.cast("double")).alias(m.name))
-        else:
-            out.append(F.try_divide(total.cast("double"), F.sum(f"_n_{m.name}").cast("double")).alias(m.name))
+            out.append(F.coalesce(F.sum(f"_rows_{m.name}"), F.lit(0)).cast("bigint").alias(m.name))
+            continue
+        own = _adds_exactly(base, m.of)
+        total = F.sum(f"_sum_{m.name}") if own else exact.total_of(m.of)
+        if m.agg == "avg":
+            n = F.sum(f"_rows_{m.name}" if own else f"_n_{m.of}")
+            total = F.try_divide(total.cast("double"), n.cast("double"))
+        elif isinstance(base.schema[m.of].dataType, T.DecimalType):
+            total = total.cast("double")
+        out.append(total.alias(m.name))
     return out

@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 
 from harbormill.models import Field, Model, Registry, catalog, dimension
-from harbormill.models.registry import upstream
+from harbormill.models.registry import join_to, primary_key, upstream
 from harbormill.semantic import Filter, Metric, MetricView, SemanticLayer
 from harbormill.semantic.crm import VIEWS
 
@@ -96,3 +96,23 @@ def test_upstream_follows_links(spark):
     assert ("activity.response", 1) in {
         (r["target"], r["hops"]) for r in upstream(edges, "account_coverage", "positive_rate").collect()
     }
+
+
+def test_sums_of_doubles_are_exact_through_a_join(spark):
+    sale = Model(
+        "sale",
+        "",
+        (
+            Field("shop", "string", role=join_to("shop", "shop")),
+            Field("amount", "double"),
+            Field("price", "decimal(20,2)"),
+        ),
+    )
+    shop = Model("shop", "", (Field("shop", "string", role=primary_key()), Field("town", "string", role=dimension())))
+    view = MetricView("sales", sale, (Metric("SUM", "sum", "amount"), Metric("MEAN", "avg", "amount"), Metric("PRICES", "sum", "price"), Metric("N", "count", "*")))
+    rows_of_sales = [("a", 1e31, "0.10"), ("b", 1e-12, "0.20"), ("a", -1e31, None), ("b", None, "999999999999999999.99"), ("c", 2.5, "1.00")]
+    sales = spark.createDataFrame(rows_of_sales, "shop string, amount double, p string").selectExpr("shop", "amount", "CAST(p AS DECIMAL(20,2)) AS price")
+    shops = spark.createDataFrame([("a", "x"), ("b", "x"), ("c", "y")], "shop string, town string")
+    layer = SemanticLayer(Registry().add(sale, shop), (view,), {"sale": sales.repartition(4), "shop": shops})
+    got = rows(layer.query(["SUM", "MEAN", "PRICES", "N"], ["town"]))
+    assert got == [("x", 1e-12, 1e-12 / 3, 1e18, 4), ("y", 2.5, 2.5, 1.0, 1)]

@@ -10,7 +10,7 @@ from harbormill.operators import aggregates, columns, joins, windows
 from harbormill.operators.asof import asof_join, asof_scan
 from harbormill.plans import finance
 from workloads.inputs import CASH_FLOWS, DIVIDENDS, HISTORY, STATEMENTS, StandIn, text
-from workloads.registry import stamp, table, workload
+from workloads.registry import stamp, table, whole_sum, workload
 
 YEAR_END = "make_date(year, 12, 31)"
 YEARLY_SQL = f"""SELECT symbol, year, {YEAR_END} AS date,
@@ -35,7 +35,7 @@ def _finite(c: str) -> str:
 
 def _exact_mean(condition: str) -> str:
     value = f"CASE WHEN {condition} THEN value END"
-    return f"(CAST(sum(CAST({value} AS DECIMAL(38,8))) AS DOUBLE) / nullif(count({value}), 0))"
+    return f"({whole_sum(value)} / nullif(count({value}), 0))"
 
 
 RETURNS_SQL = f"SELECT *, {_change('close', 'symbol', 'date')} AS annual_return FROM ({YEARLY_SQL})"

@@ -141,6 +141,11 @@ def half_even(num: str, den: str, scale: int) -> str:
     return f"(CASE WHEN ({den}) > 0 THEN sign({num}) * CAST({q} + {up} AS DOUBLE)/{p} END)"
 
 
+def whole_sum(value: str, scale: int = 20) -> str:
+    """Sum of the decimal numbers that doubles are written as, rounded to a double once; casts go by text, which is exact."""
+    return f"CAST(CAST(sum(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38,{scale}))) AS VARCHAR) AS DOUBLE)"
+
+
 def stamp(expr: str) -> str:
     return f"strftime({expr}, '%Y-%m-%d %H:%M:%S.%f')"
 

@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 from harbormill.functions import nested, numeric, temporal
 from harbormill.functions import text as texts
 from harbormill.lookups import queries as lookups
-from harbormill.operators import aggregates, columns, joins, ranking, sets, windows
+from harbormill.operators import aggregates, columns, exact, joins, ranking, sets, windows
 from harbormill.plans import trips
 from harbormill.sources.tables import sample_model
 from workloads.inputs import CASH_FLOWS, HISTORY, STATEMENTS
 from workloads.finance import GROWTH_SQL, SUSTAIN_SQL, growth_asof
 from workloads.finance import dividend_sustainability as sustainability
-from workloads.registry import half_even, half_up, stamp, table, workload
+from workloads.registry import half_even, half_up, stamp, table, whole_sum, workload
 
 # --- joins --------------------------------------------------------------------
 
@@ -178,6 +178,21 @@ def yearly_sum(spark, d):
     return aggregates.yearly_sum(rows, "symbol", "date", "value")
 
 
+TAXED = "l_extendedprice * (l_tax - CAST(0.04 AS DOUBLE)) / 7"
+SHARES = "l_tax / (l_extendedprice * 1000)"
+
+
+@workload(
+    "sums_of_doubles",
+    "A02 A11 M03",
+    f"""SELECT l_suppkey, {whole_sum(TAXED)} AS taxed, count({TAXED}) AS taxed_n, {whole_sum(SHARES, 34)} AS shares, count({SHARES}) AS shares_n
+        FROM lineitem GROUP BY 1""",
+)
+def sums_of_doubles(spark, d):
+    # values of 17 digits and both signs; shares of some 1e-10, whose digits reach beyond the 25th decimal
+    return exact.exact_totals(table(spark, d, "lineitem"), ["l_suppkey"], {"taxed": F.expr(TAXED), "shares": F.expr(SHARES)})
+
+
 @workload("value_set", "A15 U05", "SELECT DISTINCT p_type FROM part")
 def value_set(spark, d):
     return aggregates.value_set(table(spark, d, "part"), "p_type")
