@@ -25,14 +25,14 @@ def cost_per(total: Column, count: Column, scale: int = 2) -> Column:
     return ratio(total, count, scale)
 
 
-# Decimals that a sum of doubles keeps. A double of up to nine whole digits has no more.
-SUM_SCALE = 8
+# Decimals that a sum in one pass keeps: all 17 digits of a double from 1 on.
+SUM_SCALE = 16
 
 
 def exact_sum(c: Column, scale: int = SUM_SCALE) -> Column:
-    """Sum that does not depend on row order, as double, for values known to have ``scale`` decimals.
+    """Sum that does not depend on row order, as double, in the one pass of its group.
 
-    Further decimals are cut, and values of more than 30 whole digits fail; ``exact.exact_totals`` has neither limit.
+    Decimals beyond ``scale`` are rounded, and a sum of more than 22 whole digits fails; ``exact.exact_totals`` has neither limit.
     """
     return F.sum(c.cast(f"decimal(38,{scale})")).cast("double")
 
@@ -57,8 +57,8 @@ def pivot_by_type(
 def pivot_mean(df: DataFrame, keys: Sequence[str], metric: str, value: str, metrics: Sequence[str]) -> DataFrame:
     """Long to wide; duplicates give their mean, rows without any value are dropped."""
     listed = df.where(F.col(metric).isin(*metrics))
-    totals = exact_totals(listed, keys, {m: F.when(F.col(metric) == m, F.col(value)) for m in metrics})
-    wide = totals.select(*keys, *[F.try_divide(F.col(m), F.col(f"{m}_n").cast("double")).alias(m) for m in metrics])
+    # groups of a few rows each: one pass over decimals, rather than bands that are put together per group
+    wide = listed.groupBy(*keys).agg(*[exact_mean(F.when(F.col(metric) == m, F.col(value))).alias(m) for m in metrics])
     return wide.dropna(how="all", subset=list(metrics))
 
 

@@ -12,44 +12,54 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Decimal places per band. A number has at most 17 + 3 digits in units of its band, so 10^17 of them fit decimal(38).
-PLACES = 4
+# Decimal places per band. A number has at most 17 + 7 digits in units of its band, so 10^13 of them fit decimal(38).
+PLACES = 8
+SHORT = 4  # decimals of the numbers that are recognised by arithmetic alone
 WHOLE = "decimal(38,0)"
 NAN, PLUS, MINUS = 1, 2, 4  # bits of the values that are no numbers
 
 
-def _written(c: Column) -> tuple[Column, Column]:
-    """Digits of a finite double with its sign, and the place of the last of them as a power of ten."""
-    parts = F.split(c.cast("double").cast("string"), "E")
-    mantissa = F.get(parts, F.lit(0))
-    decimals = F.length(mantissa) - F.instr(mantissa, ".")
-    return F.replace(mantissa, F.lit("."), F.lit("")), F.coalesce(F.get(parts, F.lit(1)).cast("int"), F.lit(0)) - decimals
+def with_units(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
+    """Adds, for each value, its band ``_b_<name>``, its whole number of units ``_u_<name>`` and what it is if no number, ``_x_<name>``.
 
-
-def _no_number(c: Column) -> Column:
-    c = c.cast("double")
-    return F.when(F.isnan(c), NAN).when(c == float("inf"), PLUS).when(c == float("-inf"), MINUS).otherwise(0)
-
-
-def band(c: Column) -> Column:
-    """The band of a double; null for null and for what is no finite number."""
-    _, place = _written(c)
-    return F.when(_no_number(c) == 0, F.floor(place / PLACES).cast("int"))
+    Band and units are null for null and for what is no finite number. The steps are columns of their own, so that a number is spelled out once.
+    """
+    read = df.withColumns({f"_v_{n}": c.cast("double") for n, c in values.items()})
+    scaled = {n: F.rint(F.col(f"_v_{n}") * 10.0**SHORT) for n in values}
+    # the double nearest to a number of up to four decimals and 14 digits is written as that number
+    short = {n: (F.abs(s) < 1e14) & (s / 10.0**SHORT == F.col(f"_v_{n}")) for n, s in scaled.items()}
+    other = {n: F.when(F.isnan(f"_v_{n}"), NAN).when(F.col(f"_v_{n}") == float("inf"), PLUS).when(F.col(f"_v_{n}") == float("-inf"), MINUS) for n in values}
+    told = read.withColumns(
+        {f"_s_{n}": F.when(short[n], s.cast("bigint") * 10 ** (PLACES - SHORT)) for n, s in scaled.items()}
+        | {f"_x_{n}": F.coalesce(o, F.lit(0)) for n, o in other.items()}
+    )
+    spelled = told.withColumns(
+        {f"_t_{n}": F.when(F.col(f"_s_{n}").isNull() & (F.col(f"_x_{n}") == 0), F.col(f"_v_{n}").cast("string")) for n in values}
+    )
+    split = spelled.withColumns(
+        {f"_m_{n}": F.substring_index(f"_t_{n}", "E", 1) for n in values}
+        | {f"_e_{n}": F.when(F.contains(f"_t_{n}", F.lit("E")), F.substring_index(f"_t_{n}", "E", -1).cast("int")).otherwise(0) for n in values}
+    )
+    # place of the last digit as a power of ten
+    placed = split.withColumns({f"_p_{n}": F.col(f"_e_{n}") - F.length(f"_m_{n}") + F.instr(f"_m_{n}", ".") for n in values})
+    steps = [f"_{k}_{n}" for n in values for k in "vstmep"]
+    return placed.withColumns(
+        {f"_b_{n}": F.when(F.col(f"_s_{n}").isNotNull(), -1).otherwise(F.floor(F.col(f"_p_{n}") / PLACES).cast("int")) for n in values}
+        | {f"_u_{n}": F.coalesce(F.col(f"_s_{n}").cast(WHOLE), _padded(f"_m_{n}", f"_p_{n}")) for n in values}
+    ).drop(*steps)
 
 
-def units(c: Column) -> Column:
-    """A double as a whole number of units of its band."""
-    digits, place = _written(c)
-    padded = F.rpad(digits, F.length(digits) + F.pmod(place, F.lit(PLACES)), F.lit("0"))
-    return F.when(_no_number(c) == 0, padded.cast(WHOLE))
+def _padded(mantissa: str, place: str) -> Column:
+    digits = F.translate(mantissa, ".", "")
+    return F.rpad(digits, F.length(digits) + F.pmod(F.col(place), F.lit(PLACES)), F.lit("0")).cast(WHOLE)
 
 
-def partial_sums(c: Column, name: str) -> list[Column]:
-    """Aggregates for rows grouped by ``band(c)`` too; sums, sums and ``bit_or`` of them merge groups of one band."""
+def partial_sums(name: str) -> list[Column]:
+    """Aggregates for rows ``with_units`` grouped by ``_b_<name>`` too."""
     return [
-        F.sum(units(c)).alias(f"_u_{name}"),
-        F.count(c).alias(f"_n_{name}"),
-        F.bit_or(F.coalesce(_no_number(c), F.lit(0))).alias(f"_x_{name}"),
+        F.sum(f"_u_{name}").alias(f"_u_{name}"),
+        (F.count(f"_u_{name}") + F.count(F.nullif(F.col(f"_x_{name}"), F.lit(0)))).alias(f"_n_{name}"),
+        F.bit_or(f"_x_{name}").alias(f"_x_{name}"),
     ]
 
 
@@ -95,7 +105,12 @@ def total_of(name: str) -> Column:
     entries = F.collect_list(F.when(F.col(f"_u_{name}").isNotNull(), entry))
     odd = F.bit_or(f"_x_{name}")
     plain, negated = _carried(entries, 1), _carried(entries, -1)
-    number = F.when(plain["above"] < 0, _as_double(negated, "-")).otherwise(_as_double(plain, ""))
+    one_band = F.concat(F.sum(f"_u_{name}").cast("string"), F.lit("E"), (F.min(f"_b_{name}") * PLACES).cast("string")).cast("double")
+    number = (
+        F.when(F.min(f"_b_{name}") == F.max(f"_b_{name}"), one_band)
+        .when(plain["above"] < 0, _as_double(negated, "-"))
+        .otherwise(_as_double(plain, ""))
+    )
     return (
         F.when((odd.bitwiseAND(NAN) > 0) | (odd.bitwiseAND(PLUS | MINUS) == (PLUS | MINUS)), F.lit(float("nan")))
         .when(odd.bitwiseAND(PLUS) > 0, F.lit(float("inf")))
@@ -109,10 +124,7 @@ def exact_totals(df: DataFrame, keys: Sequence[str], values: Mapping[str, Column
 
     Rows are folded by key and band on the map side, so a hot key is no hot task.
     """
-    bands = {f"_b_{n}": band(c) for n, c in values.items()}
-    partial = df.groupBy(*keys, *[c.alias(n) for n, c in bands.items()]).agg(
-        *[a for n, c in values.items() for a in partial_sums(c, n)]
-    )
+    partial = with_units(df, values).groupBy(*keys, *[f"_b_{n}" for n in values]).agg(*[a for n in values for a in partial_sums(n)])
     return partial.groupBy(*keys).agg(
         *[a for n in values for a in (total_of(n).alias(n), F.coalesce(F.sum(f"_n_{n}"), F.lit(0)).alias(f"{n}_n"))]
     )

@@ -10,10 +10,8 @@ from harbormill.operators import exact
 
 def trip_metrics(trips: DataFrame) -> DataFrame:
     """Trips (pickup_zip, fare) counted and averaged per zone; counts are bigint until published."""
-    zones = trips.where(F.col("pickup_zip").isNotNull())
-    partial = zones.groupBy("pickup_zip", exact.band(F.col("fare")).alias("_b_fare")).agg(
-        F.count(F.lit(1)).alias("_trips"), *exact.partial_sums(F.col("fare"), "fare")
-    )
+    zones = exact.with_units(trips.where(F.col("pickup_zip").isNotNull()), {"fare": F.col("fare")})
+    partial = zones.groupBy("pickup_zip", "_b_fare").agg(F.count(F.lit(1)).alias("_trips"), *exact.partial_sums("fare"))
     mean = F.try_divide(exact.total_of("fare"), F.sum("_n_fare").cast("double"))
     return partial.groupBy("pickup_zip").agg(F.sum("_trips").alias("trip_count"), F.coalesce(mean, F.lit(0.0)).alias("avg_fare"))
 

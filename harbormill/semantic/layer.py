@@ -137,10 +137,10 @@ class SemanticLayer:
         reached = [m for m in dict.fromkeys(model.name for model, _ in placed.values()) if m != base.name]
         keys = {name: base.joins[name] for name in reached}
         summed = _summed_doubles(base, wanted)
-        partial = rows.groupBy(
+        partial = exact.with_units(rows, {c: F.col(c) for c in summed}).groupBy(
             *[self._shown(placed[d][1], allow_pii).alias(d) for d in own],
             *[F.col(k.name).alias(f"_key_{name}") for name, k in keys.items()],
-            *[exact.band(F.col(c)).alias(f"_b_{c}") for c in summed],
+            *[f"_b_{c}" for c in summed],
         ).agg(*_partials(base, wanted))
 
         for name, key in keys.items():
@@ -181,7 +181,7 @@ def _summed_doubles(base: Model, metrics: Sequence[Metric]) -> list[str]:
 
 
 def _partials(base: Model, metrics: Sequence[Metric]) -> list[Column]:
-    out = [a for c in _summed_doubles(base, metrics) for a in exact.partial_sums(F.col(c), c)]
+    out = [a for c in _summed_doubles(base, metrics) for a in exact.partial_sums(c)]
     for m in metrics:
         if m.of == ALL_ROWS:
             out.append(F.count(F.lit(1)).alias(f"_rows_{m.name}"))
