@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 
 from harbormill.models import Field, Model, Registry, catalog, dimension
+from harbormill.models.measure import measured_fields
 from harbormill.models.registry import join_to, primary_key, upstream
 from harbormill.semantic import Filter, Metric, MetricView, SemanticLayer
 from harbormill.semantic.crm import VIEWS
@@ -116,3 +117,16 @@ def test_sums_of_doubles_are_exact_through_a_join(spark):
     layer = SemanticLayer(Registry().add(sale, shop), (view,), {"sale": sales.repartition(4), "shop": shops})
     got = rows(layer.query(["SUM", "MEAN", "PRICES", "N"], ["town"]))
     assert got == [("x", 1e-12, 1e-12 / 3, 1e18, 4), ("y", 2.5, 2.5, 1.0, 1)]
+
+
+def test_models_are_measured_against_rows(spark):
+    model = Model("m", "", (Field("id", "bigint", role=primary_key()), Field("day", "date"), Field("gone", "string"), Field("ok", "double")))
+    landed = spark.createDataFrame([("1", "2024-02-30", 1.0), ("x", "2024-02-29", None), (None, None, 2.0)], "ID string, day string, ok double")
+    got = [tuple(r) for r in measured_fields(landed, model).collect()]
+    assert got == [
+        ("id", "bigint", "primary_key", True, 3, 1, 1),
+        ("day", "date", "base", True, 3, 1, 1),
+        ("gone", "string", "base", False, 3, 3, 0),
+        ("ok", "double", "base", True, 3, 1, 0),
+    ]
+    assert {r.total + r.nulls + r.unfit for r in measured_fields(landed.limit(0), model).collect()} == {0}

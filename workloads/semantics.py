@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from harbormill.models.catalog import REGISTRY
+from harbormill.models.measure import measured_fields
 from harbormill.models.registry import upstream
 from harbormill.semantic import Filter, SemanticLayer
 from harbormill.semantic.crm import VIEWS
@@ -103,6 +104,33 @@ def model_inventory(spark, d):
     return fields.withColumns({"model": listed, "row_count": rows})
 
 
+# The declared types and roles of an account that are not text dimensions.
+ACCOUNT_TYPES = dict.fromkeys(("npi", "prescribing_decile", "potential_value_usd", "actual_value_usd"), "bigint") | {"email_opt_in": "boolean"}
+ACCOUNT_ROLES = {"account_id": "primary_key"} | dict.fromkeys(
+    ("first_name", "last_name", "hco_name", "potential_value_usd", "actual_value_usd", "email_opt_in"), "base"
+)
+# Values that were spoilt when the accounts were landed, and the column that was left out.
+SPOILT = {"npi": "npi = 19", "email_opt_in": "status = 'Inactive'", "prescribing_decile": "prescribing_decile = 7"}
+LEFT_OUT = "city"
+
+
+def _field_sql(name: str) -> str:
+    there = "false" if name == LEFT_OUT else "true"
+    spoilt = SPOILT.get(name, "false")
+    empty = "true" if name == LEFT_OUT else f'"{name}" IS NULL AND NOT coalesce({spoilt}, false)'
+    return f"""SELECT '{name}' AS field, '{ACCOUNT_TYPES.get(name, "string")}' AS type, '{ACCOUNT_ROLES.get(name, "dimension")}' AS role,
+        {there} AS present, count(*) AS total, count(*) FILTER ({empty}) AS nulls, count(*) FILTER ({spoilt}) AS unfit FROM {ACCOUNT.sql}"""
+
+
+@workload("model_fit", "M01 M02", " UNION ALL ".join(_field_sql(n) for n in ACCOUNT.columns))
+def model_fit(spark, d):
+    """Every field of the declared model beside what the rows of a landed table hold for it."""
+    accounts = ACCOUNT.df(spark, d)
+    landed = {n: F.when(F.expr(SPOILT[n]), "n/a").otherwise(F.col(n).cast("string")) if n in SPOILT else F.col(n).cast("string") for n in ACCOUNT.columns}
+    rows = accounts.select(*[c.alias(n.upper() if n == "npi" else n) for n, c in landed.items() if n != LEFT_OUT])
+    return measured_fields(rows, REGISTRY["account"])
+
+
 @workload(
     "column_links",
     "M09",
