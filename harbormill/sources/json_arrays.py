@@ -18,9 +18,9 @@ def _fragments(spark: SparkSession, path: str) -> DataFrame:
     ).repartition("file", "split")  # all windows and both summaries below read this one exchange
 
 
-def _change(bare: Column, ends_outside: Column) -> Column:
+def _change(marks: Column, ends_outside: Column) -> Column:
     """Change of the nesting depth by a fragment that starts outside a string, with the brace that ends it."""
-    outside = F.regexp_replace(bare, '"[^"]*("|\\z)', "")
+    outside = F.regexp_replace(marks, '"[^"]*("|\\z)', "")
     opened = F.length(outside) - F.length(F.translate(outside, "[{", ""))
     closed = F.length(outside) - F.length(F.translate(outside, "]", ""))
     return (opened - closed - F.when(ends_outside, 1).otherwise(0)).cast("long")
@@ -31,17 +31,19 @@ def _scanned(fragments: DataFrame) -> DataFrame:
     order = Window.partitionBy("file", "split").orderBy("at")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    bare = F.regexp_replace("value", r"(?s)\\.", "")  # without escaped characters
-    counted = fragments.withColumn("bare", bare).withColumn("quotes", F.length("bare") - F.length(F.translate("bare", '"', "")))
+    # quotes and opening or closing marks, without escaped characters: two passes over a text, the rest reads little
+    bare = F.when(F.contains("value", F.lit("\\")), F.regexp_replace("value", r"(?s)\\.", "")).otherwise(F.col("value"))
+    marked = fragments.withColumn("marks", F.regexp_replace(bare, r'[^"\[\]{]+', ""))
+    counted = marked.withColumn("quotes", F.length("marks") - F.length(F.translate("marks", '"', "")))
     even = F.col("quotes") % 2 == 0
     told = counted.withColumns(
         {
-            "from_outside": _change(F.col("bare"), even),
+            "from_outside": _change(F.col("marks"), even),
             "from_inside": F.when(F.col("quotes") == 0, F.lit(0)).otherwise(
-                _change(F.regexp_replace("bare", '^[^"]*"', ""), ~even)
+                _change(F.regexp_replace("marks", '^[^"]*"', ""), ~even)
             ),
         }
-    ).drop("bare")
+    ).drop("marks")
     # strings that are open where the fragment starts, counted from the start of its split
     turned = told.withColumn("turned", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 1)
     same, other = F.col("from_outside"), F.col("from_inside")
