@@ -80,23 +80,62 @@ def _scores(rows: np.ndarray, units: np.ndarray) -> np.ndarray:
     return total / np.sqrt(square)
 
 
+# Of the blocks that a task multiplies: numbers in the largest ones, and scores held at once; and so many blocks of either side are
+# made before blocks get larger.
+BLOCK_NUMBERS, QUERY_NUMBERS, SCORES = 1 << 20, 1 << 18, 1 << 22
+BLOCKS = 8
+
+
+def blocks_of(rows: int, width: int, least: int, numbers: int) -> int:
+    """How many blocks the rows are dealt into: of ``least`` rows while there are few, of more in larger tables, up to ``numbers`` in a block."""
+    size = min(max(least, math.ceil(rows / BLOCKS)), max(least, numbers // max(1, width)))
+    return max(1, math.ceil(rows / size))
+
+
 def _nearest_in_cell(k: int) -> Callable:
-    """The best ``k`` rows of a block of vectors for each query of a block of queries, ties at the end all kept."""
+    """The best ``k`` rows of a block of vectors for each query of a block of queries, ties by the row's key."""
 
     def run(block: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         if block.empty or asked.empty:
             return pd.DataFrame({"_query": [], "_row": [], "_score": []})
-        rows = np.stack(block["_vector"].to_numpy()).astype(np.float64)
+        block = block.sort_values("_id", kind="stable")
+        given = np.stack(block["_vector"].to_numpy()).astype(np.float64)
+        # copies have equal scores, so the k of least key are enough
+        copy_of, _ = pd.factorize(np.array([v.tobytes() for v in given], dtype=object))
+        by_copy = np.argsort(copy_of, kind="stable")
+        first = np.concatenate([[0], np.cumsum(np.bincount(copy_of))])
+        copies = np.minimum(np.diff(first), k)
+        rows = given[by_copy[first[:-1]]]
         wanted = np.stack(asked["_vector"].to_numpy()).astype(np.float64)
         lengths = np.sqrt(np.cumsum(wanted * wanted, axis=1)[:, -1])
         units = wanted / lengths[:, None]
-        near = units @ (rows / np.linalg.norm(rows, axis=1, keepdims=True)).T
-        if k < near.shape[1]:
-            least = np.partition(near, near.shape[1] - k, axis=1)[:, near.shape[1] - k]
-        else:
-            least = np.full(len(near), -2.0)
-        q, r = np.nonzero(near >= least[:, None] - 1e-9)  # the product rounds otherwise than the sums below
-        return pd.DataFrame({"_query": asked["_id"].to_numpy()[q], "_row": block["_id"].to_numpy()[r], "_score": _scores(rows[r], units[q])})
+        across = (rows / np.linalg.norm(rows, axis=1, keepdims=True)).T
+        queries, places, scores = [], [], []
+        step, at_once = max(1, SCORES // len(rows)), max(1, SCORES // rows.shape[1])
+        for at in range(0, len(units), step):
+            near = units[at : at + step] @ across
+            if k < near.shape[1]:
+                least = np.partition(near, near.shape[1] - k, axis=1)[:, near.shape[1] - k]
+            else:
+                least = np.full(len(near), -2.0)
+            q, r = np.nonzero(near >= least[:, None] - 1e-9)  # the product rounds otherwise than the sums below
+            q += at
+            score = np.concatenate([_scores(rows[r[i : i + at_once]], units[q[i : i + at_once]]) for i in range(0, max(1, len(r)), at_once)])
+            # the k best with their copies hold the k best rows
+            order = np.lexsort((-score, q))
+            q, r, score = q[order], r[order], score[order]
+            kth = score[np.minimum(np.searchsorted(q, q) + k, np.searchsorted(q, q, "right")) - 1]
+            q, r, score = (x[score >= kth] for x in (q, r, score))
+            n = copies[r]
+            nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            q, score, place = np.repeat(q, n), np.repeat(score, n), by_copy[np.repeat(first[r], n) + nth]
+            order = np.lexsort((place, -score, q))
+            best = order[np.arange(len(order)) - np.searchsorted(q, q) < k]
+            queries.append(q[best])
+            places.append(place[best])
+            scores.append(score[best])
+        ids = block["_id"].to_numpy()[np.concatenate(places)]
+        return pd.DataFrame({"_query": asked["_id"].to_numpy()[np.concatenate(queries)], "_row": ids, "_score": np.concatenate(scores)})
 
     return run
 
@@ -114,7 +153,9 @@ def top_k_many(
     """``query_key``, ``key``, rank and score of the ``k`` most similar rows of every query, in one job; the same scores as ``top_k``.
 
     Vectors and queries are dealt into blocks, and a task multiplies one block of each, so it holds some megabytes however many
-    there are. It sends the best ``k`` of its block for each query; ranks are then taken over these. Ties go by ``key``. Null, empty and zero
+    there are. ``block_rows`` and ``query_rows`` are the least sizes: every block travels once for each of the other side, so those of
+    larger tables are larger, up to a fixed number of numbers. A task sends the best ``k`` of its block for each query; ranks are
+    then taken over these. Ties go by ``key``. Null, empty and zero
     vectors, and rows of another width than the query, are not found. The keys tell rows and queries apart; both are not null.
     """
 
@@ -124,9 +165,13 @@ def top_k_many(
         finite = F.forall("_vector", lambda x: x.isNotNull() & (F.abs(x) < float("inf")) & ~F.isnan(x)) & F.exists("_vector", lambda x: x != 0)
         return given.where(F.col("_id").isNotNull() & F.col("_vector").isNotNull() & finite).withColumn("_width", F.size("_vector"))
 
+    def number_of_blocks(df: DataFrame, least: int, numbers: int) -> int:
+        seen = df.agg(F.count(F.lit(1)).alias("n"), F.max("_width").alias("width")).first()
+        return blocks_of(seen["n"], seen["width"] or 1, least, numbers)
+
     rows, asked = usable(vectors, key), usable(queries, query_key)
-    blocks = max(1, math.ceil(vectors.count() / block_rows))
-    query_blocks = max(1, math.ceil(queries.count() / query_rows))
+    blocks = number_of_blocks(rows, block_rows, BLOCK_NUMBERS)
+    query_blocks = number_of_blocks(asked, query_rows, QUERY_NUMBERS)
     block = F.pmod(F.xxhash64("_id"), F.lit(blocks)).cast("int").alias("_block")
     query_block = F.pmod(F.xxhash64("_id"), F.lit(query_blocks)).cast("int").alias("_query_block")
     left = rows.select("*", block, F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("_query_block"))

@@ -5,6 +5,8 @@ import random
 import uuid
 from decimal import Decimal
 
+import numpy as np
+import pandas as pd
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -572,3 +574,26 @@ def test_many_queries_give_what_each_gives_alone(spark):
         assert sorted(got[q]) == [(n, x["id"], x["score"]) for n, x in enumerate(alone, 1)]
     assert vectorsearch.top_k_many(rows_, queries.limit(0), 3, "id", "q").count() == 0
     assert vectorsearch.top_k_many(rows_.limit(0), queries, 3, "id", "q").count() == 0
+
+
+def test_blocks_grow_with_the_table_and_send_the_best_rows_only():
+    # 360 times the small table: each vector used to travel 10,000 times, each query 3,600 times
+    assert vectorsearch.blocks_of(72_360, 64, 7, vectorsearch.QUERY_NUMBERS) <= 20
+    assert vectorsearch.blocks_of(720_000, 64, 200, vectorsearch.BLOCK_NUMBERS) <= 50
+    assert vectorsearch.blocks_of(120, 6, 25, vectorsearch.BLOCK_NUMBERS) == 5 and vectorsearch.blocks_of(0, 1, 7, 1) == 1
+    # a block holds no more of wide vectors than of narrow ones
+    assert vectorsearch.blocks_of(720_000, 1536, 200, vectorsearch.BLOCK_NUMBERS) * vectorsearch.BLOCK_NUMBERS >= 720_000 * 1536
+    # equal vectors, as from copies, and vectors that are equal but for their length
+    block = pd.DataFrame({"_id": range(400), "_vector": [[1.0, 2.0]] * 200 + [[n + 1.0, 2 * n + 2.0] for n in range(100)] + [[1.0, float(n)] for n in range(100)]})
+    block = block.sample(frac=1, random_state=3)
+    asked = pd.DataFrame({"_id": [7, 8], "_vector": [[2.0, 4.0], [1.0, 90.0]]})
+    found = vectorsearch._nearest_in_cell(3)(block, asked)
+    assert len(found) == 6
+    assert sorted(found["_row"][found["_query"] == 8]) == [389, 390, 391]
+    assert list(found["_row"][found["_query"] == 7]) == _best_by_one(block, [2.0, 4.0], 3)
+
+
+def _best_by_one(block, query, k):
+    unit = np.array(query) / np.sqrt(sum(x * x for x in query))
+    score = [(-(v[0] * unit[0] + v[1] * unit[1]) / np.sqrt(v[0] * v[0] + v[1] * v[1]), n) for n, v in zip(block["_id"], block["_vector"])]
+    return [n for _, n in sorted(score)[:k]]
