@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from harbormill.functions.markup import Page
 from harbormill.functions.numeric import price_or_null
 from harbormill.functions.text import last_segment
+from harbormill.operators.columns import spread
 from harbormill.operators.windows import latest_by
 
 # Where the parts of a product card and of a product page are found.
@@ -43,7 +44,8 @@ def from_pages(pages: DataFrame, html: str, fields: Mapping[str, str], read: Cal
             arrays = [pa.array(list(c), types[kind]) for c, kind in zip(columns, fields.values(), strict=True)]
             yield pa.RecordBatch.from_arrays([*[batch.column(f.name).take(at) for f in others], *arrays], [*[f.name for f in others], *fields])
 
-    return pages.select(html, *[f.name for f in others]).mapInArrow(run, T.StructType([*others, *added.fields]))
+    # a page takes longer to scan than to send, and small files hold many pages
+    return spread(pages.select(html, *[f.name for f in others])).mapInArrow(run, T.StructType([*others, *added.fields]))
 
 
 def _cards(page: Page) -> Iterator[tuple]:

@@ -597,3 +597,12 @@ def _best_by_one(block, query, k):
     unit = np.array(query) / np.sqrt(sum(x * x for x in query))
     score = [(-(v[0] * unit[0] + v[1] * unit[1]) / np.sqrt(v[0] * v[0] + v[1] * v[1]), n) for n, v in zip(block["_id"], block["_vector"])]
     return [n for _, n in sorted(score)[:k]]
+
+
+def test_slow_work_on_rows_of_one_file_is_dealt_over_all_cores(spark, tmp_path, tokenizer_file):
+    spark.range(400).select("id", F.lit('<a href="x">t</a>').alias("html"), F.lit("a text").alias("text")).coalesce(1).write.parquet(f"{tmp_path}/one")
+    landed = spark.read.parquet(f"{tmp_path}/one")
+    chunks = documents.bounded_chunks(landed.select("id", "text"), "text", tokenizer_file, 31)
+    for found in (html.links(landed.select("id", "html")), chunks):
+        per_task = [r["n"] for r in found.groupBy(F.spark_partition_id().alias("task")).agg(F.count_distinct("id").alias("n")).collect()]
+        assert sum(per_task) == 400 and len(per_task) > spark.sparkContext.defaultParallelism and max(per_task) < 100
