@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from harbormill.functions.ids import uuid5
 from harbormill.functions.text import join_nonblank, last_segment, strip
 from harbormill.functions.workers import kept_in_worker
+from harbormill.operators.columns import spread
 
 # Chunk width and overlap in characters, chunk width in tokens,
 # and the separators tried from coarse to fine.
@@ -217,7 +218,8 @@ def bounded_chunks(df: DataFrame, text: str, tokenizer: str, budget: int = CHUNK
         return texts.map(lambda t: [{"start": s, "end": e, "tokens": n} for s, e, n in _bounded_spans(t or "", coder, budget)])
 
     others = [F.col(f"`{c}`") for c in df.columns if c != text]
-    found = df.select(text, *others, F.posexplode(spans(F.col(text))).alias(ordinal, "_span"))
+    # a text takes longer to encode than to send, and one file may hold very many
+    found = spread(df).select(text, *others, F.posexplode(spans(F.col(text))).alias(ordinal, "_span"))
     piece = F.substring(F.col(text), F.col("_span.start") + 1, F.col("_span.end") - F.col("_span.start"))
     return found.select(*others, ordinal, piece.alias(content), "_span.start", "_span.end", "_span.tokens")
 
