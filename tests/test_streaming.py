@@ -11,6 +11,8 @@ from harbormill.session import shared_dir
 from harbormill.streaming import jobs
 from harbormill.streaming.sources import file_stream, rate_stream
 
+HDFS_STATE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"  # Spark's own choice
+
 
 def test_rate_source_fits_the_output_model(spark):
     stream = rate_stream(spark, 5)
@@ -174,3 +176,23 @@ def test_density_counts_late_and_replayed_payments_once(spark):
     query.awaitTermination()
     got = {r["market_type"]: r["transaction_count"] for r in spark.table(f"{name}_w").collect()}
     assert got["tech"] == 1 and got["food"] in (2, 3)
+
+
+def test_density_state_is_on_disk_and_in_two_partitions_a_core_at_most(spark):
+    base, name = shared_dir(spark, "density"), f"t_{uuid.uuid4().hex}"
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    most = 2 * spark.sparkContext.defaultParallelism
+    ddl = "id long, category string, fraud string"
+    spark.conf.set("spark.sql.shuffle.partitions", str(most + 3))
+    try:
+        for n in (1, 2):  # the second run goes on with the state of the first
+            spark.createDataFrame([(n, "'es_food'", "1"), (1, "'es_food'", "1")], ddl).write.mode("append").parquet(f"{base}/in")
+            stream = file_stream(spark, f"{base}/in", ddl)
+            jobs.start_density_stream(stream, name, f"{base}/checkpoint", None, f"{base}/table", "id").awaitTermination()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(most + 3)
+        assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == HDFS_STATE
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert rows(spark.table(name).select("market_type", "transaction_count")) == [("food", 2)]
+    kept = spark.read.text(f"{base}/checkpoint/offsets/1").collect()[1]["value"]
+    assert "RocksDBStateStoreProvider" in kept and f'"spark.sql.shuffle.partitions":"{most}"' in kept
