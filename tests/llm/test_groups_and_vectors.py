@@ -277,6 +277,33 @@ def test_recall_of_lines_at_the_threshold(spark):
     assert gone <= alike and len(gone) >= 0.95 * len(alike) and 100 < len(alike) < 390
 
 
+def test_family_of_lines_below_the_threshold(spark, monkeypatch):
+    """Lines edited in several places, most pairs of them at 0.6 to 0.75: few pairs are compared, no link of the family is lost."""
+    base = sentence(31, 90)
+    family = []
+    for n in range(150):
+        r = random.Random(n)
+        line = base
+        for _ in range(2):
+            at = r.randrange(len(line) - 10)
+            line = line[:at] + "".join(r.choice("abcdefgh") for _ in range(3)) + line[at + 3 :]
+        family.append(line)
+    compared = []
+    similar = lines.similar_pairs
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return similar(pairs, *rest)
+
+    monkeypatch.setattr(lines, "similar_pairs", counted)
+    docs = list(enumerate(family))
+    rows = lines.repeated_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    sets = [brute_shingles(x, 24) for x in family]
+    near = [len(a & b) / len(a | b) for a, b in itertools.combinations(sets, 2)]
+    check_lines(docs, rows)
+    assert sum(0.6 <= x < 0.75 for x in near) > 10_000 and sum(compared) < 4_000
+
+
 # --- vectors ---
 
 
