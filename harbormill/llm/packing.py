@@ -5,7 +5,7 @@ from __future__ import annotations
 import heapq
 import unicodedata
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,6 +19,7 @@ PIECE = 512  # a document is cut into pieces of at most so many ids
 GROUP_WINDOWS = 64  # ids are gathered for so many windows, then packed
 SLACK = 8  # ids a window that a group leaves free, so that nearly equal windows fit
 MEMO_WORDS = 500_000
+LATIN_END = "\u0250"  # letters below it that normalisation leaves alone make one word
 
 SCHEMA = T.StructType(
     [
@@ -79,6 +80,25 @@ def windows_of(sizes: list[int], capacity: int) -> list[list[int]]:
         k += 1
 
 
+_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_LETTERS = {b: 0x100 + n for n, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+
+
+def _byte_letters(word: str) -> str:
+    """The letters that byte-level tokenizers have for the UTF-8 bytes of a word."""
+    return word.encode().decode("latin-1").translate(_LETTERS)
+
+
+class _Memo(dict):
+    """Ids by chunk; ``missing`` finds and may keep those of a chunk that is not there."""
+
+    def __init__(self, missing: Callable[[str], bytes]):
+        self.__missing = missing
+
+    def __missing__(self, chunk: str) -> bytes:
+        return self.__missing(chunk)
+
+
 class WordCoder:
     """Ids of whole texts by a word tokenizer, white space being dropped.
 
@@ -94,11 +114,15 @@ class WordCoder:
         self.tokenizer = Tokenizer.from_file(path)
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.marks = tuple({t[:2] for t in added})  # a chunk without these holds no special token
-        self.memo: dict[str, bytes] = {}
+        self.memo = _Memo(self._found)
         self.older: dict[str, bytes] = {}  # the memo before: words in use move on from it
         self.bound = bound
         self.plain: dict[str, bool] = {}  # letters that normalisation leaves as one letter
         self._check()
+        # whether words of Latin letters beyond ASCII need no more than this
+        sample = "Éœuvreßñğž"
+        letters = [t.id for t in self.tokenizer.model.tokenize(_byte_letters(sample.lower()))]
+        self.latin = self.tokenizer.encode(sample, add_special_tokens=False).ids == letters
 
     def _check(self) -> None:
         """What the shortcuts below rely on: lower case, words of letters, marks and white space that part them."""
@@ -121,34 +145,35 @@ class WordCoder:
         tok = self.tokenizer
         if chunk.isascii() and chunk.isalpha():
             return array("I", [t.id for t in tok.model.tokenize(chunk.lower())]).tobytes()
+        if self.latin and chunk and max(chunk) < LATIN_END and all(map(self._plain_letter, chunk)):
+            return array("I", [t.id for t in tok.model.tokenize(_byte_letters(chunk.lower()))]).tobytes()
         if any(m in chunk for m in self.marks):
             return array("I", tok.encode(chunk, add_special_tokens=False).ids).tobytes()
         words = tok.pre_tokenizer.pre_tokenize_str(tok.normalizer.normalize_str(chunk))
         return array("I", [t.id for word, _ in words for t in tok.model.tokenize(word)]).tobytes()
 
-    def of(self, chunk: str) -> bytes:
-        ids = self.memo.get(chunk)
-        if ids is not None:
-            return ids
-        if len(chunk) > 1 and chunk[-1] in ",." and self._plain_letter(chunk[-2]):  # the mark is a word of its own
-            return self.of(chunk[:-1]) + self.of(chunk[-1])
+    def _found(self, chunk: str) -> bytes:
+        if chunk in self.memo:  # which has changed since the caller took it
+            return self.memo[chunk]
         ids = self.older.get(chunk)
         if ids is None:
-            ids = self._coded(chunk)
+            if len(chunk) > 1 and chunk[-1] in ",." and self._plain_letter(chunk[-2]):  # the mark is a word of its own
+                ids = self.of(chunk[:-1]) + self.of(chunk[-1])
+            else:
+                ids = self._coded(chunk)
         if len(chunk) <= 64:
             if len(self.memo) >= self.bound:
-                self.memo, self.older = {}, self.memo
+                self.memo, self.older = _Memo(self._found), self.memo
             self.memo[chunk] = ids
         return ids
 
+    def of(self, chunk: str) -> bytes:
+        return self.memo[chunk]
+
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        chunks = text.replace("\n", " ").split(" ")
-        found = list(map(self.memo.get, chunks))
-        if None in found:
-            of = self.of
-            found = [of(c) if ids is None else ids for c, ids in zip(chunks, found, strict=True)]
-        return b"".join(found)
+        # chunks in the memo never leave C
+        return b"".join(map(self.memo.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 def pack_documents(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -269,6 +270,22 @@ def test_packing_odd_rows(spark, odd_documents, tokenizer):
     assert sum(r["start"] == 0 for r in repeated) == 2
 
 
+def test_chunks_seen_are_kept():
+    """Words with a mark at their end are coded once, and words of Latin letters as the tokenizer codes them."""
+    import array
+
+    coder = packing.WordCoder(TOKENIZER)
+    coder.encode("Wordy, élan.")
+    assert {"Wordy,", "élan."} <= coder.memo.keys()
+    r = random.Random(3)
+    letters = [chr(n) for n in range(0x250)] + ["\u0301", "Σ", "字", "<|"]
+    small = packing.WordCoder(TOKENIZER, bound=50)
+    for _ in range(3_000):
+        text = "".join(r.choice(letters) for _ in range(r.randrange(1, 6)))
+        want = array.array("I", coder.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        assert coder.encode(text) == small.encode(text) == want
+
+
 def test_words_in_memo_equal_whole_encoding(tokenizer):
     coder = packing.WordCoder(TOKENIZER, bound=20)
     for text in [*ODD_TEXTS, "don't, stop... 's, x's, y.", "é, é, Á.  z", "3.14, 2.", "ẞΣ. ΑΣ, <|startoftext|>a<|endoftext|>", "áb ́ c", "a b c\rd"]:
