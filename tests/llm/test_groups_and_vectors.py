@@ -304,6 +304,51 @@ def test_family_of_lines_below_the_threshold(spark, monkeypatch):
     assert sum(0.6 <= x < 0.75 for x in near) > 10_000 and sum(compared) < 4_000
 
 
+def test_outlines_reject_no_similar_pair(spark):
+    """Pairs of lines of very different lengths and likeness, also with shingles that stand in a line often."""
+    r, pairs = random.Random(5), []
+    for n in range(200):
+        line = sentence(20_000 + n, r.choice([8, 30, 60, 120]))
+        pairs += [(line, edited(line, n, 1)), (line, edited(line, n, 3)), (line, f"{line} {sentence(n, 3)}"), (line, sentence(n, 40))]
+    pairs += [("-" * a, "-" * b) for a, b in itertools.product([24, 40, 400, 4000], repeat=2)]
+    pairs += [("ab" * a, "ab" * b + c) for a, b, c in itertools.product([12, 40, 900], [12, 40, 900], ["", "a", "c" * 40])]
+    sides = []
+    for n, line in enumerate(x for pair in pairs for x in pair):
+        w, counts = lines.shingle_hashes([line], 24)
+        marks, size = lines.outlines(w, counts)
+        assert len(marks) == size[0] and int(counts[0]) == len(line) - 23
+        sides.append((n // 2, n % 2, int(counts[0]), marks.tolist()))
+    df = spark.createDataFrame(sides, "pair int, side int, offsets long, outline array<long>")
+    x, y = df.where("side = 0").alias("x"), df.where("side = 1").alias("y")
+    passed = {row["pair"] for row in x.join(y, (F.col("x.pair") == F.col("y.pair")) & lines._within("x", "y", 0.8)).select("x.pair").collect()}
+    sets = [(brute_shingles(a, 24), brute_shingles(b, 24)) for a, b in pairs]
+    alike = {n for n, (a, b) in enumerate(sets) if len(a & b) >= 0.8 * len(a | b)}
+    assert len(alike) > 150 and alike <= passed
+    far = {n for n, (a, b) in enumerate(sets) if len(a & b) < 0.5 * len(a | b) and max(len(a), len(b)) < 2 * min(len(a), len(b))}
+    assert len(far) > 100 and not far & passed
+
+
+def test_lines_around_a_common_passage(spark, monkeypatch):
+    """Lines that share most of their text, all pairs at 0.7 to 0.78: few are compared."""
+    passage, docs = sentence(41, 75), []
+    for n in range(200):
+        line = f"{sentence(30_000 + n, 30)[: round(len(passage) * 0.16)]} {passage}"
+        docs += [(2 * n, line)] if n else [(2 * n, line), (2 * n + 1, line + "!")]
+    compared = []
+    similar = lines.similar_pairs
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return similar(pairs, *rest)
+
+    monkeypatch.setattr(lines, "similar_pairs", counted)
+    rows = lines.repeated_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    sets = [brute_shingles(" ".join(t.lower().split()), 24) for _, t in docs]
+    near = [len(a & b) / len(a | b) for a, b in itertools.combinations(sets, 2)]
+    check_lines(docs, rows)
+    assert sum(0.7 <= x < 0.78 for x in near) > 0.99 * len(near) and sum(compared) < 4_000
+
+
 # --- vectors ---
 
 
