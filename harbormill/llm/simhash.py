@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from harbormill.llm.common import checkpoint, connected_components
+from harbormill.llm.common import checkpoint, connected_components, discard, staged
 
 SHINGLE = 4
 SEED = 42
@@ -159,7 +159,7 @@ def fingerprint_components(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFram
 
     if max_bits > MAX_BITS:
         raise ValueError(f"the segments find up to {MAX_BITS} differing bits")
-    keys = checkpoint(candidate_keys(fps))
+    keys, place_of_keys = staged(candidate_keys(fps))  # fingerprints repeat, so columns take a fraction of rows' space
     order = Window.partitionBy("key").orderBy("fp")
     chain = (
         keys.where(F.col("side") == BOTH)
@@ -170,7 +170,8 @@ def fingerprint_components(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFram
     chain = checkpoint(chain)
     first = connected_components(chain).withColumnRenamed("node", "fp")
     known = keys.join(first, "fp", "left").select("fp", "key", "side", F.coalesce("root", F.xxhash64("fp")).alias("root"))
-    known = checkpoint(known)
+    known, place_of_known = staged(known)
+    discard(fps.sparkSession, place_of_keys)
     two_sided = (F.min("side") != F.max("side")) | (F.min("side") == BOTH)
     mixed = known.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), two_sided.alias("both")).where("lo <> hi and both").select("key")
     live = known.join(mixed, "key")
@@ -186,7 +187,9 @@ def fingerprint_components(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFram
         & ((F.col("a.side") != F.col("b.side")) | (F.col("a.side") == BOTH))
         & (_bits_apart("a.fp", "b.fp") <= max_bits),
     ).select(F.col("a.fp").alias("src"), F.col("b.fp").alias("dst"))
-    return connected_components(chain.unionByName(checkpoint(found))).withColumnRenamed("node", "fp")
+    found = checkpoint(found)
+    discard(fps.sparkSession, place_of_known)
+    return connected_components(chain.unionByName(found)).withColumnRenamed("node", "fp")
 
 
 def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:

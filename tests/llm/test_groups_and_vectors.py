@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import pathlib
 import random
 import re
 
@@ -119,6 +120,26 @@ def test_simhash_of_odd_rows(spark, odd_documents):
     assert simhash.keep_one_of_each(odd_documents.limit(0)).count() == 0
 
 
+def test_candidate_keys_take_little_space(spark, monkeypatch):
+    """Keys and known components are compressed columns, and gone once the links are found."""
+    places, held = [], []
+    stage, drop = simhash.staged, simhash.discard
+
+    def staging(df):
+        out, place = stage(df)
+        files = [f for f in pathlib.Path(place.removeprefix("file:")).rglob("*.parquet")]
+        places.append(place)
+        held.append((out.count(), sum(f.stat().st_size for f in files)))
+        return out, place
+
+    monkeypatch.setattr(simhash, "staged", staging)
+    monkeypatch.setattr(simhash, "discard", lambda s, place: (drop(s, place), places.remove(place)))
+    fps = np.random.default_rng(3).integers(-(1 << 63), (1 << 63) - 1, 20_000).tolist()
+    simhash.fingerprint_components(spark.createDataFrame([(f,) for f in fps], "fp long"))
+    assert len(held) == 2 and not places
+    assert all(rows > 40 * len(fps) and size < 16 * rows for rows, size in held), held
+
+
 # --- lines ---
 
 
