@@ -254,6 +254,30 @@ def test_lines_are_compared_as_a_whole(spark):
     assert texts.index(f"{shared} 99887766 8844003") not in want
 
 
+def test_short_lines_are_compared(spark):
+    """Lines around and below the length of a shingle: similar ones are linked, by short shingles, also with longer lines."""
+    r, texts = random.Random(8), []
+    for n in range(60):
+        line = "".join(r.choice("abcdefghijklmnopqrstuvwxyz  ") for _ in range(r.choice([12, 18, 21, 22, 23, 24, 26])))
+        line = " ".join(line.split())
+        texts += [line, line[1:], line + "!", line[: len(line) // 2] + "_" + line[len(line) // 2 + 1 :]]
+    texts += ["Subscribe to the news", "subscribe to the  news.", "-" * 12, "-" * 40, "=" * 23, "=" * 24 + "-", "İ" * 4, "İ" * 3, "ab", "abc", "abcd", "abcde"]
+    names = [" ".join(t.lower().split()) for t in texts]
+    sets = {chars: [brute_shingles(x, chars) for x in names] for chars in (5, 24)}
+    pairs = []
+    for a, b in itertools.combinations(range(len(names)), 2):
+        x, y = (sets[24 if min(len(names[a]), len(names[b])) >= 24 else 5][n] for n in (a, b))
+        if names[a] == names[b] or min(len(names[a]), len(names[b])) >= 5 and len(x & y) >= 0.8 * len(x | y):
+            pairs.append((a, b))
+    lengths = [sorted((len(names[a]), len(names[b]))) for a, b in pairs if names[a] != names[b]]
+    assert sum(b < 24 for _, b in lengths) > 60 and sum(a < 24 <= b for a, b in lengths) > 10
+    want = {n for n, root in enumerate(union(len(names), pairs)) if n != root}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {x["doc_id"] for x in lines.repeated_lines(df).collect()} == want
+    at = texts.index("-" * 40)
+    assert {texts.index("subscribe to the  news."), at} <= want and texts.index("abcde") not in want
+
+
 def test_families_that_touch_through_done_lines(spark, monkeypatch):
     """Chains L~a~b~M with copies of L and M in a single band: no link between lines of a band may be lost."""
     monkeypatch.setattr(lines, "BANDS", 1)
