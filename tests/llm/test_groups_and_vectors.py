@@ -467,6 +467,36 @@ def test_vector_links_through_the_graph():
     assert got <= want and len(got) == len(q) and len(got) >= 0.999 * len(want)
 
 
+def test_a_shard_is_sent_once_for_many_blocks(spark, monkeypatch):
+    """One copy of a graph for up to PART_BLOCKS blocks, none of them by explode, which holds all copies of a row in the heap; rows of
+    another length in the same shards; a task's pairs come a few queries at a time."""
+    rows = vectors(700, seed=4)
+    n = len(rows)
+    rows += [(n + i, [float(x) for x in v]) for i, v in enumerate(np.random.default_rng(6).normal(size=(90, 3)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    cut, plans = embedding_dedup.checkpoint, []
+    monkeypatch.setattr(embedding_dedup, "PART_BLOCKS", 4, raising=False)
+    monkeypatch.setattr(embedding_dedup, "checkpoint", lambda x: plans.append(x) or cut(x))
+
+    def nodes(plan):
+        yield plan
+        for i in range(plan.children().size()):
+            yield from nodes(plan.children().apply(i))
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        got = sorted(tuple(r) for r in embedding_dedup.near_duplicate_vectors(df, shard_rows=300, block_rows=64).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got == brute_vectors(rows, 0.95)
+    made = [node for x in plans for node in nodes(x._jdf.queryExecution().optimizedPlan()) if node.nodeName() == "Generate"]
+    assert made and not [node for node in made if "graph" in node.output().mkString(",")]
+    same, asked = np.ones((500, 4)) / 2, np.ones((700, 4)) / 2
+    pieces = list(embedding_dedup.link_pieces(same, same.astype(np.float32), [], asked, 0.95, 0))
+    assert sum(len(q) for q, _ in pieces) == 700 * 500 and max(len(q) for q, _ in pieces) <= hnsw.CHUNK * 500
+
+
 def test_repeated_vec_ids(spark):
     rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.01]), (None, [1.0, 0.0]), (3, [0.0, 1.0])]
     got = embedding_dedup.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
