@@ -322,6 +322,20 @@ def test_recall_of_lines_at_the_threshold(spark):
     assert gone <= alike and len(gone) >= 0.95 * len(alike) and 100 < len(alike) < 390
 
 
+def test_no_pair_is_lost_at_the_threshold(spark):
+    """A thousand pairs of lines just above 0.8: none is missed."""
+    docs, near, r = [], 0, random.Random(77)
+    for n in range(1_000):
+        base = sentence(50_000 + n, 60)
+        cut, width = r.randrange(30, len(base) - 80), len(base) // 9 - 27
+        docs += [(2 * n, base), (2 * n + 1, base[:cut] + "#" * width + base[cut + width :])]
+        x, y = (brute_shingles(t.lower(), 24) for _, t in docs[-2:])
+        assert len(x & y) >= 0.8 * len(x | y)
+        near += len(x & y) < 0.82 * len(x | y)
+    gone = {x["doc_id"] for x in lines.repeated_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert near > 500 and gone == set(range(1, 2_000, 2))
+
+
 def test_family_of_lines_below_the_threshold(spark, monkeypatch):
     """Lines edited in several places, most pairs of them at 0.6 to 0.75: few pairs are compared, no link of the family is lost."""
     base = sentence(31, 90)
